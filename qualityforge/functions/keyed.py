@@ -69,7 +69,7 @@ class Keyed:
     def beta_int(self, stream: str, a: Column | int, b: Column | int, index: Column | int = 0) -> Column:
         """Beta(a, b) for integers: the a-th smallest of a + b - 1 uniforms."""
         a = a if isinstance(a, Column) else F.lit(a)
-        return F.element_at(F.array_sort(self._uniforms(stream, a + b - 1, index)), a)
+        return F.element_at(F.sort_array(self._uniforms(stream, a + b - 1, index)), a)
 
     def gamma(self, stream: str, shape: float, index: int = 0) -> Column:
         """Gamma(shape, 1): a sum of exponentials for small integers, otherwise
@@ -124,7 +124,7 @@ class Keyed:
             items,
             lambda x, i: F.struct((-F.ln(self.uniform(stream, base + i)) / x[weight]).alias("k"), x.alias("v")),
         )
-        return F.transform(F.slice(F.array_sort(keyed), F.lit(1), n), lambda t: t["v"])
+        return F.transform(F.slice(F.sort_array(keyed), F.lit(1), n), lambda t: t["v"])
 
 
 def cumulative(items: Sequence[tuple[object, float]]) -> list[float]:

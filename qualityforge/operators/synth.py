@@ -122,7 +122,7 @@ def ordered_points(k: Keyed, stream: str, center: Column, n: Column, spacing: tu
             ),
         )
 
-    drawn = let(F.struct(center.alias("c"), n.alias("n"), gap.alias("gap")), lambda p: F.array_sort(F.array_distinct(points(p))))
+    drawn = let(F.struct(center.alias("c"), n.alias("n"), gap.alias("gap")), lambda p: F.sort_array(F.array_distinct(points(p))))
     base = F.greatest(F.lit(float(low)), center - fallback_back)
     even = F.transform(idx, lambda i: F.least(F.lit(float(high)), base + i * fallback_step))
     return let(drawn, lambda s: F.when(F.size(s) < 2, even).otherwise(s))
@@ -160,22 +160,34 @@ def other_candidate(k: Keyed, stream: str, candidates: Sequence[int], used: Colu
     return let(free, lambda f: F.get(f, k.pick(stream, F.size(f))))
 
 
-def fan_out(groups: DataFrame, group_id: str, points: str, child_arrays: Mapping[str, str], sample_id: str, base: int, block: int, parent_columns: Sequence[str] = ()) -> dict[str, DataFrame]:
+def _positions(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1))
+
+
+def fan_out(groups: DataFrame, group_id: str, points: str, child_arrays: Mapping[str, str], sample_id: str, base: int, block: int, parent_columns: Sequence[str] = (), count: str | None = None) -> dict[str, DataFrame]:
     """Expand grouped rows to a parent table and its child tables.
 
     Element i of the ``points`` array becomes a parent row with id
     ``base + group * block + i``; every element of each child array is repeated
-    for each parent row. Only narrow operations, so no shuffle.
+    for each parent row. Only narrow operations, so no shuffle. ``count`` may
+    name a column with the number of points, so that reading a child table from
+    a staged frame leaves the points alone.
     """
     ident = (F.lit(base) + F.col(group_id) * F.lit(block) + F.col("pos")).cast("long").alias(sample_id)
+    # Outer generators, then a test on the generated column: a plain explode
+    # would let the optimizer infer "array not empty" and push the expression
+    # that builds the array down through every stage that feeds it.
+    expanded = groups.select(group_id, *parent_columns, F.posexplode_outer(points).alias("pos", "point"))
     out = {
-        "parent": groups.select(group_id, *parent_columns, F.posexplode(points).alias("pos", "point")).select(
-            ident, group_id, *parent_columns, "point.*"
-        )
+        "parent": expanded.filter(F.col("pos").isNotNull()).select(ident, group_id, *parent_columns, "point.*")
     }
     for name, arr in child_arrays.items():
+        positions = _positions(F.col(count) if count else F.size(points))
         out[name] = (
-            groups.select(group_id, arr, F.explode(F.sequence(F.lit(0), F.size(points) - 1)).alias("pos"))
-            .select(ident, group_id, F.inline(arr))
+            groups.select(group_id, arr, F.explode_outer(positions).alias("pos"))
+            .filter(F.col("pos").isNotNull())
+            .select(group_id, "pos", F.explode_outer(arr).alias("item"))
+            .filter(F.col("item").isNotNull())
+            .select(ident, group_id, "item.*")
         )
     return out

@@ -8,8 +8,6 @@ partitioned, and no step shuffles.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -425,6 +423,7 @@ def recipe_groups(ids: DataFrame, group_id: str = "recipe_group_id", seed: int =
             F.arrays_zip(F.slice("temps", 1, F.size("conds")).alias("t"), F.col("conds").alias("c")),
             lambda p: F.struct(p["t"].alias("operating_temperature"), p["c"].alias("conductivity")),
         ).alias("points"),
+        F.size("conds").alias("n_points"),
         F.transform(
             "dopants",
             lambda d: F.struct(
@@ -452,6 +451,7 @@ def expand(groups: DataFrame, group_id: str = "recipe_group_id") -> dict[str, Da
         Z.BASE_SAMPLE_ID,
         Z.SAMPLES_PER_GROUP,
         ["reference", "material_source_and_purity", "synthesis_method_id", "processing_route_id"],
+        count="n_points",
     )
     return {Z.PARENT: out.pop("parent"), **out}
 
@@ -472,8 +472,3 @@ def write_generated(groups: DataFrame, base: str, staged: str | None = None) ->
     path = staged or runtime.scratch_path(spark, "recipe-groups")
     groups.write.mode("overwrite").parquet(path)
     write_tables({**expand(spark.read.parquet(path)), **Z.dictionaries(spark)}, base)
-
-
-def arrhenius_reference(level: float) -> float:
-    """Conductivity at the 800 C reference for a log10 level."""
-    return math.pow(10.0, level)
