@@ -264,7 +264,7 @@ def conditional_choice(lake: Lake) -> DataFrame:
 @query(
     "arrhenius_curve",
     "SELECT o_orderkey, i AS point, round(log10(CASE WHEN t >= 600 THEN k1 / (t + 273.15) * exp(-1.0::DOUBLE / (8.617333e-5 * (t + 273.15)))"
-    " ELSE k1 * exp(0.15::DOUBLE / (8.617333e-5 * 873.15)) / (t + 273.15) * exp(-1.15::DOUBLE / (8.617333e-5 * (t + 273.15))) END), 6)"
+    " ELSE k1 * exp(0.15::DOUBLE / (8.617333e-5 * 873.15)) / (t + 273.15) * exp(-1.15::DOUBLE / (8.617333e-5 * (t + 273.15))) END), 8)"
     " AS log_value FROM (SELECT o_orderkey, i, 400.0::DOUBLE + i * 100 AS t, 10 ** (-o_totalprice / 100000)"
     " * 1073.15::DOUBLE * exp(1.0::DOUBLE / (8.617333e-5 * 1073.15)) AS k1 FROM orders, unnest(range(0, 6)) AS r(i))",
 )
@@ -280,7 +280,7 @@ def arrhenius_curve(lake: Lake) -> DataFrame:
         low / kelvin * F.exp(-1.15 / (G.BOLTZMANN_EV * kelvin))
     )
     return rounded(
-        staged.select("o_orderkey", F.col("point").cast("long").alias("point"), F.log10(value).alias("log_value"))
+        staged.select("o_orderkey", F.col("point").cast("long").alias("point"), F.log10(value).alias("log_value")), 8
     )
 
 
@@ -288,7 +288,8 @@ def arrhenius_curve(lake: Lake) -> DataFrame:
     "text_template",
     f"SELECT c_custkey, CASE WHEN {_cu('tpl')} < 0.55 THEN c_name || ' buys ' || array_to_string("
     f"{_SAMPLE_SQL.replace('@u', _cu('tw', 'i'))}, ' and ') || '.' ELSE {_sql_choice(_cu('tier'), SEGMENTS)} || ' customer with '"
-    " || printf('%.1f', abs(c_acctbal)) || ' on account.' END AS line FROM customer",
+    " || ((CAST(round(abs(c_acctbal) * 100) AS BIGINT) + 5) // 100) || '.'"
+    " || ((CAST(round(abs(c_acctbal) * 100) AS BIGINT) + 5) // 10 % 10) || ' on account.' END AS line FROM customer",
 )
 def text_template(lake: Lake) -> DataFrame:
     drawn = CUSTOMER.sample_without_replacement("tw", _goods(), "w", 3)
