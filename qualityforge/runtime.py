@@ -108,6 +108,8 @@ def hot_key_hashes(
             F.count(F.lit(1)).alias("n"),
             F.expr(f"approx_top_k_accumulate(h, {_TRACKED})").alias("s"),
         )
+        # Grouped by a constant: combining no sketches at all is an error.
+        .groupBy(F.lit(0).alias("all"))
         .agg(F.sum("n").alias("n"), F.expr("approx_top_k_combine(s)").alias("s"))
         .select("n", F.expr(f"approx_top_k_estimate(s, {int(1 / share) + 1})").alias("top"))
         .first()
