@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from qualityforge import runtime
 from qualityforge.operators.ordered import not_increasing
-from qualityforge.operators.rules import KeyedInput, KeyedRule, MonotonicRule, RowRule, Rule
+from qualityforge.operators.rules import KeyedInput, KeyedRule, Lookup, Measure, MonotonicRule, RowRule, Rule
 
 Tables = Mapping[str, DataFrame]
 
@@ -98,49 +98,55 @@ class _Entity:
     def __init__(self, rules: Sequence[KeyedRule], tables: Tables):
         self.rules = list(rules)
         self.tables = tables
-        self.names: dict[tuple, str] = {}  # (table, lookup, how, expr) -> column
-        self.parts: dict[tuple, KeyedInput] = {}  # (table, keys, lookup) -> input
+        self.names: dict[tuple, str] = {}  # (table, keys, lookup, how, expr) -> column
+        self.parts: dict[tuple, list[Lookup]] = {}  # (table, keys) -> dictionaries
         for rule in self.rules:
             for part in rule.inputs:
-                self.parts.setdefault((part.table, part.keys, part.lookup), part)
+                lookups = self.parts.setdefault((part.table, part.keys), [])
+                if part.lookup and part.lookup not in lookups:
+                    lookups.append(part.lookup)
                 for m in part.measures.values():
-                    self.names.setdefault((part.table, part.lookup, m.how, m.expr), f"m{len(self.names)}")
-        width = {len(p.keys) for p in self.parts.values()}
+                    self.names.setdefault(self._id(part, m), f"m{len(self.names)}")
+        width = {len(keys) for _, keys in self.parts}
         if len(width) != 1:
             raise ValueError(f"keys of entity {self.rules[0].entity!r} differ in width")
         self.key_cols = [f"k{i}" for i in range(width.pop())]
 
-    def _branch(self, part: KeyedInput) -> DataFrame:
-        df = self.tables[part.table]
-        if part.lookup:
-            lk = part.lookup
+    @staticmethod
+    def _id(part: KeyedInput, m: Measure) -> tuple:
+        return part.table, part.keys, part.lookup, m.how, m.expr
+
+    def _branch(self, table: str, keys: tuple[str, ...], lookups: list[Lookup]) -> DataFrame:
+        """One scan of a table, whatever the number of rules that read it."""
+        df = self.tables[table]
+        for i, lk in enumerate(lookups):
             side = self.tables[lk.table].select(
-                F.col(lk.key).alias("__lk"),
+                F.col(lk.key).alias(f"__lk{i}"),
                 *[F.col(c).alias(lk.prefix + c) for c in lk.columns],
                 F.lit(True).alias(lk.prefix + "found"),
             )
-            side = runtime.checked_broadcast(side.dropDuplicates(["__lk"]))
-            df = df.join(side, F.col(lk.on) == F.col("__lk"), "left")
-        cols = [F.expr(f"`{k}`").alias(c) for k, c in zip(part.keys, self.key_cols)]
-        for (table, lookup, how, expr), name in self.names.items():
-            if table == part.table and lookup == part.lookup:
+            side = runtime.checked_broadcast(side.dropDuplicates([f"__lk{i}"]))
+            df = df.join(side, F.col(lk.on) == F.col(f"__lk{i}"), "left")
+        cols = [F.expr(f"`{k}`").alias(c) for k, c in zip(keys, self.key_cols)]
+        for (t, k, _, how, expr), name in self.names.items():
+            if (t, k) == (table, keys):
                 value = F.expr(expr)
                 if how == "count_if":
                     value = F.when(value, F.lit(1)).otherwise(F.lit(0)).cast("long")
                 cols.append(value.alias(name))
-        cols.append(F.lit(True).alias(f"has_{part.table}"))
+        cols.append(F.lit(True).alias(f"has_{table}"))
         return df.select(*cols)
 
     def frame(self) -> DataFrame:
         """One row per key with every measure and presence flag."""
         stacked = reduce(
-            lambda a, b: a.unionByName(b, allowMissingColumns=True), [self._branch(p) for p in self.parts.values()]
+            lambda a, b: a.unionByName(b, allowMissingColumns=True), [self._branch(t, k, lookups) for (t, k), lookups in self.parts.items()],
         )
         aggs = []
-        for (_, _, how, _), name in self.names.items():
+        for (_, _, _, how, _), name in self.names.items():
             fn = {"sum": F.sum, "count_if": F.sum, "max": F.max, "min": F.min}[how]
             aggs.append(fn(name).alias(name))
-        for table in {p.table for p in self.parts.values()}:
+        for table in {t for t, _ in self.parts}:
             aggs.append(F.coalesce(F.max(f"has_{table}"), F.lit(False)).alias(f"has_{table}"))
         return stacked.groupBy(*self.key_cols).agg(*aggs)
 
@@ -149,10 +155,10 @@ class _Entity:
         return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key_cols])
 
     def violation(self, rule: KeyedRule) -> Column:
-        names = {f"has_{p.table}": f"has_{p.table}" for p in self.parts.values()}
+        names = {f"has_{t}": f"has_{t}" for t, _ in self.parts}
         for part in rule.inputs:
             for alias, m in part.measures.items():
-                names[alias] = self.names[(part.table, part.lookup, m.how, m.expr)]
+                names[alias] = self.names[self._id(part, m)]
         names["is_null_key"] = "(" + " OR ".join(f"{k} IS NULL" for k in self.key_cols) + ")"
         cond = F.expr(rule.violates.format(**names))
         for t in rule.requires:
@@ -164,7 +170,7 @@ class _Entity:
         for i, r in enumerate(self.rules):
             aggs.append(F.count_if(self.violation(r)).alias(f"v{i}"))
             names[f"bad:{r.code}"] = f"v{i}"
-        for i, table in enumerate(sorted({p.table for p in self.parts.values()})):
+        for i, table in enumerate(sorted({t for t, _ in self.parts})):
             aggs.append(F.count_if(F.col(f"has_{table}") & self._no_null).alias(f"n{i}"))
             names[f"keys:{self.rules[0].entity}:{table}"] = f"n{i}"
         return _metrics(self.frame().agg(*aggs), names)

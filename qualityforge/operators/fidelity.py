@@ -6,9 +6,9 @@ Three kinds of dimensions, each scored in [0, 1]:
 * `Numeric`     - distance of quantile vectors, means and spreads,
 * `Joint`       - agreement of a per-category mean on both sides.
 
-Nothing is collected: shares, statistics and scores are DataFrames throughout.
-All categorical dimensions together cost one grouped pass per table and side;
-all numeric dimensions of a table cost one aggregate.
+Shares and scores are DataFrames throughout, so a category column may have any
+number of values. All categorical dimensions together cost one grouped pass per
+table and side; the numeric dimensions of a table share their scans.
 """
 
 from __future__ import annotations
@@ -16,13 +16,15 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualityforge import runtime
 from qualityforge.functions.scalars import grade, log10_or_null, named_or_id
 from qualityforge.operators.profile import primary_by_key
+from qualityforge.operators.quantiles import exact_quantiles
 
 PROBS = (0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95)
 _STATS = ("Count", "Mean", "Std", "Min", "P5", "P10", "P25", "P50", "P75", "P90", "P95", "Max")
@@ -90,54 +92,52 @@ class FidelityReport:
 # --------------------------------------------------------------- categorical
 
 
-def _category_counts(dims: Sequence[Categorical], tables: Tables, side: str) -> DataFrame:
-    """(dimension, category, n, side) for one side, grouped before any join."""
-    frames = []
-    by_table: dict[str, list[Categorical]] = {}
-    for d in dims:
-        by_table.setdefault(d.table, []).append(d)
-    for table, group in by_table.items():
-        pairs = [
-            F.when(
-                F.expr(d.where) if d.where else F.lit(True),
-                F.struct(F.lit(d.name).alias("dimension"), F.expr(d.expr).cast("string").alias("category")),
-            )
-            for d in group
-        ]
-        counts = (
-            tables[table]
-            .select(F.inline(F.array_compact(F.array(*pairs))))
-            .groupBy("dimension", "category")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        coded = [d for d in group if d.dictionary and d.dictionary[0] in tables]
-        plain = counts.filter(~F.col("dimension").isin([d.name for d in coded])) if coded else counts
-        if len(coded) < len(group):
-            frames.append(plain)
-        for d in coded:
-            dict_table, id_col, name_col = d.dictionary
-            names = tables[dict_table].select(
-                F.col(id_col).cast("string").alias("__id"), F.col(name_col).alias("__name")
-            )
-            frames.append(
-                counts.filter(F.col("dimension") == d.name)
-                .join(names, F.col("category") == F.col("__id"), "left")
-                .select("dimension", named_or_id(F.col("__name"), F.col("category")).alias("category"), "n")
+def _category_counts(dims: Sequence[Categorical], real: Tables, gen: Tables) -> DataFrame:
+    """(d, category, rn, gn): rows per dimension number and category on each side.
+
+    One branch per dimension and side, each reading one column; all of them are
+    combined map side and meet in a single shuffle of category counts.
+    """
+    branches = []
+    for side, tables in ((1, real), (0, gen)):
+        for i, d in enumerate(dims):
+            df = tables[d.table].filter(d.where) if d.where else tables[d.table]
+            branches.append(
+                df.select(
+                    F.lit(i).alias("d"),
+                    F.expr(d.expr).cast("string").alias("category"),
+                    F.lit(side).cast("long").alias("rn"),
+                    F.lit(1 - side).cast("long").alias("gn"),
+                )
             )
-    return reduce(DataFrame.unionByName, frames).withColumn("side", F.lit(side))
+    total = lambda df: df.groupBy("d", "category").agg(F.sum("rn").alias("rn"), F.sum("gn").alias("gn"))
+    counts = total(reduce(DataFrame.unionByName, branches))
+    coded = [(i, *d.dictionary) for i, d in enumerate(dims) if d.dictionary and d.dictionary[0] in gen]
+    if not coded:
+        return counts
+    # Names join the counts, not the rows, and may merge ids.
+    names = reduce(
+        DataFrame.unionByName,
+        [
+            gen[table].select(F.lit(i).alias("d"), F.col(key).cast("string").alias("category"), F.col(name).alias("name"))
+            for i, table, key, name in coded
+        ],
+    )
+    named = counts.join(names, ["d", "category"], "left")
+    return total(named.select("d", named_or_id(F.col("name"), F.col("category")).alias("category"), "rn", "gn"))
 
 
 def jsd_detail(dims: Sequence[Categorical], real: Tables, gen: Tables) -> DataFrame:
     """(dimension, category, p, q): shares of each category on both sides, over
-    the union of categories. NULL is a category of its own."""
-    counts = _category_counts(dims, real, "real").unionByName(_category_counts(dims, gen, "gen"))
-    on = lambda s: F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0))
-    pairs = counts.groupBy("dimension", "category").agg(on("real").alias("rn"), on("gen").alias("gn"))
+    the union of categories. NULL is a category of its own. Dictionaries are
+    taken from ``gen`` for both sides."""
+    pairs = _category_counts(dims, real, gen)
     # One row per dimension, so the broadcast is bounded by the dimension list.
-    totals = pairs.groupBy("dimension").agg(F.sum("rn").alias("rt"), F.sum("gn").alias("gt"))
+    totals = pairs.groupBy("d").agg(F.sum("rn").alias("rt"), F.sum("gn").alias("gt"))
     share = lambda n, t: F.when(F.col(t) > 0, F.col(n) / F.col(t)).otherwise(F.lit(0.0))
-    return pairs.join(F.broadcast(totals), "dimension").select(
-        "dimension", "category", share("rn", "rt").alias("p"), share("gn", "gt").alias("q")
+    label = F.element_at(F.array(*[F.lit(d.name) for d in dims]), F.col("d") + 1)
+    return pairs.join(F.broadcast(totals), "d").select(
+        label.alias("dimension"), "category", share("rn", "rt").alias("p"), share("gn", "gt").alias("q")
     )
 
 
@@ -167,40 +167,75 @@ def categorical_report(detail: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------- numeric
 
 
-def _stats(v: Column, keep: Column, accuracy: int) -> Column:
-    v = F.when(keep, v)
-    pcts = F.percentile_approx(v, list(PROBS), accuracy)
-    values = [F.count_if(keep).cast("double"), F.avg(v), F.coalesce(F.stddev_samp(v), F.lit(1.0)), F.min(v)]
-    return F.concat(F.array(*values), pcts, F.array(F.max(v)))
+def _by_table(dims: Sequence[Numeric]) -> dict[str, list[Numeric]]:
+    out: dict[str, list[Numeric]] = {}
+    for d in dims:
+        out.setdefault(d.table, []).append(d)
+    return out
+
+
+def _moments(d: Numeric) -> tuple[Column, list[Column]]:
+    keep = F.expr(d.where) if d.where else F.lit(True)
+    v = F.when(keep, F.expr(d.expr).cast("double"))
+    spread = F.coalesce(F.stddev_samp(v), F.lit(1.0))
+    return v, [F.count_if(keep).cast("double"), F.avg(v), spread, F.min(v), F.max(v)]
 
 
-def _numeric_stats(dims: Sequence[Numeric], tables: Tables, accuracy: int) -> DataFrame:
+def _sketched_stats(dims: Sequence[Numeric], tables: Tables, accuracy: int) -> DataFrame:
     """(dimension, stats array in _STATS order): one aggregate per table."""
-    by_table: dict[str, list[Numeric]] = {}
-    for d in dims:
-        by_table.setdefault(d.table, []).append(d)
     frames = []
-    for table, group in by_table.items():
+    for table, group in _by_table(dims).items():
         aggs = []
         for i, d in enumerate(group):
-            keep = F.expr(d.where) if d.where else F.lit(True)
-            aggs.append(_stats(F.expr(d.expr).cast("double"), keep, accuracy).alias(f"s{i}"))
+            v, m = _moments(d)
+            pcts = F.percentile_approx(v, list(PROBS), accuracy)
+            aggs.append(F.concat(F.array(*m[:4]), pcts, F.array(m[4])).alias(f"s{i}"))
         rows = [F.struct(F.lit(d.name).alias("dimension"), F.col(f"s{i}").alias("s")) for i, d in enumerate(group)]
         frames.append(tables[table].agg(*aggs).select(F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, frames)
 
 
-def quantile_stats(dims: Sequence[Numeric], real: Tables, gen: Tables, accuracy: int = 10_000) -> DataFrame:
+def _counted_stats(dims: Sequence[Numeric], tables: Tables) -> DataFrame:
+    """The same rows with exact quantiles; a few numbers per dimension pass
+    through the driver."""
+
+    def table_rows(table: str, group: list[Numeric]) -> list[tuple]:
+        aggs, values = [], {}
+        for i, d in enumerate(group):
+            v, m = _moments(d)
+            values[f"v{i}"] = v
+            aggs.append(F.struct(F.count(v).alias("n"), F.array(*m).alias("m")).alias(f"s{i}"))
+        found = tables[table].agg(*aggs).first()
+        bounds = {f"v{i}": (found[i]["n"], found[i]["m"][3], found[i]["m"][4]) for i in range(len(group))}
+        quantiles = exact_quantiles(tables[table], values, PROBS, bounds)
+        rows = []
+        for i, d in enumerate(group):
+            m, q = found[i]["m"], quantiles[f"v{i}"]
+            rows.append((d.name, None if q is None else [*m[:4], *q, m[4]]))
+        return rows
+
+    spark = SparkSession.active()
+    parts = runtime.together(spark, [partial(table_rows, t, g) for t, g in _by_table(dims).items()])
+    return spark.createDataFrame([r for p in parts for r in p], "dimension string, s array<double>")
+
+
+def _numeric_stats(dims: Sequence[Numeric], tables: Tables, accuracy: int | None) -> DataFrame:
+    return _counted_stats(dims, tables) if accuracy is None else _sketched_stats(dims, tables, accuracy)
+
+
+def quantile_stats(dims: Sequence[Numeric], real: Tables, gen: Tables, accuracy: int | None = None) -> DataFrame:
     """(dimension, r, g): the statistics vectors of both sides.
 
+    Quantiles are exact by default. An ``accuracy`` (for example 10000) takes
+    them from a sketch in a single scan instead, which suits inputs of up to some
+    ten thousand partitions.
+
     An empty population has no quantiles and fails the stage with the name of
     the dimension.
     """
-    sides = (
-        _numeric_stats(dims, real, accuracy)
-        .withColumn("side", F.lit("r"))
-        .unionByName(_numeric_stats(dims, gen, accuracy).withColumn("side", F.lit("g")))
-    )
+    both = [partial(_numeric_stats, dims, tables, accuracy) for tables in (real, gen)]
+    r, g = runtime.together(SparkSession.active(), both)
+    sides = r.withColumn("side", F.lit("r")).unionByName(g.withColumn("side", F.lit("g")))
     pick = lambda s: F.max(F.when(F.col("side") == s, F.col("s")))
     out = sides.groupBy("dimension").agg(pick("r").alias("r"), pick("g").alias("g"))
     fail = F.raise_error(F.concat(F.lit("fidelity dimension has no values on one side: "), F.col("dimension")))
@@ -340,7 +375,7 @@ def overall_score(summary: DataFrame) -> DataFrame:
 
 
 def score_fidelity(
-    dims: Sequence[Dimension], real: Tables, gen: Tables, accuracy: int = 10_000
+    dims: Sequence[Dimension], real: Tables, gen: Tables, accuracy: int | None = None
 ) -> FidelityReport:
     """Score every dimension; all parts of the report are lazy."""
     spark = SparkSession.active()

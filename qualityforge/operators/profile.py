@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualityforge.functions.scalars import log10_or_null, named_or_id
+from qualityforge.operators.quantiles import exact_quantiles
 
 
 def _share(counts: DataFrame, total: DataFrame, digits: int | None) -> DataFrame:
@@ -59,18 +60,36 @@ def group_size_histogram(df: DataFrame, key: str, alias: str = "group_size") ->
     return sizes.groupBy(alias).agg(F.count(F.lit(1)).alias("cnt")).orderBy(alias)
 
 
-def numeric_summary(df: DataFrame, column: str, log10_mean: bool = False, accuracy: int = 10_000) -> DataFrame:
+def profile_columns(
+    df: DataFrame, columns: Sequence[str], log10_mean: bool = False, accuracy: int | None = None
+) -> DataFrame:
+    """Min, max, mean and median of several columns, one row each, from shared
+    scans. ``accuracy`` takes the median from a sketch instead of counting."""
+    spark = df.sparkSession
+    values = {f"v{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
+    aggs = []
+    for n, v in values.items():
+        m = [F.min(v), F.max(v), F.avg(v), F.avg(log10_or_null(v))]
+        if accuracy is not None:
+            m.append(F.percentile_approx(v, 0.5, accuracy))
+        aggs.append(F.struct(F.count(v).alias("n"), F.array(*m).alias("m")).alias(n))
+    found = df.agg(*aggs).first()
+    medians = {n: found[n]["m"][4] if accuracy is not None else None for n in values}
+    if accuracy is None:
+        bounds = {n: (found[n]["n"], found[n]["m"][0], found[n]["m"][1]) for n in values}
+        medians = {n: q and q[0] for n, q in exact_quantiles(df, values, [0.5], bounds).items()}
+    rows = [(c, *found[n]["m"][:3], medians[n], found[n]["m"][3]) for c, n in zip(columns, values)]
+    out = spark.createDataFrame(
+        rows, "column string, min double, max double, avg double, median double, avg_log10 double"
+    )
+    return out if log10_mean else out.drop("avg_log10")
+
+
+def numeric_summary(
+    df: DataFrame, column: str, log10_mean: bool = False, accuracy: int | None = None
+) -> DataFrame:
     """One row: min, max, avg, median (and the mean of log10 over positives)."""
-    c = F.col(column)
-    aggs = [
-        F.min(c).alias("min"),
-        F.max(c).alias("max"),
-        F.avg(c).alias("avg"),
-        F.percentile_approx(c, 0.5, accuracy).alias("median"),
-    ]
-    if log10_mean:
-        aggs.append(F.avg(log10_or_null(c)).alias("avg_log10"))
-    return df.agg(*aggs)
+    return profile_columns(df, [column], log10_mean, accuracy).drop("column")
 
 
 def two_way_counts(df: DataFrame, first: str, second: str) -> DataFrame:
@@ -144,19 +163,3 @@ def windowed_top_category(
     )
     return out if top is None else out.limit(top)
 
-
-def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Min, max, mean, median of several columns from one scan, as rows."""
-    aggs = []
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.min(v).alias("min"),
-                F.max(v).alias("max"),
-                F.avg(v).alias("avg"),
-                F.percentile_approx(v, 0.5, 10_000).alias("median"),
-            ).alias(f"p{i}")
-        )
-    return df.agg(*aggs).select(F.inline(F.array(*[F.col(f"p{i}") for i in range(len(columns))])))

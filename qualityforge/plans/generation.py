@@ -338,9 +338,9 @@ def fan_out_children(lake: Lake) -> DataFrame:
 # group per order
 
 
-def _groups(lake: Lake, source: str = "xxhash64") -> DataFrame:
-    ids = lake.orders.select(F.col("o_orderkey").alias("recipe_group_id"))
-    return G.recipe_groups(ids, source=source)
+def _groups(lake: Lake, source: str = "xxhash64", seed: int = 12345) -> DataFrame:
+    ids = synth.spread(lake.orders.select(F.col("o_orderkey").alias("recipe_group_id")), "recipe_group_id")
+    return G.recipe_groups(ids, seed=seed, source=source)
 
 
 @query("generate_samples")
@@ -376,12 +376,12 @@ def generate_recipes(lake: Lake) -> DataFrame:
     return _groups(lake, "md5").select("recipe_group_id", "synthesis_method_id", "processing_route_id")
 
 
-def _generated(lake: Lake) -> dict[str, DataFrame]:
+def _generated(lake: Lake, seed: int = 12345) -> dict[str, DataFrame]:
     """Generated facts staged once in the shared folder, plus dictionaries."""
     from qualityforge import runtime
 
     path = runtime.scratch_path(lake.spark, "generated")
-    _groups(lake).write.parquet(path)
+    _groups(lake, seed=seed).write.parquet(path)
     return {**G.expand(lake.spark.read.parquet(path)), **Z.dictionaries(lake.spark)}
 
 
@@ -401,7 +401,4 @@ def generate_compliant(lake: Lake) -> DataFrame:
 @query("generate_fidelity")
 def generate_fidelity(lake: Lake) -> DataFrame:
     """Two generated populations with different seeds score near one."""
-    ids = lake.orders.select(F.col("o_orderkey").alias("recipe_group_id"))
-    dicts = Z.dictionaries(lake.spark)
-    other = {**G.expand(G.recipe_groups(ids, seed=777)), **dicts}
-    return rounded(Z.fidelity(_generated(lake), other).summary, 9)
+    return rounded(Z.fidelity(_generated(lake), _generated(lake, 777)).summary, 9)

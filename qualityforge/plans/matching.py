@@ -18,12 +18,10 @@ CATEGORICAL = [
     fid.Categorical("Priority", "orders", "nullif(o_orderpriority, '5-LOW')", 0.1, where="o_orderstatus <> 'P'"),
     fid.Categorical("Nation", "customer", "c_nationkey", 0.15, dictionary=("nation", "n_nationkey", "n_name")),
 ]
-# Columns with few values or few rows: the rank error of approximate quantiles
-# (1e-4 of the rows) cannot move theirs, so exact SQL must agree.
 NUMERIC = [
-    fid.Numeric("Tax", "lineitem", "l_tax", 0.2),
-    fid.Numeric("log10(Balance)", "customer", "CASE WHEN c_acctbal > 0 THEN log10(c_acctbal) END", 0.1, "c_acctbal > 0"),
-    fid.Numeric("Line Number", "lineitem", "l_linenumber", 0.05),
+    fid.Numeric("Price", "lineitem", "l_extendedprice", 0.2),
+    fid.Numeric("log10(Total)", "orders", "CASE WHEN o_totalprice > 0 THEN log10(o_totalprice) END", 0.1, "o_totalprice > 0"),
+    fid.Numeric("Quantity", "lineitem", "l_quantity", 0.05),
 ]
 JOINT = fid.Joint(
     "Supplier-Total Correlation", "orders", "o_orderkey", "o_totalprice", "o_totalprice", 20000, 400000,
@@ -78,9 +76,9 @@ _SQL_JSD = (
 )
 
 _SQL_VALUE = {
-    "Tax": "SELECT l_tax AS v, {real} AS is_real FROM lineitem",
-    "log10(Balance)": "SELECT log10(c_acctbal) AS v, {real} AS is_real FROM customer WHERE c_acctbal > 0",
-    "Line Number": "SELECT CAST(l_linenumber AS DOUBLE) AS v, {real} AS is_real FROM lineitem",
+    "Price": "SELECT l_extendedprice AS v, {real} AS is_real FROM lineitem",
+    "log10(Total)": "SELECT log10(o_totalprice) AS v, {real} AS is_real FROM orders WHERE o_totalprice > 0",
+    "Quantity": "SELECT l_quantity AS v, {real} AS is_real FROM lineitem",
 }
 _SQL_STATS = " UNION ALL ".join(
     f"SELECT '{d.name}' AS dimension, is_real, CAST(count(*) AS DOUBLE) AS n, avg(v) AS mean,"

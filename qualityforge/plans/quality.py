@@ -447,11 +447,11 @@ def numeric_summary(lake: Lake) -> DataFrame:
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", round(min({c}), 4) AS min, round(max({c}), 4) AS max, round(avg({c}), 4) AS avg,"
         f" round(quantile_disc({c}, 0.5), 4) AS median FROM lineitem"
-        for c in ("l_tax", "l_linenumber")
+        for c in ("l_quantity", "l_extendedprice", "l_tax")
     ),
 )
 def profile_columns(lake: Lake) -> DataFrame:
-    return rounded(profile.profile_columns(lake.lineitem, ["l_tax", "l_linenumber"]), 4)
+    return rounded(profile.profile_columns(lake.lineitem, ["l_quantity", "l_extendedprice", "l_tax"]), 4)
 
 
 @query(

@@ -4,7 +4,7 @@ must give the same rows. Queries always read whole tables."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ class Lake:
 
     spark: SparkSession
     base: str
+    _open: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -26,7 +27,9 @@ class Lake:
         return self.table(name)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base.rstrip('/')}/{name}.parquet")
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.base.rstrip('/')}/{name}.parquet")
+        return self._open[name]
 
     def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
         return {n: self.table(n) for n in names}

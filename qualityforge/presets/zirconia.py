@@ -301,7 +301,7 @@ def fidelity_dimensions() -> list:
     ]
 
 
-def fidelity(real: Tables, gen: Tables, accuracy: int = 10_000) -> FidelityReport:
+def fidelity(real: Tables, gen: Tables, accuracy: int | None = None) -> FidelityReport:
     """Score generated tables against real ones. The dictionaries of the
     generated side serve both sides; without them ids are compared."""
     shared = {d: gen[d] for d in DICTIONARIES if d in gen}

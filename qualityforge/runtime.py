@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,3 +121,12 @@ def hot_key_hashes(
         return {}
     floor = max(min_rows, share * row["n"])
     return {t["item"]: t["count"] / row["n"] for t in row["top"] if t["count"] >= floor}
+
+
+def together(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
+    """Run independent driver-side steps at the same time, so that their jobs
+    share the cluster instead of waiting for one another."""
+    if len(tasks) < 2:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]]
