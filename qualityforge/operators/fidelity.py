@@ -375,33 +375,42 @@ def overall_score(summary: DataFrame) -> DataFrame:
 
 
 def score_fidelity(
-    dims: Sequence[Dimension], real: Tables, gen: Tables, accuracy: int | None = None
+    dims: Sequence[Dimension], real: Tables, gen: Tables, accuracy: int | None = None, stage: bool = True
 ) -> FidelityReport:
-    """Score every dimension; all parts of the report are lazy."""
+    """Score every dimension.
+
+    The details feed both the scores and their own report tables, so they are
+    written once to the shared folder (``stage=False`` keeps them lazy). The
+    three kinds of dimensions are computed at the same time.
+    """
     spark = SparkSession.active()
     cats = [d for d in dims if isinstance(d, Categorical)]
     nums = [d for d in dims if isinstance(d, Numeric)]
     joints = [d for d in dims if isinstance(d, Joint)]
+    keep = runtime.pin if stage else (lambda df: df)
     empty = lambda ddl: spark.createDataFrame([], ddl)
-    scores = []
 
+    def joint_detail(d: Joint) -> DataFrame:
+        return keep(joint_pairs(joint_key_mean(d, real), joint_key_mean(d, gen)))
+
+    tasks = [lambda: keep(jsd_detail(cats, real, gen)) if cats else None]
+    tasks.append(lambda: quantile_stats(nums, real, gen, accuracy) if nums else None)
+    tasks += [partial(joint_detail, d) for d in joints]
+    detail, stats, *pairs = runtime.together(spark, tasks)
+
+    scores = []
     categorical = empty("dimension string, category string, real_pct double, gen_pct double, diff_pct double")
     if cats:
-        detail = jsd_detail(cats, real, gen)
         scores.append(jsd_score(detail).select("dimension", "score"))
         categorical = categorical_report(detail)
-
     numerical = empty("dimension string, statistic string, real_value double, gen_value double, diff double")
     if nums:
-        stats = quantile_stats(nums, real, gen, accuracy)
         scores.append(quantile_score(stats).select("dimension", "score"))
         numerical = numerical_report(stats)
-
     correlation = empty("element string, real_mean double, gen_mean double, diff double")
-    for d in joints:
-        pairs = joint_pairs(joint_key_mean(d, real), joint_key_mean(d, gen))
-        scores.append(joint_score(pairs).select(F.lit(d.name).alias("dimension"), "score"))
-        rows = pairs.select(
+    for d, p in zip(joints, pairs):
+        scores.append(joint_score(p).select(F.lit(d.name).alias("dimension"), "score"))
+        rows = p.select(
             F.col("element").cast("string").alias("element"),
             F.col("x").alias("real_mean"),
             F.col("y").alias("gen_mean"),

@@ -23,11 +23,12 @@ HOT_SHARE = 1.0 / 1024
 # ... and at least this many rows (below it one task is always enough).
 HOT_MIN_ROWS = 1_000_000
 # Heavy-hitter sketch width: guarantees a share error far below HOT_SHARE.
-_TRACKED = 16_384
+_TRACKED = 8_192
 # Sketches are merged in two steps so that no reducer sees one per map task.
-_MERGE_FAN = 64
+_MERGE_FAN = 256
 
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def local_session(app: str = "qualityforge", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -74,9 +75,12 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting beyond)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is small in rows and in text size; counting stops just
+    beyond the row limit."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

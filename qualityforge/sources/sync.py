@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from qualityforge.sources.tables import table_path
@@ -55,22 +54,14 @@ class ParquetSource:
 def sync_tables(spark: SparkSession, reader: Reader, names: Sequence[str], out: str) -> DataFrame:
     """Overwrite ``out/<table>`` for each table, in order.
 
-    Returns (table, source_rows, rows, ok) where ``rows`` is counted from the
-    written files. The first failing table stops the run.
+    Returns (table, source_rows, rows, ok): the source is counted while it is
+    copied, ``rows`` from the written files. The first failing table stops the
+    run.
     """
-    parts = []
-    for i, name in enumerate(names):
-        df = reader(spark, name)
-        path = table_path(out, name)
-        df.write.mode("overwrite").parquet(path)
-        one = lambda d, c: d.agg(F.count(F.lit(1)).alias(c)).scalar()
-        parts.append(
-            spark.range(1).select(
-                F.lit(i).alias("seq"),
-                F.lit(name).alias("table"),
-                one(df, "s").alias("source_rows"),
-                one(spark.read.parquet(path), "r").alias("rows"),
-            )
-        )
-    status = reduce(DataFrame.unionByName, parts)
-    return status.withColumn("ok", F.col("source_rows") == F.col("rows")).orderBy("seq").drop("seq")
+    rows = []
+    for name in names:
+        df, path, seen = reader(spark, name), table_path(out, name), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        arrived = spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
+        rows.append((name, seen.get["n"], arrived, seen.get["n"] == arrived))
+    return spark.createDataFrame(rows, "table string, source_rows long, rows long, ok boolean")
