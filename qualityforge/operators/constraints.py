@@ -125,8 +125,9 @@ class _Entity:
                 *[F.col(c).alias(lk.prefix + c) for c in lk.columns],
                 F.lit(True).alias(lk.prefix + "found"),
             )
-            side = runtime.checked_broadcast(side.dropDuplicates([f"__lk{i}"]))
-            df = df.join(side, F.col(lk.on) == F.col(f"__lk{i}"), "left")
+            small = runtime.fits_broadcast(side)
+            side = side.dropDuplicates([f"__lk{i}"])
+            df = df.join(F.broadcast(side) if small else side, F.col(lk.on) == F.col(f"__lk{i}"), "left")
         cols = [F.expr(f"`{k}`").alias(c) for k, c in zip(keys, self.key_cols)]
         for (t, k, _, how, expr), name in self.names.items():
             if (t, k) == (table, keys):

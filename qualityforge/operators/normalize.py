@@ -80,21 +80,28 @@ def copy_columns(df: DataFrame, columns: Sequence[str], defaults: Mapping[str, o
 def group_fingerprint(df: DataFrame, key: str, items: Sequence[str], prefix: str = "fp") -> DataFrame:
     """Per key, an order-free digest of its multiset of items.
 
-    Two keys get equal (n, a, b) when they hold the same items equally often:
-    the item count and two sums of independent 60-bit hash pieces. Unlike a
-    sorted list it is a plain sum, so a key with any number of rows combines map
-    side and needs constant memory. Items with a NULL part are ignored.
+    Two keys get the same digest when they hold the same items equally often:
+    the item count and four sums of independent 24-bit hash pieces (which do not
+    overflow below 5e11 items a key). Unlike a sorted list it is a plain sum, so
+    a key with any number of rows combines map side and needs constant memory.
+    Items with a NULL part are ignored.
     """
     text = F.concat(*[p for i, c in enumerate(items) for p in ([F.lit(":")] if i else []) + [F.col(c).cast("string")]])
-    h = F.md5(text)
-    lane = lambda start: F.conv(F.substring(h, start, 15), 16, 10).cast("decimal(20,0)")
+    lanes = []
+    for salt in (1, 2):
+        h = F.when(text.isNotNull(), F.xxhash64(F.lit(salt), text))
+        lanes += [F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 24) - 1)) for shift in (40, 8)]
     return df.groupBy(key).agg(
-        F.count(h).alias(f"{prefix}_n"),
-        F.coalesce(F.sum(lane(1)), F.lit(0)).cast("decimal(38,0)").alias(f"{prefix}_a"),
-        F.coalesce(F.sum(lane(17)), F.lit(0)).cast("decimal(38,0)").alias(f"{prefix}_b"),
+        F.count(text).alias(f"{prefix}_n"),
+        *[F.coalesce(F.sum(x), F.lit(0)).alias(c) for x, c in zip(lanes, fingerprint_columns(prefix)[1:])],
     )
 
 
+def fingerprint_columns(prefix: str = "fp") -> list[str]:
+    """The digest columns of `group_fingerprint`."""
+    return [f"{prefix}_{c}" for c in "nabcd"]
+
+
 def decodable(df: DataFrame, key: str, base: int, marker: tuple[str, str] | None = None) -> bool:
     """True when there are rows and every id is at least ``base`` (and every
     ``marker`` column, if present, has its value): ids then encode their group."""

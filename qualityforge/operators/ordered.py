@@ -11,6 +11,7 @@ Results are the same either way.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -29,11 +30,20 @@ _EXACT_DOUBLE = float(2**53)
 @dataclass(frozen=True)
 class Skew:
     """How hot groups are found; ``enabled=False`` skips the probe when group
-    sizes are bounded by construction."""
+    sizes are bounded by construction, ``known`` reuses an earlier probe."""
 
     enabled: bool = True
     share: float = runtime.HOT_SHARE
     min_rows: int = runtime.HOT_MIN_ROWS
+    known: Mapping[int, float] | None = None
+
+    def probe(self, df: DataFrame, group: list[str]) -> Mapping[int, float]:
+        """Hash and share of each hot group."""
+        if not self.enabled:
+            return {}
+        if self.known is not None:
+            return self.known
+        return runtime.hot_key_hashes(df, group, self.share, self.min_rows)
 
 
 @dataclass
@@ -92,7 +102,7 @@ def _split_hot(s: _Series, skew: Skew) -> None:
     x = _numeric_key(s.order[0], dtypes[s.order[0]])
     if x is None:
         return
-    hot = runtime.hot_key_hashes(s.df, s.group, skew.share, skew.min_rows)
+    hot = skew.probe(s.df, s.group)
     if not hot:
         return
     tagged = s.df.withColumn("__gh", F.xxhash64(*s.group)).withColumn("__x", x)

@@ -10,7 +10,7 @@ from qualityforge.functions.scalars import block_of
 from qualityforge.operators import profile, rules as R
 from qualityforge.operators.compliant import compliant_parent, filter_compliant
 from qualityforge.operators.constraints import evaluate, run_verdict, violation_ledger
-from qualityforge.operators.normalize import group_fingerprint
+from qualityforge.operators.normalize import fingerprint_columns, group_fingerprint
 from qualityforge.operators.ordered import Skew, not_increasing, strict_prefix_maxima, with_previous
 from qualityforge.plans.registry import Lake, query, rounded
 
@@ -316,13 +316,17 @@ def group_key_decode(lake: Lake) -> DataFrame:
 
 @query(
     "group_fingerprint",
-    "SELECT l_orderkey, count(h) AS fp_n, CAST(sum(('0x' || substr(h, 1, 15))::BIGINT) AS VARCHAR) AS fp_a,"
-    " CAST(sum(('0x' || substr(h, 17, 15))::BIGINT) AS VARCHAR) AS fp_b FROM"
-    " (SELECT l_orderkey, md5(l_returnflag || ':' || l_linenumber) AS h FROM lineitem) GROUP BY l_orderkey",
+    "WITH f AS (SELECT l_orderkey, count(*) AS n, string_agg(l_returnflag || ':' || l_linenumber, ','"
+    " ORDER BY l_returnflag || ':' || l_linenumber) AS f FROM lineitem GROUP BY l_orderkey)"
+    " SELECT min(l_orderkey) AS first_order, max(n) AS items, count(*) AS orders FROM f GROUP BY f",
 )
 def fingerprint(lake: Lake) -> DataFrame:
-    out = group_fingerprint(lake.lineitem, "l_orderkey", ["l_returnflag", "l_linenumber"])
-    return out.select("l_orderkey", "fp_n", F.col("fp_a").cast("string"), F.col("fp_b").cast("string"))
+    """Orders grouped by equal sets of lines."""
+    digest = group_fingerprint(lake.lineitem, "l_orderkey", ["l_returnflag", "l_linenumber"])
+    same = digest.groupBy(*fingerprint_columns())
+    return same.agg(
+        F.min("l_orderkey").alias("first_order"), F.max("fp_n").alias("items"), F.count(F.lit(1)).alias("orders")
+    ).select("first_order", "items", "orders")
 
 
 @query(
@@ -336,7 +340,7 @@ def fingerprint_groups(lake: Lake) -> DataFrame:
     """Series of orders with the same status, priority and set of lines."""
     digest = group_fingerprint(lake.lineitem, "l_orderkey", ["l_returnflag", "l_linenumber"])
     joined = lake.orders.join(digest, F.col("o_orderkey") == F.col("l_orderkey"))
-    group = ["o_orderstatus", "o_orderpriority", "fp_n", "fp_a", "fp_b"]
+    group = ["o_orderstatus", "o_orderpriority", *fingerprint_columns()]
     out = with_previous(joined, group, ["o_orderdate", "o_orderkey"], "o_totalprice", skew=_HOT)
     return out.select("o_orderkey", "previous")
 

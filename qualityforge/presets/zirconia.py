@@ -17,7 +17,7 @@ from qualityforge.operators import rules as R
 from qualityforge.operators.compliant import filter_compliant, write_compliant
 from qualityforge.operators.constraints import ConstraintReport, check, evaluate
 from qualityforge.operators.fidelity import Categorical, FidelityReport, Joint, Numeric, score_fidelity
-from qualityforge.operators.normalize import decodable, encode, group_fingerprint
+from qualityforge.operators.normalize import decodable, encode, fingerprint_columns, group_fingerprint
 from qualityforge.operators.ordered import Skew
 
 Tables = Mapping[str, DataFrame]
@@ -120,7 +120,7 @@ def dictionaries(spark: SparkSession) -> dict[str, DataFrame]:
 
 # --------------------------------------------------------------- constraints
 
-_FP = ("__fp_n", "__fp_a", "__fp_b")
+_FP = tuple(fingerprint_columns("__fp"))
 
 
 def resolve_series(tables: Tables) -> tuple[dict[str, DataFrame], R.MonotonicRule, list[str]]:
