@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualityforge.llm import exact_dedup, mixing
+from qualityforge.llm import crf_quality, exact_dedup, kn_language, mixing, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -100,3 +100,30 @@ def mix_sources(spark: SparkSession, base: str) -> DataFrame:
 def exact_dedup_query(spark: SparkSession, base: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, base, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def fold(key: str, parts: int):
+    """Remainder of the CRC-32 of the key as text; a null key counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % parts
+
+
+@query("op5_language_id")
+def language_id(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    part = fold("doc_id", 5)
+    model = kn_language.train(docs, "doc_id", "text", "lang", learn=part > 1, calibrate=part == 1)
+    return kn_language.predict(docs, model).select("doc_id", (part == 0).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query("op6_quality_rules")
+def quality_rules(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    return crf_quality.judge(docs, crf_quality.train(docs, table(spark, base, "labels")))
+
+
+@query("op8_toxicity")
+def toxicity_query(spark: SparkSession, base: str) -> DataFrame:
+    docs, part = table(spark, base, "documents"), fold("doc_id", 3)
+    model = toxicity.train(docs, table(spark, base, "labels").filter(part != 1))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (part == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
