@@ -26,13 +26,15 @@ from qualityforge.llm.wordcache import WordCache
 
 BUCKETS = 1 << 17
 DIM = 16
-GRAMS = (3, 4, 5)
-WINDOW = 16
+GRAMS = (3, 4, 5, 6)
+WINDOW = 64
 # Labelled documents per class that the model is fitted on.
 TRAIN_DOCS = 4000
-ROUNDS = 80
-# An n-gram takes part only if so many training documents hold it, lest rare words learn single labels.
-MIN_DOCS = 5
+ROUNDS = 300
+# An n-gram takes part if the classes differ in it by so many standard errors, lest rare words learn single labels.
+TELLING = 4.0
+RATE = 2.0
+DECAY = 0.001
 # Only this much of a single word feeds the n-grams; longer runs are no words.
 WORD_BYTES = 64
 
@@ -80,7 +82,7 @@ def word_logits(model_grams: np.ndarray, words: list[bytes]) -> np.ndarray:
     return np.add.reduceat(model_grams[ids], np.cumsum(size) - size) / size
 
 
-def windows(first: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and size of every text's windows (half a width apart), and its text's index."""
     step = max(1, width // 2)
     n = np.diff(first)
@@ -92,17 +94,23 @@ def windows(first: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndar
 
 
 def window_logits(per_word: np.ndarray, first: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    begin, size, doc = windows(first)
+    begin, size, doc = windows(first, WINDOW)
     total = np.concatenate([[0.0], np.cumsum(per_word)])
-    return (total[begin + size] - total[begin]) / np.maximum(size, 1) + bias, begin, size, doc
+    # A short text counts as one padded to the window with words that say nothing.
+    return (total[begin + size] - total[begin]) / WINDOW + bias, begin, size, doc
 
 
-def _documents_with(ids: np.ndarray, size: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """In how many texts each n-gram bucket occurs (a bucket hit by several words of a text may count again)."""
-    docs = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    pairs = np.unique(docs * np.int64(len(size)) + place)
-    times = np.bincount(pairs % len(size), minlength=len(size))
-    return np.bincount(ids, np.repeat(times, size), BUCKETS)
+def _telling(ids: np.ndarray, size: np.ndarray, place: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Buckets whose share of toxic and of other texts differs by at least ``TELLING`` standard errors."""
+    seen = np.zeros((2, BUCKETS))
+    begin = np.cumsum(size) - size
+    for d in range(len(toxic)):
+        own = np.unique(place[first[d] : first[d + 1]])
+        seen[int(toxic[d]), np.unique(K.ragged(ids, begin[own], size[own]))] += 1
+    many = np.array([(~toxic).sum(), toxic.sum()])
+    pooled = seen.sum(0) / many.sum()
+    error = np.sqrt(pooled * (1 - pooled) * (1 / many).sum())
+    return np.abs(seen[1] / many[1] - seen[0] / many[0]) >= np.maximum(TELLING * error, 1e-12)
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS, seed: int = 5) -> Model:
@@ -114,29 +122,36 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS, seed: int =
     words = K.split_words(data, offsets)
     _, one, place = K.unique_words(words)
     ids, size = word_grams([words.text(i) for i in one])
-    begin_gram = np.cumsum(size) - size
-    allowed = _documents_with(ids, size, place, words.first) >= MIN_DOCS
+    telling = _telling(ids, size, place, words.first, toxic)
+    # Only telling n-grams move; a word's mean still counts all it has.
+    word = np.repeat(np.arange(len(size)), size)[telling[ids]]
+    ids = ids[telling[ids]]
+    part = 1 / size[word]
     rng = np.random.default_rng(seed)
-    grams = rng.normal(0, 0.1, (BUCKETS, DIM)) * allowed[:, None]
+    grams = rng.normal(0, 0.1, (BUCKETS, DIM)) * telling[:, None]
     row, bias = rng.normal(0, 0.1, DIM), 0.0
     speed, row_speed, bias_speed = np.full((BUCKETS, 1), 1e-8), 1e-8, 1e-8
-    y = toxic.astype(float)
     balance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
+    begin, width, doc = windows(words.first, WINDOW)
+    text, head = np.unique(doc, return_index=True)
     for _ in range(rounds):
-        logit_of = np.add.reduceat((grams @ row)[ids], begin_gram) / size
-        logits, begin, width, doc = window_logits(logit_of[place], words.first, bias)
-        order = np.lexsort((-logits, doc))
-        top = order[np.unique(doc[order], return_index=True)[1]]
-        error = (1 / (1 + np.exp(-logits[top])) - y[doc[top]]) * balance[doc[top]]
-        # Each n-gram's share of the error, through its word and its window.
+        logit_of = np.bincount(word, (grams @ row)[ids] * part, len(size))
+        total = np.concatenate([[0.0], np.cumsum(logit_of[place])])
+        logits = (total[begin + width] - total[begin]) / WINDOW + bias
+        best = np.maximum.reduceat(logits, head)
+        # The first of a text's highest windows.
+        hits = np.flatnonzero(logits == np.repeat(best, np.diff(np.append(head, len(doc)))))
+        top = hits[np.unique(doc[hits], return_index=True)[1]]
+        error = (1 / (1 + np.exp(-best)) - toxic[text]) * balance[text]
+        # Each n-gram's share of the error, through its window and its word.
         used = K.ragged(place, begin[top], width[top])
-        per_word = np.bincount(used, np.repeat(error / width[top], width[top]), len(size))
-        share = np.bincount(ids, np.repeat(per_word / size, size), BUCKETS) * allowed
+        per_word = np.bincount(used, np.repeat(error / WINDOW, width[top]), len(size))
+        share = np.bincount(ids, per_word[word] * part, BUCKETS)
         grad_row, grad = grams.T @ share, share[:, None] * row
         speed += (grad**2).mean(1, keepdims=True)
         row_speed += (grad_row**2).mean()
         bias_speed += error.sum() ** 2
-        grams -= 0.5 * grad / np.sqrt(speed)
+        grams -= RATE * grad / np.sqrt(speed) + DECAY * grams
         row -= 0.1 * grad_row / np.sqrt(row_speed)
         bias -= 0.2 * error.sum() / np.sqrt(bias_speed)
     return Model(grams @ row, bias)
