@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualityforge.llm import crf_quality, exact_dedup, kn_language, mixing, toxicity
+from qualityforge.llm import crf_quality, exact_dedup, kn_language, mixing, simple8b, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -127,3 +127,15 @@ def toxicity_query(spark: SparkSession, base: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, base, "labels").filter(part != 1))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (part == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def tokenizer_path(spark: SparkSession) -> str:
+    """Place of the tokenizer's file on every worker: the session's setting, else the installed one."""
+    import public_tokenizers
+
+    return spark.conf.get("qualityforge.tokenizer", public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_token_ids")
+def token_ids(spark: SparkSession, base: str) -> DataFrame:
+    return simple8b.token_table(table(spark, base, "documents"), tokenizer_path(spark), end_id=2)
