@@ -79,7 +79,7 @@ def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE) -> Iterator[Sl
     """Cut a column of texts (null counts as empty) into slices of whole documents."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     n = len(texts)
     if not n:
         return

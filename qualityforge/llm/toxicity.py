@@ -29,8 +29,8 @@ DIM = 16
 GRAMS = (3, 4, 5, 6)
 WINDOW = 64
 # Labelled documents per class that the model is fitted on.
-TRAIN_DOCS = 4000
-ROUNDS = 300
+TRAIN_DOCS = 2000
+ROUNDS = 200
 # An n-gram takes part if the classes differ in it by so many standard errors, lest rare words learn single labels.
 TELLING = 4.0
 RATE = 2.0
@@ -75,6 +75,26 @@ def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ids)[order].astype(np.int64), np.bincount(owners, minlength=len(size))
 
 
+def _grams_in_parts(words: list[bytes], part: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    found = [word_grams(words[i : i + part]) for i in range(0, len(words), part)]
+    return np.concatenate([ids.astype(np.int32) for ids, _ in found]), np.concatenate([size for _, size in found])
+
+
+def _vocabulary(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words, each word's place among them, and the index of every text's first word."""
+    hashes, many, held = [], [], {}
+    for s in K.slices(pa.array(texts, pa.large_binary())):
+        words = K.split_words(s.data, s.offsets)
+        distinct, one, _ = K.unique_words(words)
+        for h, i in zip(distinct.tolist(), one.tolist()):
+            if h not in held:
+                held[h] = words.text(i)
+        hashes.append(words.hashes)
+        many.append(np.diff(words.first))
+    distinct, place = np.unique(np.concatenate(hashes), return_inverse=True)
+    return [held[h] for h in distinct.tolist()], place.astype(np.int32), np.concatenate([[0], np.cumsum(np.concatenate(many))])
+
+
 def word_logits(model_grams: np.ndarray, words: list[bytes]) -> np.ndarray:
     ids, size = word_grams(words)
     if not len(size):
@@ -117,22 +137,22 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = ROUNDS, seed: int =
     """Train on whole texts. Without texts of both kinds every window gets their common class."""
     if not len(texts) or toxic.all() or not toxic.any():
         return Model(np.zeros(BUCKETS), 4.0 if len(texts) and toxic.all() else -4.0)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    words = K.split_words(data, offsets)
-    _, one, place = K.unique_words(words)
-    ids, size = word_grams([words.text(i) for i in one])
-    telling = _telling(ids, size, place, words.first, toxic)
+    vocabulary, place, first = _vocabulary(texts)
+    if not len(place):
+        return Model(np.zeros(BUCKETS), 0.0)
+    ids, size = _grams_in_parts(vocabulary)
+    telling = _telling(ids, size, place, first, toxic)
     # Only telling n-grams move; a word's mean still counts all it has.
-    word = np.repeat(np.arange(len(size)), size)[telling[ids]]
-    ids = ids[telling[ids]]
+    moving = np.flatnonzero(telling[ids])
+    word = np.searchsorted(np.cumsum(size), moving, "right")
+    ids = ids[moving]
     part = 1 / size[word]
     rng = np.random.default_rng(seed)
     grams = rng.normal(0, 0.1, (BUCKETS, DIM)) * telling[:, None]
     row, bias = rng.normal(0, 0.1, DIM), 0.0
     speed, row_speed, bias_speed = np.full((BUCKETS, 1), 1e-8), 1e-8, 1e-8
     balance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
-    begin, width, doc = windows(words.first, WINDOW)
+    begin, width, doc = windows(first, WINDOW)
     text, head = np.unique(doc, return_index=True)
     for _ in range(rounds):
         logit_of = np.bincount(word, (grams @ row)[ids] * part, len(size))
