@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualityforge.llm import crf_quality, exact_dedup, kn_language, mixing, simple8b, toxicity
+from qualityforge.llm import crf_quality, exact_dedup, kn_language, mixing, packing, simple8b, toxicity, url_rules
 
 QUERIES, ORACLES = {}, {}
 
@@ -139,3 +139,30 @@ def tokenizer_path(spark: SparkSession) -> str:
 @query("op7_token_ids")
 def token_ids(spark: SparkSession, base: str) -> DataFrame:
     return simple8b.token_table(table(spark, base, "documents"), tokenizer_path(spark), end_id=2)
+
+
+# Fixed rules: host, path, verdict.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+@query("op4_url_filter")
+def url_filter(spark: SparkSession, base: str) -> DataFrame:
+    """Pages are labelled by the row of ``labels`` that carries their id: low quality or toxic means block."""
+    labels = table(spark, base, "labels")
+    flags = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("block"))
+    return url_rules.judge_urls(table(spark, base, "pages"), URL_RULES, flags)
+
+
+def packable(docs: DataFrame) -> DataFrame:
+    """Sizes in words; documents equal but for ASCII case are one cluster."""
+    return docs.select("doc_id", "source", F.md5(F.encode(exact_dedup.normalised(), "UTF-8")).alias("cluster"), mixing.count_words().alias("n_tokens"))
+
+
+@query("op10_best_fit_packing")
+def best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
+    return packing.pack_documents(packable(table(spark, base, "documents")))
