@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualityforge.llm import crf_quality, exact_dedup, kn_language, mixing, packing, simple8b, toxicity, url_rules
+from qualityforge.llm import crf_quality, exact_dedup, fuzzy_lines, kn_language, mixing, packing, prefix_join, simple8b, toxicity, url_rules
 
 QUERIES, ORACLES = {}, {}
 
@@ -166,3 +166,13 @@ def packable(docs: DataFrame) -> DataFrame:
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_documents(packable(table(spark, base, "documents")))
+
+
+@query("op3_prefix_join")
+def prefix_join_query(spark: SparkSession, base: str) -> DataFrame:
+    return prefix_join.jaccard_components(table(spark, base, "documents"))
+
+
+@query("op1_fuzzy_lines")
+def fuzzy_lines_query(spark: SparkSession, base: str) -> DataFrame:
+    return fuzzy_lines.line_verdicts(table(spark, base, "documents"))
