@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qualityforge import runtime
 from qualityforge.llm.staging import staged
 
 SALTS = 16
@@ -82,10 +83,19 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", diges
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` drops, columns unchanged.
+    """One row of every group of equal texts, with its columns unchanged: a row with the largest key.
 
-    Of rows with equal text and equal key, any one stays.
+    Of rows that repeat both key and text any one stays. Column names that start
+    with ``_exact_`` are taken.
     """
-    dropped = exact_groups(docs, key, text).filter(~F.col("kept"))
-    order = f"_{key}_dropped"
-    return docs.join(dropped.select(F.col(key).alias(order)).distinct(), F.col(key) == F.col(order), "left_anti")
+    marked = docs.withColumns({"_exact_key": F.col(key), "_exact_digest": sha256(normalised(text))})
+    lost = exact_groups(docs, key, text).filter(~F.col("kept")).select(F.col(key).alias("_exact_k"), F.col("digest").alias("_exact_d"))
+    lost = runtime.checked_broadcast(runtime.pin(lost.distinct()))
+    left = marked.join(lost, F.col("_exact_key").eqNullSafe(F.col("_exact_k")) & (F.col("_exact_digest") == F.col("_exact_d")), "left_anti")
+    pairs = marked.groupBy("_exact_key", "_exact_digest").agg(F.count(F.lit(1)).alias("_exact_n")).filter("_exact_n > 1")
+    twice = runtime.pin(pairs.select(F.col("_exact_key").alias("_exact_k"), F.col("_exact_digest").alias("_exact_d")))
+    if not twice.isEmpty():
+        again = F.col("_exact_key").eqNullSafe(F.col("_exact_k")) & (F.col("_exact_digest") == F.col("_exact_d"))
+        once = left.join(twice, again, "left_semi").dropDuplicates(["_exact_key", "_exact_digest"])
+        left = left.join(twice, again, "left_anti").unionByName(once)
+    return left.drop("_exact_key", "_exact_digest")

@@ -158,3 +158,17 @@ def mix_sources(docs: DataFrame, mix: Mix, key: str = "doc_id") -> DataFrame:
         .unionByName(cut.select(*out))
         .withColumn("used_tokens", F.col("full_epochs") * F.col("n_tokens") + F.col("last_tokens"))
     )
+
+
+def mixed_rows(docs: DataFrame, sizes: DataFrame, mix: Mix, key: str = "doc_id") -> DataFrame:
+    """``docs`` as the mixture uses them: a row for each epoch that takes tokens of it.
+
+    Columns are unchanged. Documents are not cut: the one in which a leaf's budget
+    ends comes whole. Rows that repeat a key come as often as the one used most;
+    rows with a null key are left out.
+    """
+    plan = mix_sources(sizes, mix, key).filter("used_tokens > 0")
+    copies = plan.withColumn("_mix_copies", F.col("full_epochs") + F.when(F.col("last_tokens") > 0, 1).otherwise(0))
+    copies = copies.groupBy(F.col(key).alias("_mix_key")).agg(F.max("_mix_copies").alias("_mix_copies"))
+    joined = docs.join(copies, F.col(key) == F.col("_mix_key"))
+    return joined.withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))).drop("_mix_key", "_mix_copies", "_mix_epoch")

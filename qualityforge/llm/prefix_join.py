@@ -251,3 +251,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     are not read; an empty table gives no rows.
     """
     return PrefixJoin(docs, key, text, words, percent).result().withColumnRenamed("key", key)
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of every component, the one with the smallest key, with its columns unchanged.
+
+    Rows with a null key stay. Column names that start with ``_near_`` are taken.
+    """
+    found = jaccard_components(docs, key, text, words, percent)
+    lost = runtime.pin(found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_near_key")).distinct())
+    return docs.join(runtime.checked_broadcast(lost), F.col(key) == F.col("_near_key"), "left_anti")
