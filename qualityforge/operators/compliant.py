@@ -26,19 +26,19 @@ def compliant_parent(rules: Sequence[Rule], tables: Tables, parent: str, key: st
     series = [r for r in active if isinstance(r, MonotonicRule)]
     if len(series) > 1 or any(r.table != parent for r in series):
         raise ValueError("the closure supports one monotonic rule, on the parent table")
-    parent_df, hot = tables[parent], {}
+    parent_df, hot = tables[parent], None
     if series:
         # One probe serves both scans: groups only shrink in between.
         r = series[0]
         hot = r.skew.probe(parent_df.filter(r.where) if r.where else parent_df, list(r.group))
-        r = replace(r, skew=replace(r.skew, known=hot))
+        r = replace(r, skew=replace(r.skew, enabled=hot is not None, known=hot))
         active = [r if isinstance(a, MonotonicRule) else a for a in active]
     bad = violation_ledger(active, tables, distinct=False).select(F.col("entity_id").alias(key)).distinct()
     kept = parent_df.join(bad, key, "left_anti").select(parent_df.columns)
     if not series:
         return kept
-    if hot:
-        # Cut points take extra passes over the survivors: compute those once.
+    if hot is not None:
+        # Hot and ordinary groups are read apart: compute the survivors once.
         kept = runtime.pin(kept)
     if r.where is None:
         return strict_prefix_maxima(kept, list(r.group), list(r.order), r.value, r.skew)

@@ -1,181 +1,98 @@
 """Ordered scans inside groups that stay balanced when one group is huge.
 
 Both scans (previous value, strict prefix maximum) are plain window functions
-while every group fits a task: one shuffle and one sort on the group key. When
-the heavy-hitter probe reports hot groups, only those are cut into consecutive
-buckets of the order key; the window runs per (group, bucket) and a carry from
-the preceding buckets, computed on one summary row per bucket, closes the seams.
-Results are the same either way.
+while every group fits a task: one shuffle and one sort on the group key. Groups
+of at least ``Skew.rows`` rows are cut into consecutive buckets of the order
+columns by Spark's own range partitioning, so the cuts follow the very order that
+the window sorts by, whatever the types, collations, NULLs and time zones. The
+window then runs per (group, bucket), and a carry from the preceding buckets,
+computed on one row per bucket, closes the seams. Results are the same either way.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from qualityforge import runtime
 
-# Cut points per hot group are taken from this grid, then thinned by share.
-_GRID = 1024
-_TIE_GRID = 256
-_EXACT_DOUBLE = float(2**53)
-
 
 @dataclass(frozen=True)
 class Skew:
-    """How hot groups are found; ``enabled=False`` skips the probe when group
-    sizes are bounded by construction, ``known`` reuses an earlier probe."""
+    """How hot groups are found: ``rows`` is the most that one task should get of a group.
+
+    ``enabled=False`` skips the probe when group sizes are bounded by
+    construction; ``known`` reuses an earlier probe (of the same or more rows).
+    """
 
     enabled: bool = True
-    share: float = runtime.HOT_SHARE
-    min_rows: int = runtime.HOT_MIN_ROWS
-    known: Mapping[int, float] | None = None
+    rows: int = runtime.HOT_ROWS
+    known: DataFrame | None = None
+
+    def __post_init__(self):
+        if self.rows < 2:
+            raise ValueError("a task must be allowed two rows of a group")
 
-    def probe(self, df: DataFrame, group: list[str]) -> Mapping[int, float]:
-        """Hash and share of each hot group."""
+    def probe(self, df: DataFrame, group: list[str]) -> DataFrame | None:
+        """(h, n): hash and rows of each hot group; None if there is none."""
         if not self.enabled:
-            return {}
+            return None
         if self.known is not None:
             return self.known
-        return runtime.hot_key_hashes(df, group, self.share, self.min_rows)
+        hot = runtime.hot_groups(df, group, self.rows)
+        return None if hot.isEmpty() else hot
 
 
 @dataclass
 class _Series:
-    df: DataFrame
+    """Rows of ordinary groups, and rows of hot groups with their bucket ``__b``."""
+
+    plain: DataFrame
+    hot: DataFrame | None
     group: list[str]
     order: list[str]
-    value: str
-    temps: list[str] = field(default_factory=list)
-    split: bool = False
+
+    def window(self, *more: str):
+        return W.partitionBy(*self.group, *more).orderBy(*self.order)
 
     @property
-    def bucket(self) -> list[str]:
-        return ["__b1", "__b2"] if self.split else []
-
-
-def _numeric_key(name: str, dtype: T.DataType) -> Column | None:
-    """A non-decreasing map of an order column to DOUBLE, None if there is none."""
-    c = F.col(name)
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(c), 1, 12), 12, "0"), 16, 10).cast("double")
-    return None
-
-
-def _thin(cuts: list[float], parts: int) -> list[float]:
-    """Every k-th point of an evenly spaced cut list, for ``parts`` buckets."""
-    step = max(1, math.floor((len(cuts) + 1) / max(1, parts)))
-    return cuts[step - 1 :: step]
-
-
-def _below(heads: Column, cuts: Column, width: Column, x: Column) -> Column:
-    """How many sorted ``cuts`` lie strictly below ``x``: block heads first, then
-    one block, so about 2*sqrt(n) comparisons."""
-    block = F.size(F.filter(heads, lambda c: c < x))
-    inside = F.size(F.filter(F.slice(cuts, (block - 1) * width + 1, width), lambda c: c < x))
-    return F.when(x.isNull() | (block == 0), F.lit(0)).otherwise((block - 1) * width + inside)
-
-
-def _indexed(cuts: list[float]) -> tuple[list[float], list[float], int]:
-    width = max(1, math.isqrt(len(cuts)))
-    return cuts[::width], cuts, width
-
-
-def _split_hot(s: _Series, skew: Skew) -> None:
-    """Add the bucket columns (__b1, __b2) for hot groups, 0 for the others."""
-    if not skew.enabled:
-        return
-    spark = s.df.sparkSession
-    dtypes = {f.name: f.dataType for f in s.df.schema.fields}
-    x = _numeric_key(s.order[0], dtypes[s.order[0]])
-    if x is None:
-        return
-    hot = skew.probe(s.df, s.group)
-    if not hot:
-        return
-    tagged = s.df.withColumn("__gh", F.xxhash64(*s.group)).withColumn("__x", x)
-    tagged = tagged.withColumn("__hot", F.col("__gh").isin(list(hot)))
-    hot_rows = tagged.filter("__hot")
-
-    # Level 1: cut points of the leading order column. Collected: at most
-    # 1/share keys with _GRID - 1 doubles each.
-    grid = [i / _GRID for i in range(1, _GRID)]
-    found = hot_rows.groupBy("__gh").agg(F.percentile_approx("__x", grid, 4 * _GRID).alias("c")).collect()
-    level1, ties = [], {}
-    for r in found:
-        parts = math.ceil(2 * hot[r["__gh"]] / skew.share)
-        cuts = _thin(r["c"] or [], min(parts, _GRID))
-        for v in {a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT_DOUBLE}:
-            ties[(r["__gh"], v)] = cuts.count(v)
-        level1.append((r["__gh"], *_indexed(sorted(set(cuts)))))
-    l1 = "__gh long, __h1 array<double>, __c1 array<double>, __w1 int"
-    tagged = tagged.join(F.broadcast(spark.createDataFrame(level1, l1)), "__gh", "left").withColumn(
-        "__b1",
-        F.when(F.col("__hot"), _below(F.col("__h1"), F.col("__c1"), F.col("__w1"), F.col("__x"))).otherwise(0),
-    )
+    def along(self):
+        """The buckets of a group, one row each."""
+        return W.partitionBy(*self.group).orderBy("__b")
 
-    # Level 2: one order value so frequent that it spans several cuts is cut
-    # again along the tie-breaker.
-    y = _numeric_key(s.order[1], dtypes[s.order[1]]) if len(s.order) > 1 else None
-    exact = not isinstance(dtypes[s.order[0]], T.StringType)
-    if ties and y is not None and exact:
-        tie_rows = spark.createDataFrame([(g, v) for g, v in ties], "__gh long, __x double")
-        grid2 = [i / _TIE_GRID for i in range(1, _TIE_GRID)]
-        found2 = (
-            hot_rows.withColumn("__y", y)
-            .join(F.broadcast(tie_rows), ["__gh", "__x"])
-            .groupBy("__gh", "__x")
-            .agg(F.percentile_approx("__y", grid2, 4 * _TIE_GRID).alias("c"))
-            .collect()
-        )
-        level2 = []
-        for r in found2:
-            cuts = _thin(r["c"] or [], min(2 * ties[(r["__gh"], r["__x"])], _TIE_GRID))
-            level2.append((r["__gh"], r["__x"], *_indexed(sorted(set(cuts)))))
-        l2 = "__gh long, __x double, __h2 array<double>, __c2 array<double>, __w2 int"
-        tagged = tagged.join(F.broadcast(spark.createDataFrame(level2, l2)), ["__gh", "__x"], "left").withColumn(
-            "__b2",
-            F.when(F.col("__c2").isNotNull(), _below(F.col("__h2"), F.col("__c2"), F.col("__w2"), y)).otherwise(0),
-        )
-    else:
-        tagged = tagged.withColumn("__b2", F.lit(0))
-    s.df = tagged
-    s.split = True
-
-
-def _series(df: DataFrame, group: list[str], order: list[str], value: str, skew: Skew) -> tuple[_Series, list[str]]:
-    out = df.columns
-    names = []
-    for i, g in enumerate(group):
-        df = df.withColumn(f"__g{i}", F.expr(g))
-        names.append(f"__g{i}")
-    s = _Series(df.withColumn("__v", F.expr(value)), names, list(order), "__v")
-    _split_hot(s, skew)
-    return s, out
+
+def _series(df: DataFrame, group: list[str], order: list[str], value: str, skew: Skew) -> _Series:
+    """Split ``df`` (plus ``__g*`` and ``__v``) into ordinary and hot groups.
+
+    Buckets hold about half of ``skew.rows``; rows equal in all order columns
+    share one. The bucketed rows are pinned, because range cuts come from a sample
+    and must be the same for the rows and for their carry.
+    """
+    names = [f"__g{i}" for i in range(len(group))]
+    df = df.select("*", *[F.expr(g).alias(n) for g, n in zip(group, names)], F.expr(value).alias("__v"))
+    hot = skew.probe(df, names)
+    if hot is None:
+        return _Series(df, None, names, list(order))
+    tagged = df.withColumn("__gh", F.xxhash64(*names))
+    keys = runtime.checked_broadcast(hot.select(F.col("h").alias("__gh")))
+    parts = max(2, math.ceil(2 * hot.agg(F.sum("n")).first()[0] / skew.rows))
+    heavy = tagged.join(keys, "__gh", "left_semi").repartitionByRange(parts, "__gh", *order)
+    heavy = runtime.pin(heavy.withColumn("__b", F.spark_partition_id()))
+    return _Series(tagged.join(keys, "__gh", "left_anti"), heavy, names, list(order))
 
 
 def _attach_carry(rows: DataFrame, carry: DataFrame, s: _Series) -> DataFrame:
-    """Left join of one carry row per hot bucket. Broadcast bound: level 1 adds
-    at most 2/share + 1 buckets per hot key and ties at most twice that again."""
-    keys = s.group + s.bucket
-    renamed = carry.select([F.col(k).alias(f"__r{k}") for k in keys] + ["__carry"])
-    cond = None
+    """Left join of one carry row per hot bucket."""
+    keys = [*s.group, "__b"]
+    side = runtime.checked_broadcast(carry.select([F.col(k).alias(f"__r{k}") for k in keys] + ["__carry"]))
+    same = F.lit(True)
     for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__r{k}"))
-        cond = c if cond is None else cond & c
-    return rows.join(F.broadcast(renamed), cond, "left")
+        same = same & F.col(k).eqNullSafe(F.col(f"__r{k}"))
+    return rows.join(side, same, "left")
 
 
 def with_previous(
@@ -190,20 +107,17 @@ def with_previous(
 
     ``order`` should end in a unique column: ties are otherwise arbitrary.
     """
-    s, cols = _series(df, group, order, value, skew)
-    w = W.partitionBy(*s.group, *s.bucket).orderBy(*s.order)
-    rows = s.df.withColumn(out, F.lag("__v").over(w))
-    if s.split:
-        tails = (
-            s.df.filter("__hot")
-            .groupBy(*s.group, *s.bucket)
-            .agg(F.max(F.struct(*s.order, F.col("__v").alias("__v"))).alias("t"))
-        )
-        along = W.partitionBy(*s.group).orderBy(*s.bucket)
-        carry = tails.withColumn("__carry", F.lag("t.__v").over(along))
-        rows = _attach_carry(rows.withColumn("__first", F.row_number().over(w) == 1), carry, s)
-        rows = rows.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col(out)))
-    return rows.select(*cols, out)
+    s = _series(df, group, order, value, skew)
+    columns = [*df.columns, out]
+    result = s.plain.withColumn(out, F.lag("__v").over(s.window())).select(*columns)
+    if s.hot is None:
+        return result
+    w = s.window("__b")
+    last = s.hot.withColumn("__more", F.lead(F.lit(True)).over(w)).filter("__more is null")
+    carry = runtime.pin(last.withColumn("__carry", F.lag("__v").over(s.along)).select(*s.group, "__b", "__carry"))
+    rows = s.hot.withColumn(out, F.lag("__v").over(w)).withColumn("__first", F.row_number().over(w) == 1)
+    rows = _attach_carry(rows, carry, s).withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col(out)))
+    return result.unionByName(rows.select(*columns))
 
 
 def not_increasing(
@@ -214,6 +128,12 @@ def not_increasing(
     return flagged.filter(F.expr(value) <= F.col("__prev")).drop("__prev")
 
 
+def _peaks(rows: DataFrame, w) -> DataFrame:
+    """Add the number of NULLs so far, and the highest (that number, value) before each row."""
+    rows = rows.withColumn("__seg", F.count_if(F.col("__v").isNull()).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return rows.withColumn("__m", F.max(F.struct("__seg", "__v")).over(w.rowsBetween(W.unboundedPreceding, -1)))
+
+
 def strict_prefix_maxima(
     df: DataFrame, group: list[str], order: list[str], value: str, skew: Skew = Skew()
 ) -> DataFrame:
@@ -224,30 +144,23 @@ def strict_prefix_maxima(
     would have an earlier maximum at least as large, so the series would not be
     strictly increasing. NULL rows always stay and act as a barrier.
     """
-    s, cols = _series(df, group, order, value, skew)
-    w = W.partitionBy(*s.group, *s.bucket).orderBy(*s.order)
-    upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = w.rowsBetween(W.unboundedPreceding, -1)
+    s = _series(df, group, order, value, skew)
     v, m = F.col("__v"), F.col("__m")
-    rows = s.df.withColumn("__seg", F.count_if(v.isNull()).over(upto))
     # Segments only grow, so the maximum of (segment, value) belongs to the
     # current segment unless a NULL has just opened a new one.
-    rows = rows.withColumn("__m", F.max(F.struct("__seg", v.alias("__v"))).over(before))
     local = v.isNull() | m.isNull() | (m["__seg"] < F.col("__seg")) | m["__v"].isNull() | (v > m["__v"])
-    if not s.split:
-        return rows.filter(local).select(*cols)
-
-    along = W.partitionBy(*s.group).orderBy(*s.bucket)
-    summary = (
-        rows.filter("__hot")
-        .groupBy(*s.group, *s.bucket)
-        .agg(F.max(F.struct("__seg", v.alias("__v"))).alias("t"))
-        .withColumn("__end", F.sum("t.__seg").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    )
-    running = W.partitionBy(*s.group, "__end").orderBy(*s.bucket).rowsBetween(W.unboundedPreceding, W.currentRow)
-    carry = summary.withColumn("__peak", F.max("t.__v").over(running)).withColumn(
-        "__carry", F.lag("__peak").over(along)
+    result = _peaks(s.plain, s.window()).filter(local).select(*df.columns)
+    if s.hot is None:
+        return result
+    rows = _peaks(s.hot, s.window("__b"))
+    ends = (
+        rows.groupBy(*s.group, "__b")
+        .agg(F.max(F.struct("__seg", "__v")).alias("t"))
+        .withColumn("__end", F.sum("t.__seg").over(s.along.rowsBetween(W.unboundedPreceding, W.currentRow)))
     )
-    rows = _attach_carry(rows, carry, s)
-    c = F.col("__carry")
-    return rows.filter(local & (v.isNull() | (F.col("__seg") > 0) | c.isNull() | (v > c))).select(*cols)
+    running = W.partitionBy(*s.group, "__end").orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ends = ends.withColumn("__peak", F.max("t.__v").over(running))
+    carry = runtime.pin(ends.withColumn("__carry", F.lag("__peak").over(s.along)).select(*s.group, "__b", "__carry"))
+    rows, c = _attach_carry(rows, carry, s), F.col("__carry")
+    kept = rows.filter(local & (v.isNull() | (F.col("__seg") > 0) | c.isNull() | (v > c)))
+    return result.unionByName(kept.select(*df.columns))

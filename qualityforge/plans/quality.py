@@ -274,7 +274,7 @@ def monotonic_fixpoint(lake: Lake) -> DataFrame:
 
 
 # Five event types hold everything, so each is a hot group; NULLs are barriers.
-_HOT = Skew(min_rows=1_000)
+_HOT = Skew(rows=400)
 
 
 @query(
@@ -301,6 +301,43 @@ def fixpoint_in_hot_group(lake: Lake) -> DataFrame:
     return kept.select("event_id", "event_type", "v")
 
 
+# One hot group, ordered by columns of every kind. Each key orders as its SQL twin.
+_KINDS = {
+    "ntz": (
+        "CAST(TIMESTAMP_NTZ '2024-03-09 20:00:00' + make_dt_interval(0, 0, CAST(event_id % 2000 AS INT)) AS TIMESTAMP_NTZ)",
+        "event_id % 2000",
+    ),
+    "collated": ("CONCAT(IF(event_id % 2 = 0, 'Key', 'kEY'), LPAD(CAST(event_id % 997 AS STRING), 4, '0')) COLLATE UTF8_LCASE", "event_id % 997"),
+    "prefixed": ("CONCAT('order-000000000000-', LPAD(CAST(event_id % 997 AS STRING), 6, '0'))", "event_id % 997"),
+    "wide": ("4611686018427387904 + event_id % 997", "event_id % 997"),
+    "flag": ("event_id % 3 = 0", "CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END"),
+    "missing": ("IF(event_id % 5 = 0, NULL, event_id % 997)", "coalesce(CASE WHEN event_id % 5 <> 0 THEN event_id % 997 END, -1)"),
+    "three": ("event_id % 7", "event_id % 7"),
+}
+
+
+def _ordered_sql() -> str:
+    parts = [
+        f"SELECT '{kind}' AS kind, event_id, lag(value) OVER (PARTITION BY event_id % 1 ORDER BY {twin}, "
+        f"{'user_id % 11, ' if kind == 'three' else ''}event_id) AS previous FROM events"
+        for kind, (_, twin) in _KINDS.items()
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@query("previous_by_any_order", _ordered_sql())
+def previous_by_any_order(lake: Lake) -> DataFrame:
+    """One group holds all rows; the order is a zoneless time, a collated or
+    prefixed text, a 63-bit number, a flag, a column with NULLs, or three columns."""
+    out = None
+    for kind, (order, _) in _KINDS.items():
+        rows = lake.events.select("event_id", "value", F.expr(order).alias("o"), F.expr("user_id % 11").alias("p"), F.expr("event_id % 1").alias("g"))
+        columns = ["o", "p", "event_id"] if kind == "three" else ["o", "event_id"]
+        found = with_previous(rows, ["g"], columns, "value", skew=_HOT).select(F.lit(kind).alias("kind"), "event_id", "previous")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query(
     "group_key_decode",
     "SELECT o_orderkey AS entity_id, 'DEC-1' AS code FROM (SELECT o_orderkey, o_totalprice, lag(o_totalprice) OVER"
@@ -489,7 +526,9 @@ def two_way_counts(lake: Lake) -> DataFrame:
     " GROUP BY event_type) WHERE n >= 0.1 * total",
 )
 def hot_keys(lake: Lake) -> DataFrame:
-    """Keys the heavy-hitter probe routes to the split path, with exact counts."""
-    hot = runtime.hot_key_hashes(lake.events, ["event_type"], share=0.1, min_rows=1)
-    counts = lake.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.xxhash64("event_type").isin(list(hot)))
+    """Keys with at least a tenth of all rows, as the probe for hot groups finds them."""
+    events = lake.events
+    least = max(1, -(-events.count() // 10))
+    hot = runtime.hot_groups(events, ["event_type"], least).select("h")
+    named = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("h", F.xxhash64("event_type"))
+    return named.join(runtime.checked_broadcast(hot), "h", "left_semi").filter(F.col("n") >= least).select("event_type", "n")

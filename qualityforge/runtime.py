@@ -18,14 +18,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key is "hot" when it holds at least this share of all rows ...
-HOT_SHARE = 1.0 / 1024
-# ... and at least this many rows (below it one task is always enough).
-HOT_MIN_ROWS = 1_000_000
-# Heavy-hitter sketch width: guarantees a share error far below HOT_SHARE.
-_TRACKED = 8_192
-# Sketches are merged in two steps so that no reducer sees one per map task.
-_MERGE_FAN = 256
+# A group of at least this many rows is too heavy for one task.
+HOT_ROWS = 1_000_000
 
 BROADCAST_MAX_ROWS = 100_000
 BROADCAST_MAX_BYTES = 64 << 20
@@ -92,39 +86,14 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def hot_key_hashes(
-    df: DataFrame,
-    keys: list[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> dict[int, float]:
-    """``{xxhash64(keys): share of rows}`` for every key too heavy for one task.
+def hot_groups(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame:
+    """(h, n): hash and exact row count of every group with at least ``rows`` rows.
 
-    One pass over the key columns with a mergeable heavy-hitter sketch: no
-    shuffle by key. At most ``1 / share`` entries can qualify, which bounds what
-    reaches the driver. The sketch only steers routing, results never depend on
-    it, and two keys sharing a hash are merely routed alike.
+    One pass over the key columns, counted inside the tasks before the shuffle.
+    Two groups sharing a hash are counted as one, which only routes them alike.
     """
-    hashed = df.select(
-        F.xxhash64(*[F.expr(k) for k in keys]).alias("h"),
-        F.pmod(F.spark_partition_id(), F.lit(_MERGE_FAN)).alias("lane"),
-    )
-    row = (
-        hashed.groupBy("lane")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.expr(f"approx_top_k_accumulate(h, {_TRACKED})").alias("s"),
-        )
-        # Grouped by a constant: combining no sketches at all is an error.
-        .groupBy(F.lit(0).alias("all"))
-        .agg(F.sum("n").alias("n"), F.expr("approx_top_k_combine(s)").alias("s"))
-        .select("n", F.expr(f"approx_top_k_estimate(s, {int(1 / share) + 1})").alias("top"))
-        .first()
-    )
-    if row is None or not row["n"]:
-        return {}
-    floor = max(min_rows, share * row["n"])
-    return {t["item"]: t["count"] / row["n"] for t in row["top"] if t["count"] >= floor}
+    hashed = df.select(F.xxhash64(*[F.expr(k) for k in keys]).alias("h"))
+    return pin(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= rows))
 
 
 def together(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:

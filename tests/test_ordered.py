@@ -11,7 +11,7 @@ from qualityforge import runtime
 from qualityforge.operators.ordered import Skew, not_increasing, strict_prefix_maxima, with_previous
 
 PLAIN = Skew(enabled=False)
-SPLIT = Skew(share=1 / 32, min_rows=50)
+SPLIT = Skew(rows=120)
 
 
 def loop_survivors(rows):
@@ -72,20 +72,52 @@ def test_scans(spark, case, skew):
     assert sorted(kept) == loop_survivors(rows)
 
 
-def test_split_path_is_taken_and_balanced(spark):
-    rows = make(5, n=6000, tie=True)
-    df = spark.createDataFrame(rows, "id long, g int, x double, y double")
-    hot = runtime.hot_key_hashes(df, ["g"], SPLIT.share, SPLIT.min_rows)
-    assert len(hot) == 2
-    assert max(hot.values()) == pytest.approx(0.34, abs=0.03)
-
+def test_split_path_is_taken_and_bounded(spark):
     from qualityforge.operators.ordered import _series
 
-    s, _ = _series(df, ["g"], ["x", "id"], "y", SPLIT)
-    assert s.split
-    sizes = s.df.groupBy("__g0", "__b1", "__b2").count().agg(F.max("count")).first()[0]
+    rows = make(5, n=6000, tie=True)
+    df = spark.createDataFrame(rows, "id long, g int, x double, y double")
+    hot = runtime.hot_groups(df, ["g"], 300)
+    assert sorted(r["n"] for r in hot.collect()) == sorted(sum(r[1] == g for r in rows) for g in (7, None))
     # One x value holds 4/7 of the hot group, so only the tie-breaker can split it.
-    assert sizes < 0.34 * 6000 / 10
+    for limit in (200, 600):
+        s = _series(df, ["g"], ["x", "id"], "y", Skew(rows=limit))
+        sizes = s.hot.groupBy("__g0", "__b").count().agg(F.max("count")).first()[0]
+        assert sizes <= limit
+        assert s.plain.groupBy("g").count().agg(F.max("count")).first()[0] < limit
+
+
+KINDS = {
+    "ntz": "TIMESTAMP_NTZ '2024-03-09 20:00:00' + make_dt_interval(0, 0, i)",
+    "collated": "CONCAT(IF(id % 2 = 0, 'Key', 'kEY'), LPAD(CAST(i AS STRING), 4, '0')) COLLATE UTF8_LCASE",
+    "prefix": "CONCAT('order-000000000000000000-', LPAD(CAST(i AS STRING), 6, '0'))",
+    "wide": "4611686018427387904 + i",
+    "flag": "i % 2 = 0",
+    "missing": "IF(i % 5 = 0, NULL, i)",
+    "decimal": "CAST(i AS DECIMAL(38, 10)) / 7",
+    "binary": "CAST(CONCAT('prefixprefix', LPAD(CAST(i AS STRING), 6, '0')) AS BINARY)",
+}
+
+
+@pytest.fixture
+def new_york(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield spark
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("kind", sorted(KINDS))
+def test_split_equals_plain_for_any_order_type(new_york, kind):
+    rng = random.Random(11)
+    rows = [(i, 1, rng.randrange(900), rng.choice([None, 1.0]) and round(rng.uniform(0, 9), 2)) for i in range(4000)]
+    df = new_york.createDataFrame(rows, "id long, g int, i int, y double").withColumn("o", F.expr(KINDS[kind]))
+    split = Skew(rows=400)
+    for order in (["o", "id"], ["o", "i", "id"]):
+        a, b = (with_previous(df, ["g"], order, "y", skew=k).select("id", "previous") for k in (PLAIN, split))
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    a, b = (strict_prefix_maxima(df, ["g"], ["o", "id"], "y", k).select("id") for k in (PLAIN, split))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
 def test_integer_date_and_string_order_columns(spark):
