@@ -4,7 +4,8 @@ In every round each node is merged into the neighbour (or itself) with the
 smallest hash, and links are rewritten to the merged nodes. Random order makes
 long chains shrink by a constant factor a round. Only minima per node are
 aggregated, which combines before the shuffle, so a node with very many links is
-no hot key.
+no hot key. Every round is written to the shared folder: a written table also
+carries no inferred constraints, which would make the plans of later rounds grow.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualityforge import runtime
+from qualityforge.llm.staging import staged
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,23 +23,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Links are undirected; repeated links and loops are allowed, rows with a null
     end are ignored.
     """
-    edges = runtime.pin(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null").distinct())
-    nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    labels = runtime.pin(nodes.withColumn("root", F.col("id")))
-    edges = edges.filter("a <> b")
-    round_ = 0
+    edges = staged(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null").distinct(), "edges")
+    labels = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().withColumn("root", F.col("id"))
+    edges, round_ = edges.filter("a <> b"), 0
     while not edges.isEmpty():
-        both = edges.union(edges.select("b", "a"))
-        order = F.xxhash64("b", F.lit(round_))
-        best = both.groupBy("a").agg(F.min_by("b", order).alias("b"), F.min(order).alias("h"))
-        step = runtime.pin(best.select(F.col("a").alias("node"), F.when(F.xxhash64("a", F.lit(round_)) < F.col("h"), F.col("a")).otherwise(F.col("b")).alias("into")))
+        own, other = F.xxhash64("a", F.lit(round_)), F.xxhash64("b", F.lit(round_))
+        best = edges.union(edges.select("b", "a")).groupBy("a").agg(F.min_by("b", other).alias("b"), F.min(other).alias("h"))
+        step = staged(best.select(F.col("a").alias("node"), F.when(own < F.col("h"), F.col("a")).otherwise(F.col("b")).alias("into")), "steps")
         side = runtime.checked_broadcast(step)
-        labels = runtime.pin(
-            labels.join(side.withColumnRenamed("node", "root"), "root", "left").select("id", F.coalesce("into", "root").alias("root"))
-        )
+        labels = labels.join(side.withColumnRenamed("node", "root"), "root", "left").select("id", F.coalesce("into", "root").alias("root"))
         moved = edges.join(side.select(F.col("node").alias("a"), F.col("into").alias("_a")), "a")
         moved = moved.join(side.select(F.col("node").alias("b"), F.col("into").alias("_b")), "b")
-        edges = runtime.pin(moved.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).filter("a <> b").distinct())
+        edges = staged(moved.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).filter("a <> b").distinct(), "edges")
         round_ += 1
+    labels = staged(labels, "labels")
     smallest = labels.groupBy("root").agg(F.min("id").alias("component"))
-    return runtime.pin(labels.join(smallest, "root").select("id", "component"))
+    return staged(labels.join(smallest, "root").select("id", "component"), "components")

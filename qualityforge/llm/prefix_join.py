@@ -158,7 +158,7 @@ class PrefixJoin:
         known = self.sets.filter("n > 0 and key is not null").select("key", "n", "d1", "d2", grouping.alias("g"), F.hash("prefix").alias("g2"))
         self.classes = known.groupBy("n", "d1", "d2", "g", "g2").agg(F.min("key").alias("class"))
         groups = self.classes.groupBy("n", "g", "g2").agg(F.min("class").alias("group"))
-        self.members = runtime.pin(self.classes.join(groups, ["n", "g", "g2"]).select("group", "class", "n", "d1", "d2"))
+        self.members = staged(self.classes.join(groups, ["n", "g", "g2"]).select("group", "class", "n", "d1", "d2"), "join-members")
         # Each group posts its prefix once, through the document that names it.
         posted = self.sets.join(self.members.filter("group = class").select("group", "n", "d1", "d2"), ["n", "d1", "d2"]).filter("key = group")
         postings = posted.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
@@ -173,7 +173,7 @@ class PrefixJoin:
         joined = pairs.join(needed.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
         joined = joined.join(needed.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
         checked = joined.select("a", "b", "text_a", "text_b").mapInArrow(K.task(_verify, self.words, self.percent), "a bigint, b bigint, near boolean")
-        return runtime.pin(checked.filter("near").select("a", "b"))
+        return staged(checked.filter("near").select("a", "b"), "join-links")
 
     def _filtered(self, met: DataFrame) -> DataFrame:
         """Group pairs (a, b) from rows (a, na, pa, b, nb, pb) of shared tokens, by size and position.
@@ -199,14 +199,13 @@ class PrefixJoin:
         met = rows.join(firsts, ["token", "band"]).filter("group <> first.group")
         met = met.selectExpr("first.group as a", "first.n as na", "first.pos as pa", "group as b", "n as nb", "pos as pb")
         inside = self.members.filter("group <> class").filter(self._may_differ()).select(F.col("group").alias("a"), F.col("class").alias("b"))
-        return runtime.pin(self._filtered(met).union(inside).distinct())
+        return staged(self._filtered(met).union(inside).distinct(), "join-near")
 
     def _across(self, labels: DataFrame) -> DataFrame:
         """All remaining candidate pairs of classes, which lie in different components."""
         found = labels.select(F.col("id").alias("class"), "component")
-        members = runtime.pin(
-            self.members.join(found, "class", "left").select("group", "class", "n", F.coalesce("component", "class").alias("component"))
-        )
+        members = self.members.join(found, "class", "left")
+        members = staged(members.select("group", "class", "n", F.coalesce("component", "class").alias("component")), "join-placed")
         held = members.select("group", "component").distinct()
         rows = self.postings.join(held, "group")
         kinds = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
@@ -225,7 +224,7 @@ class PrefixJoin:
         within = members.filter(self._may_differ()).join(mixed, "group", "left_semi")
         inner = within.alias("p").join(within.alias("q"), "group").filter("p.component <> q.component").selectExpr("p.class as x", "q.class as y")
         every = expanded.union(inner).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b")
-        return runtime.pin(every.distinct())
+        return staged(every.distinct(), "join-across")
 
     def result(self) -> DataFrame:
         first = self._verified(self._near_first())
@@ -259,5 +258,5 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     Rows with a null key stay. Column names that start with ``_near_`` are taken.
     """
     found = jaccard_components(docs, key, text, words, percent)
-    lost = runtime.pin(found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_near_key")).distinct())
+    lost = staged(found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_near_key")).distinct(), "join-lost")
     return docs.join(runtime.checked_broadcast(lost), F.col(key) == F.col("_near_key"), "left_anti")
