@@ -20,8 +20,10 @@ from qualityforge.functions.scalars import let
 
 _TWO32 = float(2**32)
 _TWO53 = float(2**53)
-# Marsaglia-Tsang accepts over 95 % of proposals; this many never all fail.
-_GAMMA_TRIES = 32
+# Marsaglia-Tsang accepts over 95 % of proposals: all of these fail with 1e-333.
+_GAMMA_TRIES = 256
+# Integer shapes up to this are drawn from as many uniforms, larger ones by rejection.
+_ORDER_STATISTICS = 64
 
 
 @dataclass(frozen=True)
@@ -35,13 +37,15 @@ class Keyed:
     def _cols(self) -> list[Column]:
         return [k if isinstance(k, Column) else F.col(k) for k in self.keys]
 
-    def uniform(self, stream: str, index: Column | int = 0) -> Column:
-        """Uniform in the open interval (0, 1)."""
-        i = index if isinstance(index, Column) else F.lit(index)
+    def uniform(self, stream: str, index: Column | int = 0, part: Column | int | None = None) -> Column:
+        """Uniform in the open interval (0, 1). A draw that needs several gives
+        each its ``part``, hashed on its own, so that no two draws overlap."""
+        places = [x if isinstance(x, Column) else F.lit(x) for x in (index, part) if x is not None]
         if self.source == "xxhash64":
-            h = F.xxhash64(F.lit(self.seed), F.lit(stream), *self._cols(), i.cast("int"))
+            h = F.xxhash64(F.lit(self.seed), F.lit(stream), *self._cols(), *[p.cast("long") for p in places])
             return (F.shiftrightunsigned(h, 11) + 0.5) / _TWO53
-        text = F.concat_ws(":", F.lit(str(self.seed)), F.lit(stream), *[c.cast("string") for c in self._cols()], i.cast("string"))
+        names = [c.cast("string") for c in (*self._cols(), *places)]
+        text = F.concat_ws(":", F.lit(str(self.seed)), F.lit(stream), *names)
         return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") + 0.5) / _TWO32
 
     def between(self, stream: str, low, high, index: Column | int = 0) -> Column:
@@ -54,17 +58,15 @@ class Keyed:
         n = size if isinstance(size, Column) else F.lit(size)
         return F.floor(self.uniform(stream, index) * n).cast("int")
 
-    def normal(self, stream: str, index: Column | int = 0) -> Column:
+    def normal(self, stream: str, index: Column | int = 0, part: Column | int | None = None) -> Column:
         """Standard normal (Box-Muller on two uniforms)."""
-        i = index if isinstance(index, Column) else F.lit(index)
-        return F.sqrt(-2.0 * F.ln(self.uniform(stream + "/r", i))) * F.cos(
-            2.0 * math.pi * self.uniform(stream + "/a", i)
+        return F.sqrt(-2.0 * F.ln(self.uniform(stream + "/r", index, part))) * F.cos(
+            2.0 * math.pi * self.uniform(stream + "/a", index, part)
         )
 
     def _uniforms(self, stream: str, n: Column | int, index: Column | int) -> Column:
-        base = (index if isinstance(index, Column) else F.lit(index)) * 64
         n = n if isinstance(n, Column) else F.lit(n)
-        return F.transform(F.sequence(F.lit(0), n - 1), lambda j: self.uniform(stream, base + j))
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda j: self.uniform(stream, index, j))
 
     def beta_int(self, stream: str, a: Column | int, b: Column | int, index: Column | int = 0) -> Column:
         """Beta(a, b) for integers: the a-th smallest of a + b - 1 uniforms."""
@@ -76,7 +78,7 @@ class Keyed:
         the first accepted Marsaglia-Tsang proposal of a fixed keyed sequence."""
         if shape <= 0:
             raise ValueError(f"shape must be positive, got {shape}")
-        if float(shape).is_integer() and shape <= 64:
+        if float(shape).is_integer() and shape <= _ORDER_STATISTICS:
             logs = F.transform(self._uniforms(stream, int(shape), index), F.ln)
             return -F.aggregate(logs, F.lit(0.0), lambda s, x: s + x)
         if shape < 1:
@@ -85,8 +87,7 @@ class Keyed:
         c = 1.0 / math.sqrt(9.0 * d)
 
         def proposal(j: Column) -> Column:
-            i = F.lit(index) * _GAMMA_TRIES + j
-            x, u = self.normal(stream + "/x", i), self.uniform(stream + "/u", i)
+            x, u = self.normal(stream + "/x", index, j), self.uniform(stream + "/u", index, j)
             return let(
                 F.struct(x.alias("x"), F.ln(u).alias("lu")),
                 lambda t: let(
@@ -99,12 +100,17 @@ class Keyed:
                 ),
             )
 
-        tries = F.array_compact(F.transform(F.sequence(F.lit(0), F.lit(_GAMMA_TRIES - 1)), proposal))
-        return F.coalesce(F.get(tries, F.lit(0)), F.lit(d))
+        # A proposal is computed only while none has been accepted.
+        found = F.aggregate(
+            F.sequence(F.lit(0), F.lit(_GAMMA_TRIES - 1)),
+            F.lit(None).cast("double"),
+            lambda done, j: F.when(done.isNotNull(), done).otherwise(proposal(j)),
+        )
+        return F.coalesce(found, F.raise_error(F.lit("no gamma proposal was accepted")).cast("double"))
 
     def beta(self, stream: str, a: float, b: float, index: int = 0) -> Column:
         """Beta(a, b) for any positive shapes."""
-        if float(a).is_integer() and float(b).is_integer() and a + b <= 64:
+        if float(a).is_integer() and float(b).is_integer() and a + b <= _ORDER_STATISTICS:
             return self.beta_int(stream, int(a), int(b), index)
         x, y = self.gamma(stream + "/a", a, index), self.gamma(stream + "/b", b, index)
         return let(F.struct(x.alias("x"), y.alias("y")), lambda t: t["x"] / (t["x"] + t["y"]))
@@ -118,11 +124,10 @@ class Keyed:
         """``n`` distinct elements of an array of structs, drawn by their
         ``weight`` field: exponential keys -ln(u)/w in ascending order follow the
         same law as drawing one after the other."""
-        base = (index if isinstance(index, Column) else F.lit(index)) * 1024
         n = n if isinstance(n, Column) else F.lit(n)
         keyed = F.transform(
             items,
-            lambda x, i: F.struct((-F.ln(self.uniform(stream, base + i)) / x[weight]).alias("k"), x.alias("v")),
+            lambda x, i: F.struct((-F.ln(self.uniform(stream, index, i)) / x[weight]).alias("k"), x.alias("v")),
         )
         return F.transform(F.slice(F.sort_array(keyed), F.lit(1), n), lambda t: t["v"])
 

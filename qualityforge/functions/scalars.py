@@ -43,7 +43,9 @@ def named_or_id(name: Column, key: Column) -> Column:
 
 def block_of(key: Column, base: int, block: int) -> Column:
     """Group number of ids numbered ``base + group * block + position``."""
-    return F.floor((key.cast("double") - F.lit(float(base))) / F.lit(float(block))).cast("long")
+    x, wide = key.cast("long") - F.lit(base), "decimal(20,0)"
+    # An exact multiple divides exactly; doubles would lose ids beyond 2**53.
+    return ((x - F.pmod(x, F.lit(block))).cast(wide) / F.lit(block).cast(wide)).cast("long")
 
 
 def has_column(df: DataFrame, name: str) -> bool:

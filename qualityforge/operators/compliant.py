@@ -33,8 +33,10 @@ def compliant_parent(rules: Sequence[Rule], tables: Tables, parent: str, key: st
         hot = r.skew.probe(parent_df.filter(r.where) if r.where else parent_df, list(r.group))
         r = replace(r, skew=replace(r.skew, enabled=hot is not None, known=hot))
         active = [r if isinstance(a, MonotonicRule) else a for a in active]
-    bad = violation_ledger(active, tables, distinct=False).select(F.col("entity_id").alias(key)).distinct()
-    kept = parent_df.join(bad, key, "left_anti").select(parent_df.columns)
+    # Removed ids are few as a rule: written once, then broadcast if their size
+    # allows, so that the parent itself is not shuffled.
+    bad = runtime.pin(violation_ledger(active, tables, distinct=False).select(F.col("entity_id").alias(key)).distinct())
+    kept = parent_df.join(runtime.checked_broadcast(bad), key, "left_anti").select(parent_df.columns)
     if not series:
         return kept
     if hot is not None:

@@ -8,7 +8,8 @@ The number of jobs does not grow with the number of rules:
   shuffle and a heavy key arrives as one partial row per task,
 * a monotonic rule is one ordered scan.
 
-The few numbers that come out are reshaped into the report without collecting.
+The few numbers that come out (one or two per rule) make the report. When the
+joint job fails, the rules are halved until the failing ones stand alone.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualityforge import runtime
-from qualityforge.operators.ordered import not_increasing
+from qualityforge.operators.ordered import Skew, not_increasing
 from qualityforge.operators.rules import KeyedInput, KeyedRule, Lookup, Measure, MonotonicRule, RowRule, Rule
 
 Tables = Mapping[str, DataFrame]
@@ -81,7 +82,8 @@ def _row_ledger(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
         by_key.setdefault(r.key, []).append(r)
     frames = []
     for key, group in by_key.items():
-        any_bad = reduce(lambda a, b: a | b, [F.coalesce(F.expr(r.violates), F.lit(False)) for r in group])
+        # NULL OR TRUE is TRUE and a filter drops NULL: plain predicates reach the scan.
+        any_bad = reduce(lambda a, b: a | b, [F.expr(r.violates) for r in group])
         codes = F.array(*[F.when(F.expr(r.violates), F.lit(r.code)) for r in group])
         frames.append(
             df.filter(any_bad).select(F.col(key).alias("entity_id"), F.explode(F.array_compact(codes)).alias("code"))
@@ -95,8 +97,9 @@ def _row_ledger(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
 class _Entity:
     """All keyed rules over one key: one stacked aggregation, many conditions."""
 
-    def __init__(self, rules: Sequence[KeyedRule], tables: Tables):
+    def __init__(self, rules: Sequence[KeyedRule], tables: Tables, sized: bool = True):
         self.rules = list(rules)
+        self.sized = sized  # whether dictionaries are measured before the join
         self.tables = tables
         self.names: dict[tuple, str] = {}  # (table, keys, lookup, how, expr) -> column
         self.parts: dict[tuple, list[Lookup]] = {}  # (table, keys) -> dictionaries
@@ -125,7 +128,7 @@ class _Entity:
                 *[F.col(c).alias(lk.prefix + c) for c in lk.columns],
                 F.lit(True).alias(lk.prefix + "found"),
             )
-            small = runtime.fits_broadcast(side)
+            small = self.sized and runtime.fits_broadcast(side)
             side = side.dropDuplicates([f"__lk{i}"])
             df = df.join(F.broadcast(side) if small else side, F.col(lk.on) == F.col(f"__lk{i}"), "left")
         cols = [F.expr(f"`{k}`").alias(c) for k, c in zip(keys, self.key_cols)]
@@ -208,23 +211,19 @@ def monotonic_violations(rule: MonotonicRule, df: DataFrame) -> DataFrame:
 
 
 def analysis_error(rule: Rule, tables: Tables) -> str | None:
-    """Why a rule cannot run on these tables (missing table, column or
-    dictionary), or None. Only analyses, reads no data."""
+    """Why a rule cannot run on these tables (missing table or column, an
+    expression that does not resolve), or None. The finished frame of the rule is
+    analysed; no data is read."""
     try:
         if isinstance(rule, RowRule):
             tables[rule.table].select(F.expr(rule.violates), F.col(rule.key)).schema
+            _row_metrics(tables[rule.table], rule.table, [rule]).schema
         elif isinstance(rule, KeyedRule):
-            for part in rule.inputs:
-                df = tables[part.table]
-                if part.lookup:
-                    tables[part.lookup.table].select(part.lookup.key, *part.lookup.columns).schema
-                df.select(*part.keys).schema
-                if not part.lookup:
-                    df.select(*[F.expr(m.expr) for m in part.measures.values()]).schema
+            _Entity([rule], tables, sized=False).metrics().schema
         else:
             df = tables[rule.table]
             df = df.filter(rule.where) if rule.where else df
-            df.select(rule.key, *rule.order, F.expr(rule.value), *[F.expr(g) for g in rule.group]).schema
+            not_increasing(df, list(rule.group), list(rule.order), rule.value, Skew(enabled=False)).select(rule.key).schema
         if rule.scope and not rule.scope.startswith("keys:"):
             tables[rule.scope].schema
     except KeyError as e:
@@ -241,46 +240,76 @@ def _scope_metric(rule: Rule) -> str:
     return f"rows:{scope}"
 
 
-def evaluate(rules: Sequence[Rule], tables: Tables) -> DataFrame:
-    """One report row per rule, in the order given (see RESULT_SCHEMA).
-
-    ``pass_rate = (total - violations) * 100 / total``, 100 for an empty scope.
-    A rule that cannot be analysed is reported with status ERROR, pass rate 0 and
-    no count; the others still run.
-    """
-    errors = {r.code: analysis_error(r, tables) for r in rules}
-    good = [r for r in rules if errors[r.code] is None]
+def metric_rows(rules: Sequence[Rule], tables: Tables) -> DataFrame | None:
+    """(metric, value): counts of rules and of the scopes they name, in one job."""
     metrics: list[DataFrame] = []
-
-    by_table = _row_frames([r for r in good if isinstance(r, RowRule)])
+    by_table = _row_frames([r for r in rules if isinstance(r, RowRule)])
     scopes = {m[5:] for m in map(_scope_metric, rules) if m.startswith("rows:")}
     for table in sorted(scopes | set(by_table)):
         if table in tables:
             metrics.append(_row_metrics(tables[table], table, by_table.get(table, [])))
-    for e in _entities([r for r in good if isinstance(r, KeyedRule)], tables):
+    for e in _entities([r for r in rules if isinstance(r, KeyedRule)], tables):
         metrics.append(e.metrics())
-    for r in good:
+    for r in rules:
         if isinstance(r, MonotonicRule):
             bad = monotonic_violations(r, tables[r.table]).agg(F.count(F.lit(1)).alias("v"))
             metrics.append(_metrics(bad, {f"bad:{r.code}": "v"}))
+    return reduce(DataFrame.unionByName, metrics) if metrics else None
 
-    wanted = sorted({m for r in rules for m in (_scope_metric(r), f"bad:{r.code}")})
-    column = {m: f"x{i}" for i, m in enumerate(wanted)}
-    wide = reduce(DataFrame.unionByName, metrics).agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(c) for m, c in column.items()]
-    )
-    items = []
+
+def _isolated(rules: Sequence[Rule], tables: Tables) -> tuple[dict[str, int | None], dict[str, str]]:
+    """Counts, and the message of every rule that fails while it runs.
+
+    All rules run together; only when that job fails are they halved until the
+    culprits stand alone.
+    """
+    if not rules:
+        return {}, {}
+    try:
+        rows = metric_rows(rules, tables)
+        # A few numbers per rule.
+        return ({} if rows is None else {r["metric"]: r["value"] for r in rows.collect()}), {}
+    except PySparkException as e:
+        if len(rules) == 1:
+            return {}, {rules[0].code: str(e).splitlines()[0]}
+    counts, errors = {}, {}
+    for half in (rules[: len(rules) // 2], rules[len(rules) // 2 :]):
+        found, failed = _isolated(half, tables)
+        counts.update(found)
+        errors.update(failed)
+    return counts, errors
+
+
+def _scope_sizes(rules: Sequence[Rule], tables: Tables) -> dict[str, int]:
+    """Rows of the table scopes named by rules that could not run."""
+    names = {m[5:] for m in map(_scope_metric, rules) if m.startswith("rows:")}
+    return {f"rows:{t}": tables[t].count() for t in names if t in tables}
+
+
+def _evaluated(rules: Sequence[Rule], tables: Tables) -> tuple[DataFrame, set[str]]:
+    errors = {r.code: e for r in rules if (e := analysis_error(r, tables)) is not None}
+    counts, failed = _isolated([r for r in rules if r.code not in errors], tables)
+    errors.update(failed)
+    counts = _scope_sizes([r for r in rules if r.code in errors], tables) | counts
+    rows = []
     for r in rules:
-        total, bad = F.col(column[_scope_metric(r)]), F.col(column[f"bad:{r.code}"])
-        if errors[r.code] is None:
-            passed = bad == 0
-            rate = F.when(total > 0, (total - bad) * F.lit(100.0) / total).otherwise(100.0)
-            status = F.when(passed, "PASS").otherwise("FAIL")
+        total, bad = counts.get(_scope_metric(r)), counts.get(f"bad:{r.code}")
+        if r.code in errors:
+            rows.append((r.code, r.name, False, total, None, 0.0, "ERROR"))
         else:
-            bad, passed, rate, status = F.lit(None).cast("long"), F.lit(False), F.lit(0.0), F.lit("ERROR")
-        values = [F.lit(r.code), F.lit(r.name), passed, total, bad, rate, status]
-        items.append(F.struct(*[v.alias(f.name) for v, f in zip(values, RESULT_SCHEMA.fields)]))
-    return wide.select(F.inline(F.array(*items)))
+            rate = (total - bad) * 100.0 / total if total else 100.0
+            rows.append((r.code, r.name, bad == 0, total, bad, rate, "FAIL" if bad else "PASS"))
+    return SparkSession.active().createDataFrame(rows, RESULT_SCHEMA), set(errors)
+
+
+def evaluate(rules: Sequence[Rule], tables: Tables) -> DataFrame:
+    """One report row per rule, in the order given (see RESULT_SCHEMA).
+
+    ``pass_rate = (total - violations) * 100 / total``, 100 for an empty scope. A
+    rule that cannot be analysed, or that fails while it runs, is reported with
+    status ERROR, pass rate 0 and no violation count; the others are not affected.
+    """
+    return _evaluated(rules, tables)[0]
 
 
 def run_verdict(results: DataFrame) -> DataFrame:
@@ -313,5 +342,6 @@ def violation_ledger(rules: Sequence[Rule], tables: Tables, distinct: bool = Tru
 
 
 def check(rules: Sequence[Rule], tables: Tables) -> ConstraintReport:
-    """Report and ledger of the same rules (both lazy)."""
-    return ConstraintReport(evaluate(rules, tables), violation_ledger(rules, tables))
+    """Report and ledger of the same rules; rules in error have no ledger entries."""
+    results, errors = _evaluated(rules, tables)
+    return ConstraintReport(results, violation_ledger([r for r in rules if r.code not in errors], tables))

@@ -29,6 +29,8 @@ from qualityforge.operators.quantiles import exact_quantiles
 PROBS = (0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95)
 _STATS = ("Count", "Mean", "Std", "Min", "P5", "P10", "P25", "P50", "P75", "P90", "P95", "Max")
 UNKNOWN = "(unknown)"
+# Grade of a dimension whose values hold a NaN or an infinity.
+NOT_SCORED = "NOT SCORED"
 
 
 @dataclass(frozen=True)
@@ -244,7 +246,8 @@ def quantile_stats(dims: Sequence[Numeric], real: Tables, gen: Tables, accuracy:
 
 
 def quantile_score(stats: DataFrame) -> DataFrame:
-    """(dimension, pct_rmse, mean_diff, std_ratio, score) from statistics vectors."""
+    """(dimension, pct_rmse, mean_diff, std_ratio, score) from statistics vectors.
+    A dimension whose values hold a NaN or an infinity has no score."""
     at = lambda side, stat: F.element_at(F.col(side), _STATS.index(stat) + 1)
     span = F.greatest(F.abs(at("r", "Max") - at("r", "Min")), F.lit(1e-10))
     first, n = _STATS.index("P5") + 1, len(PROBS)
@@ -254,8 +257,11 @@ def quantile_score(stats: DataFrame) -> DataFrame:
     rs, gs = at("r", "Std"), at("g", "Std")
     ratio = F.when(rs > 1e-10, F.least(rs, gs) / F.greatest(rs, gs)).otherwise(F.lit(1.0))
     near = lambda c: 1 - F.least(F.col(c) * 3, F.lit(1.0))
+    odd = F.exists(F.concat("r", "g"), lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+    whole = F.greatest(F.lit(0.0), 0.6 * near("pct_rmse") + 0.2 * near("mean_diff") + 0.2 * F.col("std_ratio"))
     return (
         stats.withColumn("span", span)
+        .withColumn("odd", odd)
         .withColumn("pct_rmse", F.sqrt(F.aggregate(sq, F.lit(0.0), lambda a, x: a + x) / n))
         .withColumn("mean_diff", F.abs(at("g", "Mean") - at("r", "Mean")) / F.col("span"))
         .withColumn("std_ratio", ratio)
@@ -264,9 +270,7 @@ def quantile_score(stats: DataFrame) -> DataFrame:
             "pct_rmse",
             "mean_diff",
             "std_ratio",
-            F.greatest(
-                F.lit(0.0), 0.6 * near("pct_rmse") + 0.2 * near("mean_diff") + 0.2 * F.col("std_ratio")
-            ).alias("score"),
+            F.when(~F.col("odd"), whole).alias("score"),
         )
     )
 
@@ -359,17 +363,22 @@ def summarise(scores: DataFrame, weights: Sequence[Dimension]) -> DataFrame:
         *[F.struct(F.lit(d.name).alias("dimension"), F.lit(float(d.weight)).alias("weight")) for d in weights]
     )
     table = SparkSession.active().range(1).select(F.inline(listed))
-    # Two populations that are both empty are identical.
+    # A categorical dimension without a row is empty on both sides: identical.
+    # Any other dimension must have come with a score.
+    categories = [d.name for d in weights if isinstance(d, Categorical)]
+    lost = F.raise_error(F.concat(F.lit("fidelity dimension without a score: "), F.col("dimension"))).cast("double")
+    score = F.when(F.col("found"), F.col("score")).when(F.col("dimension").isin(categories), 1.0).otherwise(lost)
     return (
-        table.join(scores, "dimension", "left")
-        .select("dimension", F.coalesce("score", F.lit(1.0)).alias("score"), "weight")
+        table.join(scores.withColumn("found", F.lit(True)), "dimension", "left")
+        .select("dimension", score.alias("score"), "weight")
         .withColumn("weighted_score", F.col("score") * F.col("weight"))
-        .withColumn("grade", grade(F.col("score")))
+        .withColumn("grade", F.when(F.col("score").isNull(), NOT_SCORED).otherwise(grade(F.col("score"))))
     )
 
 
 def overall_score(summary: DataFrame) -> DataFrame:
-    """One row (overall_score, overall_grade): the weighted mean."""
+    """One row (overall_score, overall_grade): the weighted mean of the dimensions that have a score."""
+    summary = summary.filter("score is not null")
     total = F.coalesce(F.try_divide(F.sum(F.col("score") * F.col("weight")), F.sum("weight")), F.lit(0.0))
     return summary.agg(total.alias("overall_score")).withColumn("overall_grade", grade(F.col("overall_score")))
 

@@ -22,7 +22,7 @@ def row_count(df: DataFrame, alias: str = "cnt") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 
 
-def freq_share(df: DataFrame, column: str, digits: int | None = 2, top: int | None = 20) -> DataFrame:
+def freq_share(df: DataFrame, column: str, digits: int | None = 2, top: int | None = None) -> DataFrame:
     """(column, cnt, pct), most frequent first, ties by value."""
     out = _share(df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt")), df, digits)
     out = out.orderBy(F.desc("cnt"), F.col(column))
@@ -145,7 +145,7 @@ def windowed_top_category(
     child_key: str,
     category: str,
     rank: str,
-    top: int | None = 20,
+    top: int | None = None,
 ) -> DataFrame:
     """Mean value (and log10 mean) by leading child category, for parent rows
     whose window column lies in [low, high]; highest mean first."""

@@ -98,7 +98,8 @@ def exact_quantiles(
 ) -> dict[str, list[float] | None]:
     """Discrete quantiles of several numeric expressions of one table.
 
-    NULLs are ignored; a column without values gives None. ``bounds`` passes
+    NULLs are ignored; a column without values gives None, one with a NaN or an
+    infinity gives NaN for all. ``bounds`` passes
     (count, min, max) per name if already known, saving one scan.
     """
     if bounds is None:
@@ -110,13 +111,9 @@ def exact_quantiles(
             ]
         ).first()
         bounds = {n: (row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]) for i, n in enumerate(values)}
-    wanted = [
-        _Wanted(name, p, rank_of(p, bounds[name][0]), *bounds[name][1:], bounds[name][0])
-        for name in values if bounds[name][0] > 0 for p in probs
-    ]
-    if any(not math.isfinite(w.high - w.low) for w in wanted):
-        raise ValueError("quantiles need finite values")
+    finite = [n for n in values if bounds[n][0] > 0 and math.isfinite(bounds[n][2] - bounds[n][1])]
+    wanted = [_Wanted(name, p, rank_of(p, bounds[name][0]), *bounds[name][1:], bounds[name][0]) for name in finite for p in probs]
     while open_ := [w for w in wanted if not w.done]:
         _narrow(df, {n: c for n, c in values.items() if n in {w.name for w in open_}}, open_, finish)
     found = {(w.name, w.prob): w.low for w in wanted}
-    return {n: [found[(n, p)] for p in probs] if bounds[n][0] > 0 else None for n in values}
+    return {n: [found.get((n, p), math.nan) for p in probs] if bounds[n][0] > 0 else None for n in values}

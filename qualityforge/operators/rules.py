@@ -22,7 +22,7 @@ from qualityforge.operators.ordered import Skew
 @dataclass(frozen=True)
 class RowRule:
     """``violates`` is checked on each row of ``table``; ``key`` names the
-    affected entity in the ledger. ``lookup`` optionally joins a dictionary."""
+    affected entity in the ledger."""
 
     code: str
     name: str

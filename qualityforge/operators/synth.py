@@ -21,14 +21,13 @@ def entity_ids(spark: SparkSession, n: int, name: str, partitions: int | None =
     return spark.range(0, n, 1, partitions or spark.sparkContext.defaultParallelism).withColumnRenamed("id", name)
 
 
-def spread(ids: DataFrame, key: str) -> DataFrame:
-    """Give a narrow frame of ids at least one partition per core.
+def spread(ids: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Deal a narrow frame of ids into ``partitions`` (default: one per core).
 
     Generation costs far more per row than moving an id, and a few files of ids
-    would otherwise occupy a few cores. Frames with enough partitions stay.
+    would otherwise occupy a few cores.
     """
-    cores = ids.sparkSession.sparkContext.defaultParallelism
-    return ids if ids.rdd.getNumPartitions() >= cores else ids.repartition(cores, key)
+    return ids.repartition(partitions or ids.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def retry_until(attempt: Callable[[Column], Column], accept: Callable[[Column], Column], tries: int, fallback: Column, null_type: str) -> Column:

@@ -32,8 +32,13 @@ def _sql_normal(u, stream: str, index: str = "0") -> str:
     return f"(sqrt(-2.0::DOUBLE * ln({r})) * cos(2.0::DOUBLE * pi() * {a}))"
 
 
+def _part(index: int = 0, part: str = "j") -> str:
+    """Index and part of a draw, as the hashed text has them."""
+    return f"('{index}:' || {part})"
+
+
 def _sql_uniforms(u, stream: str, n: int, index: int = 0) -> str:
-    return f"list_transform(range({index * 64}, {index * 64 + n}), lambda j: {u(stream, 'j')})"
+    return f"list_transform(range(0, {n}), lambda j: {u(stream, _part(index))})"
 
 
 def _sql_choice(u: str, items: list[tuple[str, float]]) -> str:
@@ -68,12 +73,41 @@ def keyed_beta(lake: Lake) -> DataFrame:
     return rounded(lake.customer.select("c_custkey", CUSTOMER.beta("b", 3, 4).alias("x")))
 
 
-@query("keyed_beta_real")
+def _sql_gamma(u, stream: str, shape: float, index: int = 0) -> str:
+    """The first accepted proposal; a shape below one takes a power of a uniform besides."""
+    if shape < 1:
+        return f"({_sql_gamma(u, stream, shape + 1, index)} * pow({u(stream + '/s', str(index))}, {1 / shape!r}::DOUBLE))"
+    d = shape - 1 / 3
+    w = f"(1 + {1 / (9 * d) ** 0.5!r}::DOUBLE * t.x)"
+    tries = f"list_transform(range(0, 24), lambda j: {{'x': {_sql_normal(u, stream + '/x', _part(index))}, 'lu': ln({u(stream + '/u', _part(index))})}})"
+    accept = f"{w} > 0 AND t.lu < 0.5 * t.x * t.x + {d!r}::DOUBLE * (1 - {w} * {w} * {w} + 3 * ln(greatest({w}, 1e-300)))"
+    return f"({d!r}::DOUBLE * pow(list_transform(list_filter({tries}, lambda t: {accept}), lambda t: {w})[1], 3))"
+
+
+@query(
+    "keyed_beta_real",
+    f"SELECT c_custkey, round(x / (x + y), 6) AS x FROM (SELECT c_custkey, {_sql_gamma(_cu, 'br/a', 2.5)} AS x,"
+    f" {_sql_gamma(_cu, 'br/b', 0.7)} AS y FROM customer)",
+)
 def keyed_beta_real(lake: Lake) -> DataFrame:
     """Non-integer shapes, by rejection over keyed proposals."""
     return rounded(lake.customer.select("c_custkey", CUSTOMER.beta("br", 2.5, 0.7).alias("x")))
 
 
+@query(
+    "keyed_wide",
+    f"SELECT c_custkey, round(list_sort({_sql_uniforms(_cu, 'wide', 149, 0)})[70], 6) AS a,"
+    f" round(list_sort({_sql_uniforms(_cu, 'wide', 149, 1)})[70], 6) AS b,"
+    " list_sort(list_transform(range(0, 1100), lambda j: {'k': -ln(" + _cu("many", _part(0)) + "), 'v': j}))[1].v AS first FROM customer",
+)
+def keyed_wide(lake: Lake) -> DataFrame:
+    """Draws of 149 uniforms and of 1,100 items: neighbouring indices share none."""
+    items = F.transform(F.sequence(F.lit(0), F.lit(1099)), lambda j: F.struct(j.cast("long").alias("v"), F.lit(1.0).alias("w")))
+    drawn = CUSTOMER.sample_without_replacement("many", items, "w", 1)
+    a, b = (CUSTOMER.beta_int("wide", 70, 80, i) for i in (0, 1))
+    return rounded(lake.customer.select("c_custkey", a.alias("a"), b.alias("b"), drawn[0]["v"].alias("first")))
+
+
 @query("weighted_choice", f"SELECT c_custkey, {_sql_choice(_cu('seg'), SEGMENTS)} AS tier FROM customer")
 def weighted_choice(lake: Lake) -> DataFrame:
     return lake.customer.select("c_custkey", CUSTOMER.choice("seg", SEGMENTS).alias("tier"))
@@ -90,7 +124,7 @@ def _goods():
     return F.array(*[F.struct(F.lit(n).alias("item"), F.lit(w).alias("w")) for n, w in GOODS])
 
 
-@query("sample_wor", f"SELECT c_custkey, array_to_string({_SAMPLE_SQL.replace('@u', _cu('wor', 'i'))}, ',') AS items FROM customer")
+@query("sample_wor", f"SELECT c_custkey, array_to_string({_SAMPLE_SQL.replace('@u', _cu('wor', _part(0, 'i')))}, ',') AS items FROM customer")
 def sample_wor(lake: Lake) -> DataFrame:
     drawn = CUSTOMER.sample_without_replacement("wor", _goods(), "w", 3)
     return lake.customer.select("c_custkey", F.array_join(F.transform(drawn, lambda x: x["item"]), ",").alias("items"))
@@ -289,7 +323,7 @@ def arrhenius_curve(lake: Lake) -> DataFrame:
 @query(
     "text_template",
     f"SELECT c_custkey, CASE WHEN {_cu('tpl')} < 0.55 THEN c_name || ' buys ' || array_to_string("
-    f"{_SAMPLE_SQL.replace('@u', _cu('tw', 'i'))}, ' and ') || '.' ELSE {_sql_choice(_cu('tier'), SEGMENTS)} || ' customer with '"
+    f"{_SAMPLE_SQL.replace('@u', _cu('tw', _part(0, 'i')))}, ' and ') || '.' ELSE {_sql_choice(_cu('tier'), SEGMENTS)} || ' customer with '"
     " || ((CAST(round(abs(c_acctbal) * 100) AS BIGINT) + 5) // 100) || '.'"
     " || ((CAST(round(abs(c_acctbal) * 100) AS BIGINT) + 5) // 10 % 10) || ' on account.' END AS line FROM customer",
 )

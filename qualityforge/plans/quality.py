@@ -152,15 +152,38 @@ def verdict(lake: Lake) -> DataFrame:
     return rounded(run_verdict(evaluate(ORDER_RULES, lake.tables(ORDER_TABLES))))
 
 
+_BROKEN = [
+    ("BAD-1", "no such column", "orders", "(SELECT count(*) FROM orders)"),
+    ("BAD-2", "a text cast to a number", "orders", "(SELECT count(*) FROM orders)"),
+    ("BAD-3", "a condition without its column", "lineitem", "(SELECT count(*) FROM orders)"),
+    ("BAD-4", "a measure without its column", "customer", "(SELECT count(*) FROM orders)"),
+]
+
+
 @query(
     "rule_error_isolation",
-    "SELECT 'BAD-1' AS constraint_code, 'no such column' AS constraint_name, false AS passed,"
-    " (SELECT count(*) FROM orders) AS total_checked, NULL::BIGINT AS violation_count, 0.0::DOUBLE AS pass_rate,"
-    f" 'ERROR' AS status UNION ALL {_sql_report(['ROW-4'])}",
+    " UNION ALL ".join(
+        f"SELECT '{code}' AS constraint_code, '{name}' AS constraint_name, false AS passed, {total} AS total_checked,"
+        " NULL::BIGINT AS violation_count, 0.0::DOUBLE AS pass_rate, 'ERROR' AS status"
+        for code, name, _, total in _BROKEN
+    )
+    + f" UNION ALL {_sql_report(['ROW-4'])}",
 )
 def rule_error_isolation(lake: Lake) -> DataFrame:
-    bad = R.row_predicate("BAD-1", "no such column", "orders", "o_orderkey", "no_such_column > 0")
-    return rounded(evaluate([bad, ROW_RULES[3]], lake.tables(["orders"])))
+    """Rules that fail in analysis or only while they run, next to a good one."""
+    (c1, n1, *_), (c2, n2, *_), (c3, n3, *_), (c4, n4, *_) = _BROKEN
+    lines = R.KeyedInput("lineitem", ("l_orderkey",), {"q": R.Measure("sum", "l_quantity")})
+    buyers = R.KeyedInput(
+        "orders", ("o_orderkey",), {"b": R.Measure("max", "cust_no_such_column")}, R.Lookup("customer", "o_custkey", "c_custkey", ("c_acctbal",), "cust_")
+    )
+    rules = [
+        R.row_predicate(c1, n1, "orders", "o_orderkey", "no_such_column > 0"),
+        R.row_predicate(c2, n2, "orders", "o_orderkey", "CAST(o_orderpriority AS INT) > 0"),
+        R.KeyedRule(c3, n3, "order", (lines,), "{q} > no_such_column", "orders"),
+        R.KeyedRule(c4, n4, "order", (buyers,), "{b} > 0", "orders"),
+        ROW_RULES[3],
+    ]
+    return rounded(evaluate(rules, lake.tables(["orders", "lineitem", "customer"])))
 
 
 # A parent restricted to finished orders, so that some child keys have none.
@@ -442,6 +465,16 @@ def freq_share(lake: Lake) -> DataFrame:
     return profile.freq_share(lake.events, "event_type")
 
 
+@query(
+    "freq_share_all",
+    "SELECT l_suppkey, count(*) AS cnt, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM lineitem), 4) AS pct"
+    " FROM lineitem GROUP BY l_suppkey",
+)
+def freq_share_all(lake: Lake) -> DataFrame:
+    """Every one of the many categories, without a limit."""
+    return profile.freq_share(lake.lineitem, "l_suppkey", digits=4)
+
+
 @query(
     "freq_share_top",
     "SELECT l_suppkey, count(*) AS cnt, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM lineitem), 2) AS pct"

@@ -138,7 +138,8 @@ def resolve_series(tables: Tables) -> tuple[dict[str, DataFrame], R.MonotonicRul
     if has_column(samples, "recipe_group_id"):
         group = ("recipe_group_id",)
     elif decodable(samples, KEY, BASE_SAMPLE_ID, ("reference", SYNTHETIC_REFERENCE)):
-        group = (f"CAST(floor((CAST({KEY} AS DOUBLE) - {BASE_SAMPLE_ID}) / {SAMPLES_PER_GROUP}) AS BIGINT)",)
+        # Every id is at least the first one here, so the integer division rounds down.
+        group = (f"(CAST({KEY} AS BIGINT) - {BASE_SAMPLE_ID}) div {SAMPLES_PER_GROUP}",)
     else:
         title = "Monotonicity within derived recipe group (temp up -> cond up)"
         digest = group_fingerprint(

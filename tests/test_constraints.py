@@ -125,7 +125,7 @@ def test_group_key_resolution(spark):
     named = bare["material_samples"].replace({"r": Z.SYNTHETIC_REFERENCE}, subset=["reference"])
     decoded = {**bare, "material_samples": named}
     _, rule, _ = Z.resolve_series(decoded)
-    assert "floor" in rule.group[0]
+    assert " div " in rule.group[0]
     assert counts(Z.validate(decoded))["HC-7"] == 1
 
     # The marker is missing: same method, route and dopants make one series.

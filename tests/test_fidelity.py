@@ -149,3 +149,24 @@ def test_score_against_python(spark):
     want = max(0, 0.6 * (1 - min(3 * rmse, 1)) + 0.2 * (1 - min(3 * md, 1)) + 0.2 * sr)
     stats = fid.quantile_stats(NUM, _nums(spark, a), _nums(spark, b))
     assert fid.quantile_score(stats).first()["score"] == pytest.approx(want, abs=1e-12)
+
+
+def test_values_that_are_not_finite_leave_the_other_dimensions(spark):
+    from qualityforge.operators import fidelity as V
+
+    rows = [(float(i), float("nan") if i == 3 else float(i), float("inf") if i == 4 else 1.0 * i) for i in range(50)]
+    t = {"t": spark.createDataFrame(rows, "a double, b double, c double")}
+    dims = [V.Numeric(n, "t", n) for n in ("a", "b", "c")]
+    report = V.score_fidelity(dims, t, t)
+    got = {r["dimension"]: (r["score"], r["grade"]) for r in report.summary.collect()}
+    assert got["b"] == got["c"] == (None, V.NOT_SCORED)
+    assert got["a"][0] == 1.0 and report.overall.first()["overall_score"] == 1.0
+
+
+def test_a_lost_dimension_raises(spark):
+    from qualityforge.operators import fidelity as V
+
+    scores = spark.createDataFrame([("a", 0.5)], "dimension string, score double")
+    dims = [V.Numeric("a", "t", "a"), V.Numeric("misspelt", "t", "a")]
+    with pytest.raises(Exception, match="misspelt"):
+        V.summarise(scores, dims).collect()

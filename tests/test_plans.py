@@ -8,10 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 from qualityforge.operators import rules as R
-from qualityforge.operators.constraints import _Entity, evaluate
+from qualityforge.operators.constraints import _Entity, metric_rows
 from qualityforge.operators.ordered import Skew, strict_prefix_maxima, with_previous
 from qualityforge.plans.quality import ORDER_RULES, ORDER_TABLES
-from qualityforge.plans.registry import Lake
+from qualityforge.plans.registry import QUERIES, Lake
 from qualityforge.presets import zirconia_recipes as G
 
 BASE = "/root/testdata/sf0.001"
@@ -32,7 +32,7 @@ def lake(spark):
 
 def test_row_rules_are_one_map_side_aggregate(lake):
     rules = [r for r in ORDER_RULES if isinstance(r, R.RowRule) and r.table == "lineitem"]
-    text = plan(evaluate(rules, lake.tables(["lineitem"])))
+    text = plan(metric_rows(rules, lake.tables(["lineitem"])))
     assert text.count("FileScan") == 1
     assert set(shuffles(text)) == {"SinglePartition"}
     assert "ReadSchema: struct<l_quantity:double,l_discount:double,l_returnflag:string>" in text
@@ -48,7 +48,7 @@ def test_keyed_rules_share_one_shuffle_and_one_scan_per_table(lake):
 
 
 def test_filter_reaches_the_scan(lake):
-    df = evaluate([ORDER_RULES[0]], {"lineitem": lake.lineitem.filter("l_quantity > 10")})
+    df = metric_rows([ORDER_RULES[0]], {"lineitem": lake.lineitem.filter("l_quantity > 10")})
     text = plan(df)
     assert "GreaterThan(l_quantity,10.0)" in text
     assert "l_comment" not in text and "l_partkey" not in text
@@ -70,9 +70,9 @@ def test_generation_does_not_shuffle(spark):
         assert not shuffles(text) and "Python" not in text
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_rows_and_no_cross_joins(spark, name):
-    text = plan(entry.queries()[name](spark, BASE))
+    text = plan(QUERIES[name](spark, BASE))
     assert not re.search(r"EvalPython|MapInPandas|MapInArrow|FlatMapGroups|CartesianProduct", text)
     for m in re.findall(r"BroadcastNestedLoopJoin.*", text):
         raise AssertionError(m)
