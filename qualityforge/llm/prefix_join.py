@@ -7,7 +7,8 @@ share a token, so
 
 1. equal sets collapse into a class, and classes with the same prefix and size
    into a group, which stands in the inverted index once;
-2. group pairs sharing a token are filtered by size and position;
+2. group pairs sharing a token are filtered by size and position, and by 512-bit
+   parity signatures, whose differing bits never exceed the differing tokens;
 3. the pairs are expanded to their members and verified on whole texts.
 
 The wanted result is the components of all links, so links inside a component
@@ -23,11 +24,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from qualityforge import runtime
 from qualityforge.llm import kernel as K
-from qualityforge.llm.components import components
+from qualityforge.llm.components import components, joined
 from qualityforge.llm.staging import staged
 
 WORDS = 4
@@ -36,6 +38,8 @@ PERCENT = 85
 _BITS = (16, 24)
 _CHUNK = 1 << 14
 _LANES = 1024
+# Bits of a set's signature: the parity of the tokens that hash to each.
+_SIGNATURE = 512
 
 
 def shingles(s: K.Slice, k: int, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,14 +117,18 @@ def _prefixes(batches, k: int, percent: int, order):
                 total[some] = np.add.reduceat(K.mix(tokens ^ np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)), begin[some]) if len(some) else 0
                 digests.append(total.view(np.int64))
             prefix = K.ragged(tokens, begin, take)
+            odd = np.bincount(doc * _SIGNATURE + (tokens & np.uint64(_SIGNATURE - 1)).astype(np.int64), minlength=len(sizes) * _SIGNATURE) & 1
+            signature = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+            per = _SIGNATURE // 64
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key").slice(s.first, s.last - s.first),
                     pa.array(sizes.astype(np.int64)),
                     *(pa.array(d) for d in digests),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]), pa.int32()), pa.array(prefix.view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(0, len(signature) + 1, per), pa.int32()), pa.array(signature)),
                 ],
-                names=["key", "n", "d1", "d2", "prefix"],
+                names=["key", "n", "d1", "d2", "prefix", "signature"],
             )
 
 
@@ -144,6 +152,22 @@ def _close(percent: int, n1: Column, n2: Column) -> Column:
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
+def _enough(percent: int, common: Column, n1: Column, n2: Column) -> Column:
+    """Whether sets of these sizes can reach the threshold with so many tokens in common."""
+    return (100 + percent) * common >= percent * (n1 + n2)
+
+
+def _alike(percent: int, s1: Column, s2: Column, n1: Column, n2: Column) -> Column:
+    """Whether signatures allow the threshold: they differ in at most as many bits as the sets in tokens."""
+    differing = sum((F.bit_count(s1[i].bitwiseXOR(s2[i])) for i in range(_SIGNATURE // 64)), F.lit(0))
+    return _enough(percent, F.floor((n1 + n2 - differing) / 2), n1, n2)
+
+
+def _tail() -> Column:
+    """Tokens of the shorter tail from a shared token on, of postings p and q."""
+    return F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
+
+
 class PrefixJoin:
     """The tables of one join. ``docs`` needs the key and the text only."""
 
@@ -152,21 +176,41 @@ class PrefixJoin:
         spark = docs.sparkSession
         self.rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
         order = spark.sparkContext.broadcast(frequency_classes(self.rows, words))
-        schema = "key bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>"
+        schema = "key bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>, signature array<bigint>"
         self.sets = staged(self.rows.mapInArrow(K.task(_prefixes, words, percent, order), schema), "join-sets")
         grouping = F.xxhash64("n", "prefix")
         known = self.sets.filter("n > 0 and key is not null").select("key", "n", "d1", "d2", grouping.alias("g"), F.hash("prefix").alias("g2"))
         self.classes = known.groupBy("n", "d1", "d2", "g", "g2").agg(F.min("key").alias("class"))
-        groups = self.classes.groupBy("n", "g", "g2").agg(F.min("class").alias("group"))
-        self.members = staged(self.classes.join(groups, ["n", "g", "g2"]).select("group", "class", "n", "d1", "d2"), "join-members")
+        groups = self.classes.groupBy("n", "g", "g2").agg(F.min("class").alias("group"), (F.count(F.lit(1)) == 1).alias("alone"))
+        self.members = staged(self.classes.join(groups, ["n", "g", "g2"]).select("group", "class", "n", "d1", "d2", "alone"), "join-members")
         # Each group posts its prefix once, through the document that names it.
         posted = self.sets.join(self.members.filter("group = class").select("group", "n", "d1", "d2"), ["n", "d1", "d2"]).filter("key = group")
         postings = posted.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
-        held = postings.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high")).filter("_low <> _high").select("token")
-        self.postings = staged(postings.join(held, "token", "left_semi"), "join-postings")
+        self.postings = self._shared(postings)
+
+    def _shared(self, postings: DataFrame) -> DataFrame:
+        """Postings (group, n, pos, token) that can lead to a partner, with ``most``.
+
+        A token that no other group posts leads nowhere. Two groups that qualify
+        have their first common token in both prefixes, so neither can have more in
+        common with any other than what follows its first posted token: ``most``.
+        Groups that fall short by that go, which may leave more tokens alone.
+        """
+        for name in ("join-shared", "join-postings"):
+            held = postings.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high")).filter("_low <> _high").select("token")
+            rows = postings.join(held, "token", "left_semi").select("group", "n", "pos", "token")
+            rows = rows.withColumn("most", F.col("n") - F.min("pos").over(W.partitionBy("group", "n")))
+            postings = staged(rows.filter(100 * F.col("most") >= self.percent * F.col("n")), name)
+        return postings
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of classes whose texts reach the threshold."""
+        """Pairs (a, b) of classes whose texts reach the threshold, among those whose signatures allow it."""
+        marks = self.sets.join(self.members.select("class", "n", "d1", "d2"), ["n", "d1", "d2"]).filter("key = class")
+        marks = marks.select("class", "n", "signature").dropDuplicates(["class", "n"])
+        pairs = pairs.join(marks.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa")), "a")
+        pairs = pairs.join(marks.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb")), "b")
+        alike = _alike(self.percent, F.col("sa"), F.col("sb"), F.col("na"), F.col("nb"))
+        pairs = staged(pairs.filter(alike).select("a", "b").distinct(), "join-pairs")
         texts = self.rows.filter("key is not null")
         ends = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         needed = texts.join(ends, "key", "left_semi")
@@ -175,48 +219,45 @@ class PrefixJoin:
         checked = joined.select("a", "b", "text_a", "text_b").mapInArrow(K.task(_verify, self.words, self.percent), "a bigint, b bigint, near boolean")
         return staged(checked.filter("near").select("a", "b"), "join-links")
 
-    def _filtered(self, met: DataFrame) -> DataFrame:
-        """Group pairs (a, b) from rows (a, na, pa, b, nb, pb) of shared tokens, by size and position.
-
-        A shared token at places pa and pb leaves at most the shorter head and the
-        shorter tail in common.
-        """
-        at_most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-        # Different sets of one size lack a shingle each.
-        at_most = F.least(at_most, F.when(F.col("na") == F.col("nb"), F.col("na") - 1))
-        bounded = met.filter(_close(self.percent, F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.min(at_most).alias("common"))
-        return bounded.filter((100 + self.percent) * F.col("common") >= self.percent * (F.col("na") + F.col("nb"))).select("a", "b")
-
-    def _may_differ(self) -> Column:
-        """Whether different sets of one size can reach the threshold at all."""
-        return 100 * (F.col("n") - 1) >= self.percent * (F.col("n") + 1)
-
     def _near_first(self) -> DataFrame:
         """Pairs of classes: members with their group's first, groups with the smallest of their token and size band."""
         band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / self.percent))
         rows = self.postings.withColumn("band", band)
-        firsts = rows.groupBy("token", "band").agg(F.min_by(F.struct("group", "n", "pos"), F.col("group")).alias("first"))
+        firsts = rows.groupBy("token", "band").agg(F.min_by(F.struct("group", "n", "most"), F.col("group")).alias("first"))
         met = rows.join(firsts, ["token", "band"]).filter("group <> first.group")
-        met = met.selectExpr("first.group as a", "first.n as na", "first.pos as pa", "group as b", "n as nb", "pos as pb")
+        common = F.least(F.col("most"), F.col("first.most"))
+        met = met.filter(_enough(self.percent, common, F.col("n"), F.col("first.n")))
+        met = met.select(F.col("first.group").alias("a"), F.col("group").alias("b"))
         inside = self.members.filter("group <> class").filter(self._may_differ()).select(F.col("group").alias("a"), F.col("class").alias("b"))
-        return staged(self._filtered(met).union(inside).distinct(), "join-near")
+        return met.union(inside).distinct()
+
+    def _may_differ(self) -> Column:
+        """Whether different sets of one size can reach the threshold at all."""
+        return 100 * (F.col("n") - 1) >= self.percent * (F.col("n") + 1)
 
     def _across(self, labels: DataFrame) -> DataFrame:
         """All remaining candidate pairs of classes, which lie in different components."""
         found = labels.select(F.col("id").alias("class"), "component")
         members = self.members.join(found, "class", "left")
-        members = staged(members.select("group", "class", "n", F.coalesce("component", "class").alias("component")), "join-placed")
-        held = members.select("group", "component").distinct()
+        members = staged(members.select("group", "class", "n", "alone", F.coalesce("component", "class").alias("component")), "join-placed")
+        held = members.select("group", "component", "alone").distinct()
         rows = self.postings.join(held, "group")
         kinds = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
         main = kinds.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-        rows = staged(rows.join(main.drop("m"), "token"), "join-rest")
+        marks = self.sets.select(F.col("key").alias("group"), "n", "signature").join(held.select("group").distinct(), "group", "left_semi")
+        rows = rows.join(main.drop("m"), "token").join(marks.dropDuplicates(["group", "n"]), ["group", "n"])
+        rows = staged(rows, "join-rest")
         # A pair across components has an end outside the token's main one.
-        left = rows.filter("component <> main").selectExpr("token", "group as a", "n as na", "pos as pa", "component as ca")
-        right = rows.selectExpr("token", "group as b", "n as nb", "pos as pb", "component as cb", "component = main as big")
-        met = left.join(right, "token").filter((F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b"))))
-        met = met.filter(_close(self.percent, F.col("na"), F.col("nb")))
-        pairs = self._filtered(met.selectExpr("a", "na", "pa", "b", "nb", "pb"))
+        p, q = rows.filter("component <> main").alias("p"), rows.alias("q")
+        n1, n2 = F.col("p.n"), F.col("q.n")
+        # A lone group is its one set; the signature of another stands for one of several.
+        alike = ~(F.col("p.alone") & F.col("q.alone")) | _alike(self.percent, F.col("p.signature"), F.col("q.signature"), n1, n2)
+        apart = (F.col("p.component") != F.col("q.component")) & ((F.col("q.component") == F.col("q.main")) | (F.col("p.group") < F.col("q.group")))
+        # Common tokens before this one are posted ones on either side.
+        before = F.least(F.col("p.pos") - n1 + F.col("p.most"), F.col("q.pos") - n2 + F.col("q.most"))
+        reach = _close(self.percent, n1, n2) & _enough(self.percent, F.least("p.most", "q.most", before + _tail()), n1, n2)
+        met = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & reach & alike)
+        pairs = self._bounded(met)
         one = members.select(F.col("group").alias("a"), F.col("class").alias("x"), F.col("component").alias("cx"))
         two = members.select(F.col("group").alias("b"), F.col("class").alias("y"), F.col("component").alias("cy"))
         expanded = pairs.join(one, "a").join(two, "b").filter("cx <> cy").select("x", "y")
@@ -224,14 +265,32 @@ class PrefixJoin:
         within = members.filter(self._may_differ()).join(mixed, "group", "left_semi")
         inner = within.alias("p").join(within.alias("q"), "group").filter("p.component <> q.component").selectExpr("p.class as x", "q.class as y")
         every = expanded.union(inner).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b")
-        return staged(every.distinct(), "join-across")
+        return every.distinct()
+
+    def _bounded(self, met: DataFrame) -> DataFrame:
+        """Group pairs (a, b) from all their shared prefix tokens, by size and position.
+
+        Before the first shared token nothing is shared, so the shorter tail from
+        there bounds the rest; up to the last one only the shared tokens are.
+        """
+        flip = F.col("p.group") > F.col("q.group")
+        pairs = met.select(
+            F.least("p.group", "q.group").alias("a"),
+            F.greatest("p.group", "q.group").alias("b"),
+            F.when(flip, F.col("q.n")).otherwise(F.col("p.n")).alias("na"),
+            F.when(flip, F.col("p.n")).otherwise(F.col("q.n")).alias("nb"),
+            _tail().alias("tail"),
+        )
+        bounds = pairs.groupBy("a", "b", "na", "nb").agg(F.max("tail").alias("first"), F.min("tail").alias("last"), F.count(F.lit(1)).alias("shared"))
+        common = F.least("first", F.col("shared") - 1 + F.col("last"), F.when(F.col("na") == F.col("nb"), F.col("na") - 1))
+        return bounds.filter(_enough(self.percent, common, F.col("na"), F.col("nb"))).select("a", "b")
 
     def result(self) -> DataFrame:
         first = self._verified(self._near_first())
         labels = components(first)
         second = self._verified(self._across(labels))
         if not second.isEmpty():
-            labels = components(first.union(second))
+            labels = joined(labels, second)
         named = self.members.join(labels.withColumnRenamed("id", "class"), "class", "left")
         named = named.select("n", "d1", "d2", F.coalesce("component", "class").alias("component_id"))
         rows = self.sets.select("key", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left")

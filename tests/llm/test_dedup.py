@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from qualityforge.llm import exact_dedup, fuzzy_lines, prefix_join
 from qualityforge.llm import kernel as K
-from qualityforge.llm.components import components
+from qualityforge.llm.components import components, joined
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -64,6 +64,9 @@ def test_components_of_chains_stars_and_loops(spark):
     found = components(spark.createDataFrame(links + [(None, 4)], "a bigint, b bigint"))
     want = groups({x for p in links for x in p}, links)
     assert {r.id: r.component for r in found.collect()} == want
+    more = [(3, 501), (7, 8), (10_000, 10_001), (10_001, 900)]
+    again = joined(found, spark.createDataFrame(more, "a bigint, b bigint"))
+    assert {r.id: r.component for r in again.collect()} == groups({x for p in links + more for x in p}, links + more)
 
 
 def near_texts(seed, n=90):
