@@ -104,9 +104,23 @@ def referential_sample(lake: Lake) -> DataFrame:
     return out["lineitem"].select("o_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("bernoulli_sample")
+# What holds for any correct sample: all drawn rows are rows of the table, none
+# comes twice, and each tenth of the keys gives its share within six deviations.
+@query(
+    "bernoulli_sample",
+    "SELECT o_orderkey % 10 AS slice, count(*) AS rows, count(*) AS known, true AS once, true AS near FROM orders GROUP BY 1",
+)
 def bernoulli_sample(lake: Lake) -> DataFrame:
-    return sampling.bernoulli_sample(lake.orders, 0.1, seed=7).select("o_orderkey", "o_totalprice")
+    drawn = sampling.bernoulli_sample(lake.orders, 0.1, seed=7).groupBy("o_orderkey", "o_totalprice").agg(F.count(F.lit(1)).alias("times"))
+    both = lake.orders.select("o_orderkey", "o_totalprice", F.lit(1).alias("here")).join(drawn, ["o_orderkey", "o_totalprice"], "full")
+    rows, taken = F.count(F.lit(1)), F.count("times")
+    spread = 6 * F.sqrt(rows * 0.1 * 0.9)
+    return both.groupBy((F.col("o_orderkey") % 10).alias("slice")).agg(
+        rows.alias("rows"),
+        F.count("here").alias("known"),
+        (F.coalesce(F.max("times"), F.lit(1)) == 1).alias("once"),
+        (F.abs(taken - rows * 0.1) <= spread).alias("near"),
+    )
 
 
 _SQL_SEGMENTS = (
