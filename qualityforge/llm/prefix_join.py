@@ -194,14 +194,12 @@ class PrefixJoin:
         A token that no other group posts leads nowhere. Two groups that qualify
         have their first common token in both prefixes, so neither can have more in
         common with any other than what follows its first posted token: ``most``.
-        Groups that fall short by that go, which may leave more tokens alone.
+        Groups that fall short by that go.
         """
-        for name in ("join-shared", "join-postings"):
-            held = postings.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high")).filter("_low <> _high").select("token")
-            rows = postings.join(held, "token", "left_semi").select("group", "n", "pos", "token")
-            rows = rows.withColumn("most", F.col("n") - F.min("pos").over(W.partitionBy("group", "n")))
-            postings = staged(rows.filter(100 * F.col("most") >= self.percent * F.col("n")), name)
-        return postings
+        held = postings.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high")).filter("_low <> _high").select("token")
+        rows = postings.join(held, "token", "left_semi").select("group", "n", "pos", "token")
+        rows = rows.withColumn("most", F.col("n") - F.min("pos").over(W.partitionBy("group", "n")))
+        return staged(rows.filter(100 * F.col("most") >= self.percent * F.col("n")), "join-postings")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of classes whose texts reach the threshold, among those whose signatures allow it."""
