@@ -13,7 +13,7 @@ share a token, so
 
 The wanted result is the components of all links, so links inside a component
 already found need no proof. Step 2 and 3 run twice: first every group against
-the smallest group of its token and size band, then all remaining pairs, which lie
+the most central group of its token and size band, then all remaining pairs, which lie
 in different components. A token held by one big group of near copies
 hence costs its length, not its square, and no link between components is missed.
 """
@@ -218,10 +218,12 @@ class PrefixJoin:
         return staged(checked.filter("near").select("a", "b"), "join-links")
 
     def _near_first(self) -> DataFrame:
-        """Pairs of classes: members with their group's first, groups with the smallest of their token and size band."""
+        """Pairs of classes: members with their group's first, groups with the most central of their token and size band."""
         band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / self.percent))
         rows = self.postings.withColumn("band", band)
-        firsts = rows.groupBy("token", "band").agg(F.min_by(F.struct("group", "n", "most"), F.col("group")).alias("first"))
+        # The group with fewest tokens of its own is likeliest to be near the others.
+        central = F.struct((F.col("n") - F.col("most")).alias("own"), "group")
+        firsts = rows.groupBy("token", "band").agg(F.min_by(F.struct("group", "n", "most"), central).alias("first"))
         met = rows.join(firsts, ["token", "band"]).filter("group <> first.group")
         common = F.least(F.col("most"), F.col("first.most"))
         met = met.filter(_enough(self.percent, common, F.col("n"), F.col("first.n")))
