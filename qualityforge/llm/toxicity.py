@@ -10,6 +10,9 @@ text's currently highest window and follows the gradient of the log loss.
 With two classes only the difference of the softmax rows matters, so a text's
 score needs one number per distinct word. Those numbers are computed once per
 word and worker and averaged over all windows of whole texts.
+
+A run longer than any word (scripts without blanks, joined words) is read as
+overlapping pieces of a word's size, each of which counts as a word.
 """
 
 from __future__ import annotations
@@ -35,8 +38,10 @@ ROUNDS = 200
 TELLING = 4.0
 RATE = 2.0
 DECAY = 0.001
-# Only this much of a single word feeds the n-grams; longer runs are no words.
+# Longer runs are no words: they are read in pieces of PIECE bytes that overlap by all but one byte of the longest n-gram.
 WORD_BYTES = 64
+PIECE = 16
+OVERLAP = max(GRAMS) - 1
 
 
 @dataclass
@@ -47,13 +52,45 @@ class Model:
     bias: float
 
 
+@dataclass
+class Pieces(K.Words):
+    """Words and pieces of long runs; ``cut`` is 1 where a run goes on before the piece, plus 2 where it goes on after it."""
+
+    cut: np.ndarray
+
+    def text(self, i: int) -> bytes:
+        """The bytes, with a blank (which no word holds) where the run goes on."""
+        return b" " * (self.cut[i] & 1) + super().text(i) + b" " * (self.cut[i] >> 1)
+
+
+def in_pieces(words: K.Words) -> Pieces:
+    """``words`` with every run longer than ``WORD_BYTES`` as consecutive overlapping pieces."""
+    size, step = words.ends - words.starts, PIECE - OVERLAP
+    many = np.where(size > WORD_BYTES, -(-(size - OVERLAP) // step), 1)
+    run = np.repeat(np.arange(len(size)), many)
+    place = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+    starts, ends, hashes = words.starts[run] + place * step, words.ends[run], words.hashes[run]
+    part = np.flatnonzero(many[run] > 1)
+    ends[part] = np.minimum(ends[part], starts[part] + PIECE)
+    cut = (place > 0) + 2 * (place < many[run] - 1)
+    length = ends[part] - starts[part]
+    hashes[part] = K.mix(K.runs_hash(K.ragged(words.data, starts[part], length), length) + cut[part].astype(np.uint64))
+    return Pieces(words.data, starts, ends, hashes, np.concatenate([[0], np.cumsum(many)])[words.first], cut)
+
+
+def _wrapped(word: bytes) -> bytes:
+    """Lower-cased without marks at its ends, which are marked unless they are cuts."""
+    bare = word.lower().strip(b".,;:!?()\"'")
+    return (b"" if bare[:1] == b" " else b"<") + bare + (b"" if bare[-1:] == b" " else b">")
+
+
 def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Concatenated buckets of all words, and how many each word has.
 
     Vectorised over bytes: words are padded into a matrix, and the hash of every
     n-gram is a product-sum of its bytes.
     """
-    wrapped = [b"<" + w.lower().strip(b".,;:!?()\"'")[:WORD_BYTES] + b">" for w in words]
+    wrapped = [_wrapped(w) for w in words]
     size = np.array([len(w) for w in wrapped], np.int64)
     if not len(size):
         return np.zeros(0, np.int64), size
@@ -84,7 +121,7 @@ def _vocabulary(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray
     """Distinct words, each word's place among them, and the index of every text's first word."""
     hashes, many, held = [], [], {}
     for s in K.slices(pa.array(texts, pa.large_binary())):
-        words = K.split_words(s.data, s.offsets)
+        words = in_pieces(K.split_words(s.data, s.offsets))
         distinct, one, _ = K.unique_words(words)
         for h, i in zip(distinct.tolist(), one.tolist()):
             if h not in held:
@@ -96,9 +133,9 @@ def _vocabulary(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray
 
 
 def word_logits(model_grams: np.ndarray, words: list[bytes]) -> np.ndarray:
-    ids, size = word_grams(words)
-    if not len(size):
+    if not words:
         return np.zeros(0)
+    ids, size = _grams_in_parts(words)
     return np.add.reduceat(model_grams[ids], np.cumsum(size) - size) / size
 
 
@@ -194,7 +231,7 @@ def _score(batches, model_grams, bias: float):
     cache = WordCache.shared("toxicity", model_grams.value, lambda words: word_logits(model_grams.value, words))
     for batch in batches:
         for s in K.slices(batch.column("text")):
-            words = K.split_words(s.data, s.offsets)
+            words = in_pieces(K.split_words(s.data, s.offsets))
             logits, _, _, doc = window_logits(cache.values(words), words.first, bias)
             best = np.full(s.last - s.first, -np.inf)
             np.maximum.at(best, doc, logits)

@@ -228,6 +228,35 @@ def test_unseen_misspellings_score_high():
     assert (scores_of(model, spelled) > scores_of(model, [clean])[0] + 1).all()
 
 
+@pytest.mark.parametrize("size", [1, 64, 65, 70, 76, 77, 500])
+def test_pieces_of_a_run_hold_every_ngram(size):
+    run = bytes(random.Random(size).choice(b"abcdefgh.,!") for _ in range(size))
+    (s,) = K.slices(pa.array([b"one", run + b" two", b""], pa.large_binary()))
+    words = toxicity.in_pieces(K.split_words(s.data, s.offsets))
+    parts = [words.text(i) for i in range(words.first[1], words.first[2] - 1)]
+    assert words.text(0) == b"one" and words.text(words.first[2] - 1) == b"two" and words.first[3] == words.first[2]
+    assert (len(parts) == 1) == (size <= 64) and len(set(words.hashes.tolist())) == len({words.text(i) for i in range(len(words.starts))})
+    kept = [toxicity._wrapped(p) for p in parts]
+    bare = run.strip(b".,;:!?()\"'")
+    assert all(any(bare[i : i + n] in k for k in kept) for n in toxicity.GRAMS for i in range(len(bare) - n + 1))
+
+
+@pytest.mark.parametrize("joint", ["\u00a0", "\u3000", "-", "/", "."])
+def test_toxic_words_late_in_an_unbroken_run_score_high(spark, joint):
+    texts, toxic = toxic_texts(random.Random(5), 400)
+    model = toxicity.fit(texts, toxic)
+    clean = ["river", "stones", "window", "gardening", "people", "winter"] * 8
+    late = clean[:40] + ["scoundrel", "dimwit", "blockhead"] + clean[40:]
+    han = "".join(chr(0x4E00 + i) for i in range(60))
+    docs = documents(spark, [(1, joint.join(clean)), (2, joint.join(late)), (3, han), (4, han + "scoundreldimwitblockhead")])
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert got[2] > got[1] + 0.2 and got[4] > got[3] + 0.2
+    # Learned from such runs too.
+    again = toxicity.fit([joint.join(t.decode().split()).encode() for t in texts], toxic)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, again).collect()}
+    assert got[2] > 0.5 > got[1]
+
+
 def test_windows_cover_every_word_once_or_twice():
     first = np.array([0, 0, 1, 40, 104, 170, 1000])
     begin, size, doc = toxicity.windows(first, 64)
