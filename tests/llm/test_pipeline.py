@@ -67,6 +67,19 @@ def test_near_copies_leave_the_smallest_id(stages):
     assert sorted(r.doc_id for r in after.collect()) == want
 
 
+def test_near_stage_takes_five_words_at_eighty_percent(spark):
+    """Pairs between that and the thresholds of op3 alone."""
+    rows = []
+    for pair in range(4):
+        words = [f"p{pair}w{i}" for i in range(200 if pair % 2 else 100)]
+        other = [f"new{w}" if (90 <= i < 105 if pair % 2 else i in (30, 60 + pair)) else w for i, w in enumerate(words)]
+        rows += [(10 * pair, " ".join(words)), (10 * pair + 1, " ".join(other))]
+    want = sorted(i for i, (_, top) in jaccard_plain(rows, 5, 80).items() if i == top)
+    assert want != sorted(i for i, (_, top) in jaccard_plain(rows).items() if i == top)
+    got = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, documents(spark, rows), BASE)
+    assert sorted(r.doc_id for r in got.collect()) == want
+
+
 def test_mixing_repeats_as_planned(spark, stages):
     before, after = stages[3]
     plan = queries.mixing.mix_sources(queries.corpus_sizes(before), queries.CORPUS_MIX).collect()
