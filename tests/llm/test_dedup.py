@@ -199,6 +199,29 @@ def test_fuzzy_lines_equal_all_pairs(spark):
     assert {r.doc_id: (r.n_lines, list(r.dropped)) for r in got} == want
 
 
+def edited(rng, line, edits):
+    out = list(line)
+    for _ in range(edits):
+        at = rng.randrange(1, len(out) - 1)
+        kind = rng.randrange(3)
+        out[at : at + 1] = [rng.choice("bcdfgklmnp")] if kind == 0 else [] if kind == 1 else [out[at], rng.choice("bcdfgklmnp")]
+    return " ".join("".join(out).split())
+
+
+def test_fuzzy_lines_recall_by_edit_similarity_alone(spark):
+    """Against all pairs of edit similarity 0.85; edits are spread evenly from one to the most allowed."""
+    rng = random.Random(7)
+    lines = []
+    for i in range(150):
+        line = " ".join("".join(rng.choice("aeiorstnlmd") for _ in range(rng.randrange(2, 9))) for _ in range(rng.randrange(8, 40)))
+        lines += [line, edited(rng, line, rng.randrange(1, len(line) * 15 // 100 + 1))]
+    near = {(i, j) for i, j in zip(range(0, 300, 2), range(1, 300, 2)) if levenshtein(lines[i], lines[j]) <= max(map(len, (lines[i], lines[j]))) * 15 // 100}
+    got = {r.doc_id: r.n_dropped for r in fuzzy_lines.line_verdicts(documents(spark, list(enumerate(lines)))).collect()}
+    found = {(i, i + 1) for i in range(0, 300, 2) if got[i + 1]}
+    print("recall", len(found & near) / len(near), len(near))
+    assert len(found & near) >= 0.9 * len(near) and found <= near and not any(got[i] for i in range(0, 300, 2))
+
+
 def test_fuzzy_lines_with_odd_rows(spark):
     docs = documents(spark, [r for r in ODD if r[1] is None or len(r[1]) < 1000])
     verdicts = fuzzy_lines.line_verdicts(docs)
