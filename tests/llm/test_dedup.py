@@ -222,6 +222,26 @@ def test_fuzzy_lines_recall_by_edit_similarity_alone(spark):
     assert len(found & near) >= 0.9 * len(near) and found <= near and not any(got[i] for i in range(0, 300, 2))
 
 
+def test_short_lines_meet_every_line_within_reach(spark):
+    """Lines without blanks, of few words or few characters: all pairs of edit similarity 0.85."""
+    rng, lines = random.Random(3), ["subscribe to our newsletter", "subscribe to our newsleter", "http://example.org/a/long/path/index", "http://example.org/a/lnog/path/index"]
+    for alphabet in ("abcdef ", "的一是不了人我在有他这中大来上国"):
+        for _ in range(60):
+            line = " ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(3, 36))).split()) or "x"
+            lines += [line] + ([edited(rng, line, rng.randrange(1, 4))] if len(line) > 4 else [])
+    lines = [line for line in lines if len(line) <= fuzzy_lines.SHORT + 4]
+    reach = lambda x, y: max(len(x), len(y)) * 15 // 100
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if abs(len(lines[i]) - len(lines[j])) <= 6 and levenshtein(lines[i], lines[j]) <= reach(lines[i], lines[j])]
+    short = [(i, j) for i, j in links if min(len(lines[i]), len(lines[j])) <= fuzzy_lines.SHORT and lines[i] != lines[j]]
+    assert len(short) > 30
+    for i, j in short:
+        x, y = sorted((lines[i], lines[j]), key=len)
+        assert set(fuzzy_lines.segment_keys(y, 85)[0]) & set(fuzzy_lines.segment_keys(x, 85)[1])
+    top = groups(range(len(lines)), links)
+    got = {r.doc_id: r.n_dropped for r in fuzzy_lines.line_verdicts(documents(spark, list(enumerate(lines)))).collect()}
+    assert got == {i: int(top[i] != i) for i in range(len(lines))}
+
+
 def test_fuzzy_lines_with_odd_rows(spark):
     docs = documents(spark, [r for r in ODD if r[1] is None or len(r[1]) < 1000])
     verdicts = fuzzy_lines.line_verdicts(docs)
