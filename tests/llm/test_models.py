@@ -192,6 +192,20 @@ def test_languages_with_odd_rows(spark):
     assert {r.lang_pred for r in kn_language.predict(docs, empty).collect()} == {"und"}
 
 
+def test_a_rare_language_keeps_all_its_ngrams_beside_a_hot_one(spark, monkeypatch):
+    monkeypatch.setattr(kn_language, "MAX_GRAMS", 20, raising=False)
+    hot = [(i, "the cat and the dog then went home again") for i in range(60)]
+    docs = documents(spark, hot + [(100, "zwölf boxkämpfer jagen viktor")])
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") >= 100, "de").otherwise(F.col("lang")))
+    model = kn_language.train(docs, "doc_id", "text", "lang", F.lit(True), F.lit(True))
+    bags = {"en": Counter(w.encode() for _, t in hot for w in t.split()), "de": Counter(w.encode() for w in "zwölf boxkämpfer jagen viktor".split())}
+    want = kn_language.build({k: kn_language.count_grams(list(b), np.array(list(b.values()))) for k, b in bags.items()})
+    assert model.langs == want.langs == ["de", "en"]
+    for a, b in zip(model.keys + model.logp + model.backoff, want.keys + want.logp + want.backoff):
+        np.testing.assert_array_equal(a, b)
+    assert {r.lang_pred for r in kn_language.predict(docs.filter("doc_id = 100"), model).collect()} == {"de"}
+
+
 # Toxicity
 
 
