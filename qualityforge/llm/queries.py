@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualityforge.llm import crf_quality, exact_dedup, fuzzy_lines, kn_language, mixing, packing, prefix_join, simple8b, toxicity, url_rules
+from qualityforge.llm import crf_quality, exact_dedup, fuzzy_lines, kn_language, mixing, packing, prefix_join, simple8b, toxicity, url_rules, whitening
 
 QUERIES, ORACLES = {}, {}
 
@@ -176,3 +176,8 @@ def prefix_join_query(spark: SparkSession, base: str) -> DataFrame:
 @query("op1_fuzzy_lines")
 def fuzzy_lines_query(spark: SparkSession, base: str) -> DataFrame:
     return fuzzy_lines.line_verdicts(table(spark, base, "documents"))
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, base: str) -> DataFrame:
+    return whitening.whiten(table(spark, base, "embeddings"))
