@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualityforge.llm import crf_quality, exact_dedup, fuzzy_lines, kn_language, mixing, packing, prefix_join, simple8b, toxicity, url_rules, whitening
+from qualityforge.llm import crf_quality, exact_dedup, fuzzy_lines, kn_language, merkle, mixing, packing, prefix_join, simple8b, toxicity, url_rules, whitening
 
 QUERIES, ORACLES = {}, {}
 
@@ -181,3 +181,46 @@ def fuzzy_lines_query(spark: SparkSession, base: str) -> DataFrame:
 @query("op12_embedding_whitening")
 def embedding_whitening(spark: SparkSession, base: str) -> DataFrame:
     return whitening.whiten(table(spark, base, "embeddings"))
+
+
+def _merkle_sql(deep: int = 16) -> str:
+    """Levels one by one; ``deep`` levels hold 3 ** deep rows of a source, and as many sources."""
+    crc = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::UBIGINT)),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda a, z: xor(a >> 1, 3988292384::UBIGINT * (a & 1)))), 4294967295::UBIGINT)"""
+    field = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+    row = "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+    sql = [
+        f"""WITH leaves AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS g, {row.format(text="text")} AS leaf,
+      CASE WHEN {crc} % 2 = 0 THEN {row.format(text="replace(text, chr(10), '')")} ELSE {row.format(text="text")} END AS claimed FROM documents)""",
+        """a0 AS MATERIALIZED (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS p, leaf AS h, doc_id, claimed FROM leaves)""",
+        "w0 AS MATERIALIZED (SELECT doc_id, g, p, h AS leaf, claimed AS node, '' AS proof FROM a0)",
+    ]
+    for side, keep in (("a", "doc_id, leaf"), ("b", "doc_id, leaf, g0, subroot")):
+        if side == "b":
+            sql.append(f"tops AS MATERIALIZED (SELECT g, h FROM a{deep})")
+            sql.append("b0 AS MATERIALIZED (SELECT '' AS g, row_number() OVER (ORDER BY encode(g)) - 1 AS p, h, g AS g0 FROM tops)")
+            sql.append(f"v0 AS MATERIALIZED (SELECT w.doc_id, w.leaf, w.g AS g0, b0.h AS subroot, b0.g, b0.p, w.node, w.proof FROM w{deep} w JOIN b0 ON b0.g0 = w.g)")
+        walk = "w" if side == "a" else "v"
+        for i in range(deep):
+            sql.append(f"""{side}{i + 1} AS MATERIALIZED (SELECT g, CASE WHEN n > 1 THEN p // 3 ELSE p END AS p, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE min(h) END AS h
+        FROM (SELECT g, p, h, count(*) OVER (PARTITION BY g) AS n FROM {side}{i}) GROUP BY g, CASE WHEN n > 1 THEN p // 3 ELSE p END, n)""")
+            sql.append(f"""{side}s{i} AS MATERIALIZED (SELECT x.g, x.p, count(*) OVER (PARTITION BY x.g) AS n,
+        coalesce(l2.h, '') || coalesce(l1.h, '') AS l, coalesce(r1.h, '') || coalesce(r2.h, '') AS r FROM {side}{i} x
+        LEFT JOIN {side}{i} l1 ON l1.g = x.g AND l1.p = x.p - 1 AND x.p % 3 >= 1 LEFT JOIN {side}{i} l2 ON l2.g = x.g AND l2.p = x.p - 2 AND x.p % 3 = 2
+        LEFT JOIN {side}{i} r1 ON r1.g = x.g AND r1.p = x.p + 1 AND x.p % 3 <= 1 LEFT JOIN {side}{i} r2 ON r2.g = x.g AND r2.p = x.p + 2 AND x.p % 3 = 0)""")
+            sql.append(f"""{walk}{i + 1} AS MATERIALIZED (SELECT {keep}, d.g, CASE WHEN n > 1 THEN d.p // 3 ELSE d.p END AS p,
+        CASE WHEN n > 1 THEN sha256(l || node || r) ELSE node END AS node, CASE WHEN n > 1 THEN proof || l || r ELSE proof END AS proof
+        FROM {walk}{i} d JOIN {side}s{i} s ON s.g = d.g AND s.p = d.p)""")
+    return ",\n    ".join(sql) + f"""
+    SELECT doc_id, leaf, subroot, b{deep}.h AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = b{deep}.h AS verified FROM v{deep} v JOIN b{deep} ON b{deep}.g = v.g"""
+
+
+@query("op13_merkle_manifest", _merkle_sql())
+def merkle_manifest(spark: SparkSession, base: str) -> DataFrame:
+    """Rows whose id has an even CRC-32 are proven with the newlines of their text deleted."""
+    docs = table(spark, base, "documents")
+    rest = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    bare = F.replace("text", F.lit("\n"), F.lit(""))
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    leaf = merkle.leaf_of(*rest, F.col("text"))
+    return merkle.manifest(docs, "doc_id", "source", leaf, F.when(tampered, merkle.leaf_of(*rest, bare)).otherwise(leaf))
