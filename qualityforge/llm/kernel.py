@@ -169,4 +169,30 @@ def task(fn: Callable, *args) -> Callable:
     return run
 
 
+def table_task(fn: Callable, *args) -> Callable:
+    """``fn(table, *args)`` for ``applyInArrow`` on groups."""
+    call = task(fn, *args)
+
+    def run(table):
+        return call(table)
+
+    return run
+
+
+def pair_task(fn: Callable, *args) -> Callable:
+    """``fn(left, right, *args)`` for ``applyInArrow`` on two grouped frames."""
+    call = task(_both, fn.__module__, fn.__name__, args)
+
+    def run(left, right):
+        return call((left, right))
+
+    return run
+
+
+def _both(tables, module: str, name: str, args: tuple):
+    import importlib
+
+    return getattr(importlib.import_module(module), name)(*tables, *args)
+
+
 assert sys.byteorder == "little"

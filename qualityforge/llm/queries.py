@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualityforge.llm import crf_quality, exact_dedup, fuzzy_lines, kn_language, merkle, mixing, packing, prefix_join, simple8b, toxicity, url_rules, whitening
+from qualityforge.llm import crf_quality, exact_dedup, fuzzy_lines, kn_language, merkle, mixing, packing, prefix_join, repeats, simple8b, toxicity, url_rules, whitening
 
 QUERIES, ORACLES = {}, {}
 
@@ -178,6 +178,12 @@ def fuzzy_lines_query(spark: SparkSession, base: str) -> DataFrame:
     return fuzzy_lines.line_verdicts(table(spark, base, "documents"))
 
 
+@query("op11_repeated_passages")
+def repeated_passages(spark: SparkSession, base: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, base, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op12_embedding_whitening")
 def embedding_whitening(spark: SparkSession, base: str) -> DataFrame:
     return whitening.whiten(table(spark, base, "embeddings"))
