@@ -32,7 +32,7 @@ from qualityforge.llm.staging import staged
 LENGTH, ANCHOR = 200, 100
 # Bytes of texts in a slab, of stretches in an index, and of the different stretches
 # of one name that still go to an index.
-SLAB, INDEX, HOT = 32 << 20, 1 << 18, 1 << 20
+SLAB, INDEX, HOT = 16 << 20, 1 << 18, 1 << 20
 
 U = np.uint64
 _BYTE = K.mix(np.arange(1, 257, dtype=U) * U(0xA0761D6478BD642F))
@@ -112,19 +112,20 @@ def _scan(batches, length: int, anchor: int, slab: int):
 
 
 class _Texts:
-    """Documents of a slab in order: one buffer, and where each stretch begins in its document."""
+    """Documents of a slab: one buffer with their bytes and the row of each document's number."""
 
     def __init__(self, table: pa.Table):
-        self.table = table = table.sort_by("idx").combine_chunks()
-        texts = pc.fill_null(table.column("text").cast(pa.large_binary()), b"").combine_chunks()
-        if isinstance(texts, pa.ChunkedArray):
-            texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.large_binary())
-        n = len(texts)
-        self.offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int64)
+        self.table = table
+        n = table.num_rows
+        chunks = table.column("text").chunks
+        texts = chunks[0] if len(chunks) == 1 else pa.concat_arrays(chunks) if chunks else pa.array([], pa.binary())
+        self.offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
         self.raw = memoryview(texts.buffers()[2]) if n and texts.buffers()[2] is not None else memoryview(b"")
+        self.row = np.empty(n, np.int64)
+        self.row[table.column("idx").to_numpy()] = np.arange(n)
 
-    def bytes(self, idx: np.ndarray, low: np.ndarray, size: np.ndarray):
-        begin = self.offsets[idx] + low
+    def bytes(self, rows: np.ndarray, low: np.ndarray, size: np.ndarray):
+        begin = self.offsets[rows] + low
         return [self.raw[b : b + n] for b, n in zip(begin.tolist(), size.tolist())]
 
 
@@ -132,40 +133,33 @@ def _numbers(table: pa.Table, *names: str) -> list[np.ndarray]:
     return [table.column(c).to_numpy() for c in names]
 
 
+_STRETCHES = pa.schema([("slab", pa.int64()), ("idx", pa.int32()), ("low", pa.int64()), ("windows", pa.int32()), ("name", pa.int64()), ("digest", pa.int64())])
+
+
 def _name_stretches(texts: pa.Table, hits: pa.Table, length: int) -> pa.Table:
     """Digest every stretch whose name occurs again."""
     idx, nth = _numbers(hits, "idx", "nth")
+    if not len(idx):
+        return _STRETCHES.empty_table()
     docs = _Texts(texts)
-    per = docs.table.column("windows")
-    counts = pc.list_value_length(per).to_numpy()
-    first = np.cumsum(counts) - counts
-    windows = pc.list_flatten(per).to_numpy()
-    names = pc.list_flatten(docs.table.column("names")).to_numpy()
+    per = texts.column("windows").combine_chunks()
+    counts = pc.list_value_length(per).to_numpy(zero_copy_only=False)
+    windows = pc.list_flatten(per).to_numpy(zero_copy_only=False).astype(np.int64)
+    names = pc.list_flatten(texts.column("names").combine_chunks()).to_numpy(zero_copy_only=False)
+    rows, first = docs.row[idx], np.cumsum(counts) - counts
     low = np.cumsum(windows) - windows
-    if len(counts):
-        starts = np.where(counts > 0, low[np.minimum(first, max(len(low) - 1, 0))], 0) if len(low) else np.zeros(len(counts), np.int64)
-        low = low - np.repeat(starts, counts)
-    at = first[idx] + nth if len(idx) else np.zeros(0, np.int64)
-    n = windows[at] if len(at) else np.zeros(0, np.int64)
-    begin = low[at] if len(at) else np.zeros(0, np.int64)
-    digests = [hashlib.blake2b(b, digest_size=8).digest() for b in docs.bytes(idx, begin, n + length - 1)] if len(at) else []
-    slab = texts.column("slab")[0].as_py() if texts.num_rows else 0
-    return pa.table(
-        {
-            "slab": pa.array(np.full(len(at), slab), pa.int64()),
-            "idx": pa.array(idx, pa.int32()),
-            "low": pa.array(begin, pa.int64()),
-            "windows": pa.array(n, pa.int32()),
-            "name": pa.array(names[at] if len(at) else [], pa.int64()),
-            "digest": pa.array(np.frombuffer(b"".join(digests), "<i8"), pa.int64()),
-        }
-    )
+    at = first[rows] + nth
+    n, begin = windows[at], low[at] - low[first[rows]]
+    digests = [hashlib.blake2b(b, digest_size=8).digest() for b in docs.bytes(rows, begin, n + length - 1)]
+    columns = [hits.column("slab"), idx, begin, n, names[at], np.frombuffer(b"".join(digests), "<i8")]
+    return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c, t) for c, t in zip(columns, _STRETCHES.types)], schema=_STRETCHES)
 
 
 def _cut(texts: pa.Table, wanted: pa.Table, length: int) -> pa.Table:
     """The bytes of stretches."""
     idx, low, n = _numbers(wanted, "idx", "low", "windows")
-    pieces = [bytes(b) for b in _Texts(texts).bytes(idx, low, n + length - 1)] if len(idx) else []
+    docs = _Texts(texts)
+    pieces = [bytes(b) for b in docs.bytes(docs.row[idx], low, n + length - 1)]
     return pa.table({"name": wanted.column("name"), "digest": wanted.column("digest"), "piece": pa.array(pieces, pa.binary())})
 
 
@@ -206,40 +200,32 @@ def _windows(batches, length: int):
 
 def _removed(texts: pa.Table, spans: pa.Table) -> pa.Table:
     """Merge the spans of every document and keep the other bytes."""
-    docs = _Texts(texts)
-    n = len(docs.offsets) - 1
-    size = len(docs.raw)
-    delta = np.zeros(size + 1, np.int64)
+    docs, n = _Texts(texts), texts.num_rows
     idx, begin, end = _numbers(spans, "idx", "begin", "end")
-    np.add.at(delta, docs.offsets[idx] + begin, 1)
-    np.add.at(delta, docs.offsets[idx] + end, -1)
-    gone = np.cumsum(delta)[:-1] > 0
-    base = docs.offsets[0]
-    bounds = docs.offsets - base
-    gone = gone[base : base + bounds[-1]] if n else gone[:0]
-    fresh = gone.copy()
-    fresh[1:] &= ~gone[:-1]
-    inner = bounds[:-1][np.diff(bounds) > 0]
-    fresh[inner] = gone[inner]
-    stops = gone.copy()
-    stops[:-1] &= ~gone[1:]
-    stops[inner[1:] - 1] = gone[inner[1:] - 1]
-    first, last = np.flatnonzero(fresh), np.flatnonzero(stops) + 1
-    owner = np.searchsorted(bounds, first, "right") - 1
-    shift = bounds[owner]
-    per = np.bincount(owner, minlength=n) if n else np.zeros(0, np.int64)
-    data = np.frombuffer(docs.raw, np.uint8)[base : base + bounds[-1]] if size else np.zeros(0, np.uint8)
-    left = K.count_between(~gone, bounds) if n else np.zeros(0, np.int64)
-    kept = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.append(0, np.cumsum(left)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[~gone]))])
-    ends = pa.array(np.append(0, np.cumsum(per)), pa.int32())
+    owner = docs.row[idx]
+    begin, end = docs.offsets[owner] + begin, docs.offsets[owner] + end
+    by = np.argsort(begin)
+    owner, begin, reach = owner[by], begin[by], np.maximum.accumulate(end[by])
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = (begin[1:] > reach[:-1]) | (owner[1:] != owner[:-1])
+    # A span reaches as far as the last one before the next that starts afresh.
+    first, last, owner = begin[fresh], reach[np.append(fresh[1:], True)] if len(by) else begin, owner[fresh]
+    sizes = np.diff(docs.offsets)
+    gone = np.bincount(owner, last - first, minlength=n).astype(np.int64)
+    # Between the spans of all documents lies what is kept.
+    base, top = int(docs.offsets[0]), int(docs.offsets[-1])
+    kept = b"".join([docs.raw[a:b] for a, b in zip([base, *last.tolist()], [*first.tolist(), top])])
+    left = pa.py_buffer(np.append(0, np.cumsum(sizes - gone)).astype(np.int32))
+    shift = docs.offsets[owner]
+    ends = pa.array(np.append(0, np.cumsum(np.bincount(owner, minlength=n))), pa.int32())
     pairs = pa.StructArray.from_arrays([pa.array(first - shift, pa.int64()), pa.array(last - shift, pa.int64())], names=["begin", "end"])
     return pa.table(
         {
-            "key": docs.table.column("key"),
-            "n_bytes": pa.array(np.diff(bounds), pa.int64()),
-            "n_removed": pa.array(np.diff(bounds) - left, pa.int64()),
+            "key": texts.column("key"),
+            "n_bytes": pa.array(sizes, pa.int64()),
+            "n_removed": pa.array(gone, pa.int64()),
             "spans": pa.ListArray.from_arrays(ends, pairs),
-            "kept": kept.cast(pa.binary()),
+            "kept": pa.Array.from_buffers(pa.binary(), n, [None, left, pa.py_buffer(kept)]),
         }
     )
 
