@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualityforge import runtime
@@ -65,11 +66,7 @@ def filter_compliant(
     kept = compliant_parent(rules, tables, parent, key)
     if stage and children:
         kept = runtime.pin(kept)
-    ids = kept.select(key)
-    out = {parent: kept.drop(*drop)}
-    for c in children:
-        out[c] = tables[c].join(ids, key, "left_semi").select(tables[c].columns)
-    return out
+    return {parent: kept.drop(*drop), **restrict_children({c: tables[c] for c in children}, kept, key)}
 
 
 def write_compliant(
@@ -91,9 +88,8 @@ def write_compliant(
     spark = tables[parent].sparkSession
     compliant_parent(rules, tables, parent, key).drop(*drop).write.mode("overwrite").parquet(f"{base}/{parent}")
     ids = spark.read.parquet(f"{base}/{parent}").select(key)
-    for c in children:
-        kept = tables[c].join(ids, key, "left_semi").select(tables[c].columns)
-        kept.write.mode("overwrite").parquet(f"{base}/{c}")
+    for c, rows in restrict_children({c: tables[c] for c in children}, ids, key).items():
+        rows.write.mode("overwrite").parquet(f"{base}/{c}")
     for c in copy:
         if c in tables:
             tables[c].write.mode("overwrite").parquet(f"{base}/{c}")
@@ -108,6 +104,84 @@ def write_compliant(
     return out
 
 
-def restrict_children(children: Mapping[str, DataFrame], ids: DataFrame, key: str) -> dict[str, DataFrame]:
-    """Child rows whose key is among ``ids`` (a semi join, so no duplication)."""
-    return {n: df.join(ids.select(key), key, "left_semi").select(df.columns) for n, df in children.items()}
+# A Bloom filter takes a power of two of bits, at least EIGHT times its ids and at most MOST_BITS (8 MB).
+EIGHT, MOST_BITS, PROBES = 8, 1 << 26, 3
+
+
+def _bits(key: Column, bits: int) -> list[Column]:
+    """Places of a key in a filter of ``bits`` bits."""
+    return [F.xxhash64(key, F.lit(i)).bitwiseAND(bits - 1) for i in range(PROBES)]
+
+
+def bloom_filter(ids: DataFrame, key: str, n: int) -> tuple[DataFrame, int] | None:
+    """(one row with the filter's words, number of bits) for ``n`` ids; None if they are
+    too many for a filter of bounded size.
+
+    Bits are OR-ed inside the tasks, then by word; a filter is at most 8 MB whatever the
+    number of ids.
+    """
+    bits = 1 << max(6, (n * EIGHT - 1).bit_length())
+    if bits > MOST_BITS:
+        return None
+    spark = ids.sparkSession
+    set_ = ids.select(F.explode(F.array(*_bits(F.col(key), bits))).alias("b"))
+    word, mask = F.shiftright("b", 6), F.expr("shiftleft(1L, cast(b & 63 as int))")
+    words = set_.groupBy(word.alias("w")).agg(F.bit_or(mask).alias("m"))
+    every = spark.range(bits >> 6).withColumnRenamed("id", "w").join(words, "w", "left")
+    # A bounded number of words.
+    rows = every.agg(F.array_sort(F.collect_list(F.struct("w", F.coalesce("m", F.lit(0).cast("long")).alias("m")))).alias("words"))
+    return runtime.pin(rows.select(F.col("words.m").alias("words"))), bits
+
+
+def might_contain(key: str, found: tuple[DataFrame, int]) -> Column:
+    """Whether a key may be among the filter's ids; never false for one that is."""
+    words, bits = found
+    row = words.scalar()
+    hit = lambda b: F.getbit(F.element_at(row, (F.shiftright(b, 6) + 1).cast("int")), b.bitwiseAND(63).cast("int")) == 1
+    return reduce(lambda a, b: a & b, [hit(b) for b in _bits(F.col(key), bits)])
+
+
+def lost_ids(children: Mapping[str, DataFrame], kept: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of child rows whose parent is not kept: removed ones and orphans.
+
+    One aggregation over the stacked keys of all tables; keys are combined inside the
+    tasks, and no other column is read.
+    """
+    stacked = kept.select(F.col(key).alias("k"), F.lit(True).alias("kept"))
+    for df in children.values():
+        stacked = stacked.union(df.select(F.col(key).alias("k"), F.lit(False)))
+    found = stacked.filter("k is not null").groupBy("k").agg(F.bool_or("kept").alias("kept"))
+    return runtime.pin(found.filter("not kept").select(F.col("k").alias(key)))
+
+
+def restrict_children(
+    children: Mapping[str, DataFrame], kept: DataFrame, key: str, max_rows: int = runtime.BROADCAST_MAX_ROWS, bloom: bool = True
+) -> dict[str, DataFrame]:
+    """Child rows whose parent is among ``kept``; rows with a NULL key go.
+
+    Keys without a kept parent are few as a rule: up to ``max_rows`` of them, of
+    checked size, are broadcast and the children are not shuffled. Beyond that the
+    smaller side is asked through a Bloom filter first: rows that cannot have
+    lost their parent stay where they are, or rows that cannot have one go, and only
+    the others are shuffled. When both sides are too many for a filter of bounded
+    size, rows and ids are shuffled.
+    """
+    if not children:
+        return {}
+    lost = lost_ids(children, kept, key)
+    if runtime.fits_broadcast(lost, max_rows):
+        side = F.broadcast(lost)
+        return {n: df.filter(F.col(key).isNotNull()).join(side, key, "left_anti").select(df.columns) for n, df in children.items()}
+    ids = kept.select(key)
+    n_lost, n_kept = lost.count(), ids.count()
+    found = bloom_filter(lost if n_lost < n_kept else ids, key, min(n_lost, n_kept)) if bloom else None
+    if found is None:
+        return {n: df.join(ids, key, "left_semi").select(df.columns) for n, df in children.items()}
+    out = {}
+    for n, df in children.items():
+        rows, asked = df.filter(F.col(key).isNotNull()), might_contain(key, found)
+        if n_lost < n_kept:
+            out[n] = rows.filter(~asked).unionByName(rows.filter(asked).join(lost, key, "left_anti").select(df.columns))
+        else:
+            out[n] = rows.filter(asked).join(ids, key, "left_semi").select(df.columns)
+    return out

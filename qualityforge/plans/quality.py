@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from qualityforge import runtime
 from qualityforge.functions.scalars import block_of
 from qualityforge.operators import profile, rules as R
-from qualityforge.operators.compliant import compliant_parent, filter_compliant
+from qualityforge.operators.compliant import compliant_parent, filter_compliant, restrict_children
 from qualityforge.operators.constraints import evaluate, run_verdict, violation_ledger
 from qualityforge.operators.normalize import fingerprint_columns, group_fingerprint
 from qualityforge.operators.ordered import Skew, not_increasing, strict_prefix_maxima, with_previous
@@ -424,7 +424,7 @@ def compliant_children(lake: Lake) -> DataFrame:
     lines = tables["lineitem"].withColumnRenamed("l_orderkey", "o_orderkey")
     rules = [r for r in ORDER_RULES]
     kept = compliant_parent(rules, tables, "orders", "o_orderkey")
-    children = lines.join(kept.select("o_orderkey"), "o_orderkey", "left_semi")
+    children = restrict_children({"lineitem": lines}, runtime.pin(kept), "o_orderkey")["lineitem"]
     return children.select(
         F.col("o_orderkey").alias("l_orderkey"), "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
     )
@@ -444,6 +444,21 @@ def compliant_tables(lake: Lake) -> DataFrame:
     return count("orders").unionByName(count("lineitem"))
 
 
+def _restricted_sql(kept: str) -> str:
+    return f"SELECT l_orderkey AS o_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE {kept})"
+
+
+@query("children_behind_bloom_filter", f"SELECT 'few kept' AS side, * FROM ({_restricted_sql('o_totalprice > 300000')}) UNION ALL SELECT 'few lost', * FROM ({_restricted_sql('o_totalprice < 300000')})")
+def children_behind_bloom_filter(lake: Lake) -> DataFrame:
+    """Lines of dear orders and of the others, with no broadcast of ids: a filter of the smaller side comes first."""
+    lines = lake.lineitem.withColumnRenamed("l_orderkey", "o_orderkey").select("o_orderkey", "l_linenumber", "l_extendedprice")
+    out = []
+    for side, kept in (("few kept", "o_totalprice > 300000"), ("few lost", "o_totalprice < 300000")):
+        rows = restrict_children({"lineitem": lines}, lake.orders.filter(kept), "o_orderkey", max_rows=0)["lineitem"]
+        out.append(rows.select(F.lit(side).alias("side"), *rows.columns))
+    return out[0].unionByName(out[1])
+
+
 # -------------------------------------------------------------------- profiling
 
 

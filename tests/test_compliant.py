@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from test_constraints import zirconia
 
-from qualityforge.operators.compliant import restrict_children
+from qualityforge.operators.compliant import MOST_BITS, bloom_filter, might_contain, restrict_children
 from qualityforge.presets import zirconia as Z
 
 
@@ -85,3 +85,40 @@ def test_restrict_children_does_not_duplicate(spark):
     ids = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     child = spark.createDataFrame([(1, "a"), (3, "b")], "k long, v string")
     assert [tuple(r) for r in restrict_children({"c": child}, ids, "k")["c"].collect()] == [(1, "a")]
+
+
+def test_children_by_every_route(spark):
+    rng = random.Random(5)
+    kept = spark.createDataFrame([(i,) for i in range(0, 900) if i % 5] + [(None,)], "k bigint")
+    rows = [(rng.choice([None, rng.randrange(1100)]), n, "x") for n in range(4000)]
+    child = spark.createDataFrame(rows, "k bigint, n int, kept string")
+    want = sorted(n for k, n, _ in rows if k is not None and k < 900 and k % 5)
+    few = kept.filter("k < 100")
+    want_few = sorted(n for k, n, _ in rows if k is not None and k < 100 and k % 5)
+    for ids, expected in ((kept, want), (few, want_few)):
+        for rows_, bloom in ((100_000, True), (0, True), (0, False)):
+            got = restrict_children({"a": child, "b": child.filter("n < 50")}, ids, "k", max_rows=rows_, bloom=bloom)
+            assert got["a"].columns == child.columns
+            assert sorted(r["n"] for r in got["a"].collect()) == expected
+            assert sorted(r["n"] for r in got["b"].collect()) == [n for n in expected if n < 50]
+    none = restrict_children({"a": child}, kept.limit(0), "k")
+    assert none["a"].count() == 0 and restrict_children({}, kept, "k") == {}
+
+
+def test_bloom_filter_never_misses_and_is_bounded(spark):
+    ids = spark.range(0, 30_000, 3).withColumnRenamed("id", "k")
+    found = bloom_filter(ids, "k", 10_000)
+    every = spark.range(30_000).withColumnRenamed("id", "k").select("k", might_contain("k", found).alias("hit"))
+    assert every.filter("k % 3 = 0 and not hit").count() == 0
+    assert every.filter("k % 3 <> 0 and hit").count() < 0.1 * 20_000
+    assert bloom_filter(ids, "k", MOST_BITS) is None
+
+
+def test_children_are_not_shuffled_when_few_ids_are_lost(spark):
+    kept = spark.range(5, 5000).withColumnRenamed("id", "k")
+    child = spark.range(20_000).selectExpr("id % 5000 AS k", "id AS n")
+    plan = restrict_children({"a": child}, kept, "k")["a"]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    # Behind a filter only the rows that may have lost their parent move.
+    plan = restrict_children({"a": child}, kept, "k", max_rows=0)["a"]._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and plan.count("getbit") >= 2
