@@ -13,7 +13,7 @@ from qualityforge.operators import normalize, sampling
 from qualityforge.operators.constraints import evaluate
 from qualityforge.plans.quality import ORDER_RULES, ORDER_TABLES, _sql_report
 from qualityforge.plans.registry import Lake, query, rounded
-from qualityforge.sources import reports, sync, tables as tab
+from qualityforge.sources import reports, splits, sync, tables as tab
 
 SYNCED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -35,6 +35,34 @@ def sync_tables(lake: Lake) -> DataFrame:
     return sync.sync_tables(lake.spark, sync.ParquetSource(lake.base, ".parquet"), SYNCED, out)
 
 
+_SPARSE_KEY = "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_orderkey % 3 = 0 THEN 42 ELSE l_orderkey * l_orderkey * 1000 END"
+
+
+@query(
+    "split_scan",
+    "SELECT l_returnflag, count(*) AS rows, count(*) AS once, round(sum(l_quantity), 4) AS quantity, true AS even FROM lineitem GROUP BY l_returnflag",
+)
+def split_scan(lake: Lake) -> DataFrame:
+    """Lines read by splits of a key that is missing in some rows, one value in a third of
+    them and sparse in the others: every row comes in exactly one split, and no split but
+    that of the frequent value is too large."""
+    view = f"lines_{uuid.uuid4().hex}"
+    lake.lineitem.select(F.expr(_SPARSE_KEY).alias("k"), "l_returnflag", "l_quantity").createOrReplaceTempView(view)
+    total = lake.lineitem.count()
+    wanted = max(1, total // 12)
+    parts = splits.split_by_key(lake.spark.sql, view, "k", wanted)
+    rows = lake.spark.table(view)
+    held = sum((F.when(F.expr(f"coalesce({p.predicate}, false)"), 1).otherwise(0) for p in parts), F.lit(0))
+    # The smallest key is the frequent one, and rows without a key go with it.
+    fits = len(parts) > 5 and all(p.rows <= wanted for p in parts[1:])
+    out = rows.withColumn("held", held).groupBy("l_returnflag")
+    return rounded(
+        out.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("held") == 1).alias("once"), F.sum("l_quantity").alias("quantity"), F.lit(fits).alias("even")
+        ), 4,
+    )
+
+
 @query(
     "optional_load",
     "SELECT 'region' AS name, (SELECT count(*) FROM region) AS rows UNION ALL SELECT 'no_such_table', NULL",

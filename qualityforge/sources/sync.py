@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from qualityforge.sources.splits import ROWS_PER_SPLIT, Ask, key_candidates, plan_splits
 from qualityforge.sources.tables import table_path
 
 Reader = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +17,17 @@ Reader = Callable[[SparkSession, str], DataFrame]
 @dataclass(frozen=True)
 class JdbcSource:
     """JDBC reader. Tables listed in ``split`` (table -> (column, low, high)) are
-    read by ``partitions`` parallel range queries; others by one."""
+    read by ``partitions`` parallel range queries. Others are split by counted ranges of
+    a key, the columns of ``keys`` (table -> columns) or else any whole number of the
+    table, into about ``rows_per_split`` rows a task; a larger table that no
+    key divides is refused."""
 
     url: str
     properties: Mapping[str, str]
     split: Mapping[str, tuple[str, int, int]] | None = None
     partitions: int = 32
+    keys: Mapping[str, Sequence[str]] | None = None
+    rows_per_split: int = ROWS_PER_SPLIT
 
     def options(self, table: str) -> dict[str, str]:
         out = {**self.properties, "url": self.url, "dbtable": table}
@@ -36,8 +42,18 @@ class JdbcSource:
             }
         return out
 
+    def ask(self, spark: SparkSession) -> Ask:
+        """Runs a query in the database."""
+        options = {**self.properties, "url": self.url}
+        return lambda query: spark.read.format("jdbc").options(**options, query=query).load()
+
     def __call__(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options(table)).load()
+        whole = spark.read.format("jdbc").options(**self.options(table))
+        if table in (self.split or {}):
+            return whole.load()
+        keys = (self.keys or {}).get(table) or key_candidates(whole.load().schema)
+        splits = plan_splits(self.ask(spark), table, keys, self.rows_per_split)
+        return spark.read.jdbc(self.url, table, predicates=[s.predicate for s in splits], properties=dict(self.properties))
 
 
 @dataclass(frozen=True)
