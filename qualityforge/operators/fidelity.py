@@ -7,8 +7,8 @@ Three kinds of dimensions, each scored in [0, 1]:
 * `Joint`       - agreement of a per-category mean on both sides.
 
 Shares and scores are DataFrames throughout, so a category column may have any
-number of values. All categorical dimensions together cost one grouped pass per
-table and side; the numeric dimensions of a table share their scans.
+number of values. All categorical dimensions of a table together cost one scan per
+side; its numeric dimensions share two.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from qualityforge import runtime
 from qualityforge.functions.scalars import grade, log10_or_null, named_or_id
 from qualityforge.operators.profile import primary_by_key
-from qualityforge.operators.quantiles import exact_quantiles
+from qualityforge.operators.quantiles import column_stats, exact_quantiles
 
 PROBS = (0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95)
 _STATS = ("Count", "Mean", "Std", "Min", "P5", "P10", "P25", "P50", "P75", "P90", "P95", "Max")
@@ -97,21 +97,26 @@ class FidelityReport:
 def _category_counts(dims: Sequence[Categorical], real: Tables, gen: Tables) -> DataFrame:
     """(d, category, rn, gn): rows per dimension number and category on each side.
 
-    One branch per dimension and side, each reading one column; all of them are
-    combined map side and meet in a single shuffle of category counts.
+    Each table of a side is scanned once: a row becomes one (dimension, category) pair
+    for every dimension it belongs to. All pairs are combined map side and meet in a
+    single shuffle of category counts.
     """
+    of: dict[str, list[tuple[int, Categorical]]] = {}
+    for i, d in enumerate(dims):
+        of.setdefault(d.table, []).append((i, d))
     branches = []
     for side, tables in ((1, real), (0, gen)):
-        for i, d in enumerate(dims):
-            df = tables[d.table].filter(d.where) if d.where else tables[d.table]
-            branches.append(
-                df.select(
-                    F.lit(i).alias("d"),
-                    F.expr(d.expr).cast("string").alias("category"),
-                    F.lit(side).cast("long").alias("rn"),
-                    F.lit(1 - side).cast("long").alias("gn"),
-                )
-            )
+        for table, own in of.items():
+            df, one = tables[table], len({d.where for _, d in own}) == 1
+            if one and own[0][1].where:
+                # What all dimensions leave out is not read on.
+                df = df.filter(own[0][1].where)
+            pairs = []
+            for i, d in own:
+                pair = F.struct(F.lit(i).alias("d"), F.expr(d.expr).cast("string").alias("category"))
+                pairs.append(F.when(F.expr(d.where), pair) if d.where and not one else pair)
+            stacked = df.select(F.inline(F.array_compact(F.array(*pairs))))
+            branches.append(stacked.select("d", "category", F.lit(side).cast("long").alias("rn"), F.lit(1 - side).cast("long").alias("gn")))
     total = lambda df: df.groupBy("d", "category").agg(F.sum("rn").alias("rn"), F.sum("gn").alias("gn"))
     counts = total(reduce(DataFrame.unionByName, branches))
     coded = [(i, *d.dictionary) for i, d in enumerate(dims) if d.dictionary and d.dictionary[0] in gen]
@@ -202,18 +207,16 @@ def _counted_stats(dims: Sequence[Numeric], tables: Tables) -> DataFrame:
     through the driver."""
 
     def table_rows(table: str, group: list[Numeric]) -> list[tuple]:
-        aggs, values = [], {}
-        for i, d in enumerate(group):
-            v, m = _moments(d)
-            values[f"v{i}"] = v
-            aggs.append(F.struct(F.count(v).alias("n"), F.array(*m).alias("m")).alias(f"s{i}"))
-        found = tables[table].agg(*aggs).first()
-        bounds = {f"v{i}": (found[i]["n"], found[i]["m"][3], found[i]["m"][4]) for i in range(len(group))}
-        quantiles = exact_quantiles(tables[table], values, PROBS, bounds)
+        values = {f"v{i}": F.expr(d.expr).cast("double") for i, d in enumerate(group)}
+        keep = {f"v{i}": F.expr(d.where) for i, d in enumerate(group) if d.where}
+        stats = column_stats(tables[table], values, PROBS, keep)
+        kept = {n: F.when(keep[n], v) if n in keep else v for n, v in values.items()}
+        quantiles = exact_quantiles(tables[table], kept, PROBS, stats)
         rows = []
         for i, d in enumerate(group):
-            m, q = found[i]["m"], quantiles[f"v{i}"]
-            rows.append((d.name, None if q is None else [*m[:4], *q, m[4]]))
+            s, q = stats[f"v{i}"], quantiles[f"v{i}"]
+            spread = 1.0 if s.std is None else s.std
+            rows.append((d.name, None if q is None else [float(s.rows), s.mean, spread, s.low, *q, s.high]))
         return rows
 
     spark = SparkSession.active()
@@ -228,9 +231,9 @@ def _numeric_stats(dims: Sequence[Numeric], tables: Tables, accuracy: int | None
 def quantile_stats(dims: Sequence[Numeric], real: Tables, gen: Tables, accuracy: int | None = None) -> DataFrame:
     """(dimension, r, g): the statistics vectors of both sides.
 
-    Quantiles are exact by default. An ``accuracy`` (for example 10000) takes
-    them from a sketch in a single scan instead, which suits inputs of up to some
-    ten thousand partitions.
+    Quantiles are exact by default, from two scans a table. An ``accuracy`` (for
+    example 10000) takes them from a sketch in a single scan instead, which suits
+    inputs of up to some ten thousand partitions.
 
     An empty population has no quantiles and fails the stage with the name of
     the dimension.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualityforge.functions.scalars import log10_or_null, named_or_id
-from qualityforge.operators.quantiles import exact_quantiles
+from qualityforge.operators.quantiles import column_stats, exact_quantiles
 
 
 def _share(counts: DataFrame, total: DataFrame, digits: int | None) -> DataFrame:
@@ -64,21 +64,21 @@ def profile_columns(
     df: DataFrame, columns: Sequence[str], log10_mean: bool = False, accuracy: int | None = None
 ) -> DataFrame:
     """Min, max, mean and median of several columns, one row each, from shared
-    scans. ``accuracy`` takes the median from a sketch instead of counting."""
+    scans. ``accuracy`` takes the median from a sketch in one scan instead of counting."""
     spark = df.sparkSession
     values = {f"v{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
-    aggs = []
-    for n, v in values.items():
-        m = [F.min(v), F.max(v), F.avg(v), F.avg(log10_or_null(v))]
-        if accuracy is not None:
-            m.append(F.percentile_approx(v, 0.5, accuracy))
-        aggs.append(F.struct(F.count(v).alias("n"), F.array(*m).alias("m")).alias(n))
-    found = df.agg(*aggs).first()
-    medians = {n: found[n]["m"][4] if accuracy is not None else None for n in values}
     if accuracy is None:
-        bounds = {n: (found[n]["n"], found[n]["m"][0], found[n]["m"][1]) for n in values}
-        medians = {n: q and q[0] for n, q in exact_quantiles(df, values, [0.5], bounds).items()}
-    rows = [(c, *found[n]["m"][:3], medians[n], found[n]["m"][3]) for c, n in zip(columns, values)]
+        logs = {f"l{i}": log10_or_null(v) for i, v in enumerate(values.values())} if log10_mean else {}
+        stats = column_stats(df, values | logs, [0.5], plain=list(logs))
+        medians = {n: q and q[0] for n, q in exact_quantiles(df, values, [0.5], stats).items()}
+        rows = [
+            (c, stats[n].low, stats[n].high, stats[n].mean, medians[n], stats[f"l{i}"].mean if log10_mean else None)
+            for i, (c, n) in enumerate(zip(columns, values))
+        ]
+    else:
+        aggs = [F.array(F.min(v), F.max(v), F.avg(v), F.percentile_approx(v, 0.5, accuracy), F.avg(log10_or_null(v))).alias(n) for n, v in values.items()]
+        found = df.agg(*aggs).first()
+        rows = [(c, *found[n]) for c, n in zip(columns, values)]
     out = spark.createDataFrame(
         rows, "column string, min double, max double, avg double, median double, avg_log10 double"
     )

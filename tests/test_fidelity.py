@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from qualityforge.functions.scalars import grade
 from qualityforge.operators import fidelity as fid
-from qualityforge.operators.quantiles import exact_quantiles, rank_of
+from qualityforge.operators.quantiles import column_stats, exact_quantiles, rank_of
 
 
 def _cats(spark, values):
@@ -135,6 +135,50 @@ def test_exact_quantiles(spark):
             assert got[n] == want, (n, finish)
 
 
+def test_a_sketch_that_misses_does_not_show(spark):
+    rng = random.Random(6)
+    data = [(rng.gauss(0, 1), float(rng.randrange(40))) for _ in range(6000)]
+    df = spark.createDataFrame(data, "a double, b double").repartition(8)
+    values, probs = {n: F.col(n) for n in "ab"}, [0.01, 0.3, 0.5, 0.99]
+    want = {n: [sorted(r[i] for r in data)[rank_of(p, 6000) - 1] for p in probs] for i, n in enumerate("ab")}
+    for sketch, margin in ((8, 0.0), (8, 0.02), (200, 0.0), (2048, 0.6)):
+        stats = column_stats(df, values, probs, sketch=sketch, margin=margin)
+        assert exact_quantiles(df, values, probs, stats, finish=100) == want
+    assert stats["b"].mean == pytest.approx(statistics.fmean(r[1] for r in data), rel=1e-12)
+    assert stats["a"].std == pytest.approx(statistics.stdev(r[0] for r in data), rel=1e-12)
+
+
+def counted_reads(spark, df):
+    """The frame, and how often each of its rows has been read since."""
+    rows, reads = df.count(), spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(through, df.schema), lambda: reads.value / rows
+
+
+def test_numeric_dimensions_share_two_scans(spark):
+    rng = random.Random(7)
+    df = spark.createDataFrame([(rng.random(), rng.gauss(5, 9), float(i % 7)) for i in range(5000)], "a double, b double, c double")
+    seen, times = counted_reads(spark, df.repartition(4))
+    got = exact_quantiles(seen, {n: F.col(n) for n in "abc"}, fid.PROBS)
+    assert times() == 2 and got["c"] == [0.0, 0.0, 1.0, 3.0, 5.0, 6.0, 6.0]
+
+
+def test_categorical_dimensions_share_one_scan(spark):
+    rows = [(str(i % 3), i % 5, None if i % 4 else "x") for i in range(900)]
+    seen, times = counted_reads(spark, spark.createDataFrame(rows, "a string, b int, c string"))
+    dims = [fid.Categorical("a", "t", "a"), fid.Categorical("b", "t", "b", where="b > 1"), fid.Categorical("c", "t", "c")]
+    other = {"t": spark.createDataFrame(rows[:100], "a string, b int, c string")}
+    detail = fid.jsd_detail(dims, {"t": seen}, other)
+    got = {(r["dimension"], r["category"]): r["p"] for r in fid.runtime.pin(detail).collect()}
+    assert times() == 1
+    assert got[("b", "2")] == pytest.approx(1 / 3) and ("b", "1") not in got and got[("c", None)] == 0.75
+
+
 def test_score_against_python(spark):
     rng = random.Random(1)
     a, b = [rng.gauss(0, 1) for _ in range(800)], [rng.gauss(0.3, 1.4) for _ in range(500)]
