@@ -260,7 +260,9 @@ def repeated_windows(texts: DataFrame, length: int, index: int = INDEX, hot: int
     """(slab, idx, begin, end): bytes covered by repeated windows; spans may overlap."""
     spark = texts.sparkSession
     each = texts.select("slab", "idx", F.posexplode("names").alias("nth", "name"))
-    again = each.groupBy("name").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("name")
+    # Written first: a join of two shuffled sides splits hot names, one that shares the
+    # count's shuffle does not.
+    again = staged(each.groupBy("name").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("name"), "stretch-again")
     hits = each.join(again, "name", "left_semi").select("slab", "idx", "nth")
     found = _with_slabs(texts, hits, _name_stretches, "slab bigint, idx int, low bigint, windows int, name bigint, digest bigint", length)
     found = staged(found, "stretches")
@@ -284,7 +286,7 @@ def repeated_windows(texts: DataFrame, length: int, index: int = INDEX, hot: int
     if not names.filter(F.col("bytes") > hot).isEmpty():
         windows = cut(several.filter("hot")).mapInArrow(K.task(_windows, length), "name bigint, digest bigint, first int, window binary")
         windows = staged(windows, "stretch-windows")
-        twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("window")
+        twice = staged(windows.groupBy("window").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("window"), "windows-again")
         every = every.unionByName(windows.join(twice, "window", "left_semi").select("name", "digest", "first", F.col("first").alias("last")))
     every = staged(every, "stretch-marks")
     spans = found.join(every, ["name", "digest"])
