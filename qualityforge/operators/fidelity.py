@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from qualityforge import runtime
 from qualityforge.functions.scalars import grade, log10_or_null, named_or_id
-from qualityforge.operators.profile import primary_by_key
+from qualityforge.operators.profile import primary_by_key, stacked_pairs
 from qualityforge.operators.quantiles import column_stats, exact_quantiles
 
 PROBS = (0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95)
@@ -107,15 +107,7 @@ def _category_counts(dims: Sequence[Categorical], real: Tables, gen: Tables) ->
     branches = []
     for side, tables in ((1, real), (0, gen)):
         for table, own in of.items():
-            df, one = tables[table], len({d.where for _, d in own}) == 1
-            if one and own[0][1].where:
-                # What all dimensions leave out is not read on.
-                df = df.filter(own[0][1].where)
-            pairs = []
-            for i, d in own:
-                pair = F.struct(F.lit(i).alias("d"), F.expr(d.expr).cast("string").alias("category"))
-                pairs.append(F.when(F.expr(d.where), pair) if d.where and not one else pair)
-            stacked = df.select(F.inline(F.array_compact(F.array(*pairs))))
+            stacked = stacked_pairs(tables[table], [(i, F.expr(d.expr), d.where) for i, d in own])
             branches.append(stacked.select("d", "category", F.lit(side).cast("long").alias("rn"), F.lit(1 - side).cast("long").alias("gn")))
     total = lambda df: df.groupBy("d", "category").agg(F.sum("rn").alias("rn"), F.sum("gn").alias("gn"))
     counts = total(reduce(DataFrame.unionByName, branches))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qualityforge import runtime
+
 from qualityforge.functions.scalars import log10_or_null, named_or_id
 from qualityforge.operators.quantiles import column_stats, exact_quantiles
 
@@ -163,3 +167,140 @@ def windowed_top_category(
     )
     return out if top is None else out.limit(top)
 
+
+# --------------------------------------------------------------- a whole profile
+
+
+def stacked_pairs(df: DataFrame, items: Sequence[tuple[int, Column, str | None]]) -> DataFrame:
+    """(d, category): a row of ``df`` as one pair for every (number, category, condition)
+    whose condition it meets; all from one scan. A condition they share is a filter."""
+    one = len({where for *_, where in items}) == 1
+    if one and items[0][2]:
+        df = df.filter(items[0][2])
+    pairs = []
+    for d, category, where in items:
+        pair = F.struct(F.lit(d).alias("d"), category.cast("string").alias("category"))
+        pairs.append(F.when(F.expr(where), pair) if where and not one else pair)
+    return df.select(F.inline(F.array_compact(F.array(*pairs))))
+
+
+@dataclass(frozen=True)
+class Shares:
+    """Rows by category of ``expr``; ``dictionary`` = (table, id column, name column)."""
+
+    name: str
+    table: str
+    expr: str
+    dictionary: tuple[str, str, str] | None = None
+
+
+@dataclass(frozen=True)
+class GroupSizes:
+    """How many keys have 1, 2, 3, ... rows; rows without a key count as one key."""
+
+    name: str
+    table: str
+    key: str
+
+
+@dataclass(frozen=True)
+class Summary:
+    """Bounds, mean and median of a column, with the mean of log10 of positive values."""
+
+    name: str
+    table: str
+    column: str
+    log10: bool = False
+
+
+@dataclass(frozen=True)
+class Leading:
+    """Mean of ``value`` by leading child category, see `windowed_top_category`."""
+
+    name: str
+    parent: str
+    key: str
+    value: str
+    window: tuple[str, object, object]
+    child: str
+    child_key: str
+    category: str
+    rank: str
+
+
+Statistic = Shares | GroupSizes | Summary | Leading
+PROFILE_COLUMNS = "statistic string, item string, measure string, value double"
+
+
+def _long(df: DataFrame, statistic: Column, item: Column, measures: Mapping[str, Column]) -> DataFrame:
+    rows = F.array(*[F.struct(F.lit(m).alias("measure"), v.cast("double").alias("value")) for m, v in measures.items()])
+    return df.select(statistic.alias("statistic"), item.cast("string").alias("item"), F.inline(rows))
+
+
+def counted_statistics(items: Sequence[Shares | GroupSizes], tables: Mapping[str, DataFrame], digits: int = 2) -> DataFrame:
+    """(statistic, item, measure, value) with measures ``cnt`` and ``pct`` of distributions,
+    ``cnt`` of group sizes and of the rows of each table (statistic ``rows``).
+
+    All of it is one aggregation: every table is scanned once and contributes its
+    (statistic, category) pairs, which are combined map side and shuffled once. A
+    second, small one counts group sizes and adds up categories with one name.
+    """
+    names = [i.name for i in items]
+    of: dict[str, list[int]] = {}
+    for d, i in enumerate(items):
+        of.setdefault(i.table, []).append(d)
+    stacked = []
+    for t, (table, own) in enumerate(of.items()):
+        # Rows of the table, under a number after those of the items.
+        pairs = [(d, F.expr(items[d].expr) if isinstance(items[d], Shares) else F.expr(items[d].key), None) for d in own]
+        stacked.append(stacked_pairs(tables[table], [*pairs, (len(items) + t, F.lit(table), None)]))
+    counts = reduce(DataFrame.unionByName, stacked).groupBy("d", "category").agg(F.count(F.lit(1)).alias("n"))
+    sizes = F.col("d").isin([d for d, i in enumerate(items) if isinstance(i, GroupSizes)] or [-1])
+    item = F.when(sizes, F.col("n").cast("string")).otherwise(F.col("category"))
+    counts = counts.groupBy("d", item.alias("item")).agg(F.sum(F.when(sizes, 1).otherwise(F.col("n"))).alias("n"))
+    coded = [(d, *i.dictionary) for d, i in enumerate(items) if isinstance(i, Shares) and i.dictionary and i.dictionary[0] in tables]
+    if coded:
+        named = [tables[t].select(F.lit(d).alias("d"), F.col(k).cast("string").alias("item"), F.col(n).alias("name")) for d, t, k, n in coded]
+        counts = counts.join(reduce(DataFrame.unionByName, named), ["d", "item"], "left")
+        counts = counts.groupBy("d", named_or_id(F.col("name"), F.col("item")).alias("item")).agg(F.sum("n").alias("n"))
+    counts = runtime.pin(counts)
+    label = F.element_at(F.array(*[F.lit(n) for n in [*names, *["rows"] * len(of)]]), F.col("d") + 1)
+    # One row per statistic.
+    totals = counts.groupBy("d").agg(F.sum("n").alias("total"))
+    joined = counts.join(F.broadcast(totals), "d").withColumn("share", F.round(F.col("n") * 100.0 / F.col("total"), digits))
+    shares = F.col("d").isin([d for d, i in enumerate(items) if isinstance(i, Shares)] or [-1])
+    return _long(joined, label, F.col("item"), {"cnt": F.col("n"), "pct": F.when(shares, F.col("share"))}).filter("value is not null")
+
+
+def profile_tables(items: Sequence[Statistic], tables: Mapping[str, DataFrame], accuracy: int | None = None) -> DataFrame:
+    """Every statistic as rows (statistic, item, measure, value); counts as `counted_statistics`.
+
+    A NULL category has item NULL. Statistics of tables that are missing are left out.
+    The kinds are computed at the same time: one scan a table for all counts, two for
+    all summaries, one stacked aggregation for each `Leading`.
+    """
+    have = lambda *names: all(n in tables for n in names)
+    counted = [i for i in items if isinstance(i, Shares | GroupSizes) and have(i.table)]
+    of: dict[str, list[Summary]] = {}
+    for i in items:
+        if isinstance(i, Summary) and have(i.table):
+            of.setdefault(i.table, []).append(i)
+
+    def summaries(table: str, own: list[Summary]) -> DataFrame:
+        found = profile_columns(tables[table], [i.column for i in own], True, accuracy)
+        logs = F.col("column").isin([i.column for i in own if i.log10])
+        label = reduce(lambda a, i: F.when(F.col("column") == i.column, i.name).otherwise(a), own, F.lit(None))
+        measures = {m: F.col(m) for m in ("min", "max", "avg", "median")} | {"avg_log10": F.when(logs, F.col("avg_log10"))}
+        return _long(found, label, F.col("column"), measures).filter("value is not null")
+
+    def leading(i: Leading) -> DataFrame:
+        found = windowed_top_category(tables[i.parent], i.key, i.value, i.window, tables[i.child], i.child_key, i.category, i.rank)
+        return _long(found, F.lit(i.name), F.col(i.category), {"avg": F.col("avg_value"), "avg_log10": F.col("avg_log10"), "cnt": F.col("cnt")})
+
+    tasks = [lambda: counted_statistics(counted, tables)] if counted else []
+    tasks += [lambda t=t, own=own: summaries(t, own) for t, own in of.items()]
+    tasks += [lambda i=i: leading(i) for i in items if isinstance(i, Leading) and have(i.parent, i.child)]
+    if not tasks:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], PROFILE_COLUMNS)
+    spark = next(iter(tables.values())).sparkSession
+    return reduce(DataFrame.unionByName, runtime.together(spark, tasks))

@@ -109,7 +109,7 @@ def report_append(lake: Lake) -> DataFrame:
     base = runtime.scratch_path(lake.spark, "reports")
     found = evaluate(ORDER_RULES, lake.tables(ORDER_TABLES))
     run = reports.append_constraint_report(found, reports.RunMeta("orders", 0, 0), base)
-    stored = lake.spark.read.parquet(tab.table_path(base, "hard_constraint_result")).filter(F.col("run_id") == run)
+    stored = reports.read_reports(lake.spark, base, "hard_constraint_result").filter(F.col("run_id") == run)
     return rounded(stored.drop("run_id"))
 
 

@@ -1,4 +1,4 @@
-"""Check, filter and score one set of zirconia tables, with appended reports."""
+"""Check, profile, filter and score one set of zirconia tables, with appended reports."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from qualityforge.operators.sampling import check_ratio, key_hash_sample, referential_sample
 from qualityforge.presets import zirconia as Z
-from qualityforge.sources.reports import RunMeta, append_constraint_report, append_fidelity_report
+from qualityforge.sources.reports import RunMeta, append_constraint_report, append_fidelity_report, append_profile
 
 log = logging.getLogger(__name__)
 Tables = Mapping[str, DataFrame]
@@ -19,8 +19,8 @@ Tables = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class RunOptions:
-    """``validate`` is the default stage; ``compliant_path`` adds the filter and
-    ``fidelity`` needs ``real`` tables. A ``sample_key`` naming the group column
+    """``validate`` is the default stage; ``profile`` adds the statistics of the tables,
+    ``compliant_path`` the filter, and ``fidelity`` needs ``real`` tables. A ``sample_key`` naming the group column
     samples whole series instead of single samples."""
 
     database: str
@@ -29,6 +29,7 @@ class RunOptions:
     compliant_path: str | None = None
     validate: bool = False
     fidelity: bool = False
+    profile: bool = False
     sample_ratio: float = 1.0
     sample_key: str = Z.KEY
     seed: int = 0
@@ -74,9 +75,14 @@ def run_stages(tables: Tables, opts: RunOptions) -> dict[str, object]:
     def fidelity() -> int:
         return append_fidelity_report(Z.fidelity(opts.real, gen, opts.accuracy), meta, opts.output_path)
 
+    def profile() -> int:
+        return append_profile(Z.profile(gen, opts.accuracy), meta, opts.output_path)
+
     stages = {}
-    if opts.validate or not opts.fidelity:
+    if opts.validate or not (opts.fidelity or opts.profile):
         stages["hard_constraint"] = constraints
+    if opts.profile:
+        stages["profile"] = profile
     if opts.compliant_path:
         stages["compliant_filter"] = compliant
     if opts.fidelity:

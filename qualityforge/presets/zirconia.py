@@ -19,6 +19,7 @@ from qualityforge.operators.constraints import ConstraintReport, check, evaluate
 from qualityforge.operators.fidelity import Categorical, FidelityReport, Joint, Numeric, score_fidelity
 from qualityforge.operators.normalize import decodable, encode, fingerprint_columns, group_fingerprint
 from qualityforge.operators.ordered import Skew
+from qualityforge.operators.profile import GroupSizes, Leading, Shares, Summary, profile_tables
 
 Tables = Mapping[str, DataFrame]
 
@@ -310,6 +311,33 @@ def fidelity(real: Tables, gen: Tables, accuracy: int | None = None) -> Fidelity
     return score_fidelity(fidelity_dimensions(), {**bare, **shared}, gen, accuracy)
 
 
+# ------------------------------------------------------------------- profile
+
+
+def profile_statistics() -> list:
+    """What a profile of the tables shows, in report order."""
+    dopants, phases = "sample_dopants", "sample_crystal_phases"
+    return [
+        Shares("Dopant element frequency", dopants, "dopant_element"),
+        GroupSizes("Dopant count per sample", dopants, KEY),
+        Shares("Synthesis method distribution", PARENT, "synthesis_method_id", ("synthesis_method_dict", "id", "name")),
+        Shares("Processing route distribution", PARENT, "processing_route_id", ("processing_route_dict", "id", "name")),
+        Summary("Conductivity statistics", PARENT, "conductivity", log10=True),
+        Summary("Operating temperature statistics", PARENT, "operating_temperature"),
+        Leading(
+            "Average conductivity by primary dopant", PARENT, KEY, "conductivity", ("operating_temperature", 750, 850),
+            dopants, KEY, "dopant_element", "dopant_molar_fraction",
+        ),
+        Shares("Crystal phase distribution", phases, "concat(coalesce(CAST(crystal_id AS STRING), '-'), ':', coalesce(CAST(is_major_phase AS STRING), '-'))"),
+    ]
+
+
+def profile(tables: Tables, accuracy: int | None = None) -> DataFrame:
+    """(statistic, item, measure, value): totals, distributions, group sizes, summaries and
+    the leading dopants of one set of tables."""
+    return profile_tables(profile_statistics(), tables, accuracy)
+
+
 # ---------------------------------------------------------------- normalising
 
 

@@ -1,8 +1,17 @@
-"""Append-only report tables of validation runs."""
+"""Append-only report tables of validation runs, published whole.
+
+A run writes its rows of every table into a partition of its own (``attempt``) and is
+then published by one row of the manifest. Readers join the manifest, so they see
+all tables of a run or none of them, and a failed or repeated run leaves nothing
+behind that counts: the last published attempt of a run id and type replaces
+earlier ones. Data files are never changed, and writers need no lock.
+"""
 
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualityforge.operators.constraints import run_verdict
-from qualityforge.operators.fidelity import FidelityReport
-from qualityforge.sources.tables import table_path
+from qualityforge.operators.fidelity import FidelityReport, overall_score
+from qualityforge.sources.tables import load_optional, table_path
 
 
 def _schema(ddl: str) -> T.StructType:
@@ -68,11 +77,73 @@ class RunMeta:
         )
 
 
-def _append(df: DataFrame, name: str, base: str) -> None:
-    schema = REPORT_TABLES[name]
-    df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(
-        table_path(base, name)
-    )
+# Statistics of a profile run, besides the published tables.
+PROFILE_TABLE = "profile_statistic"
+_TABLES = REPORT_TABLES | {PROFILE_TABLE: _schema("run_id long,statistic string,item string,measure string,value double")}
+MANIFEST, ATTEMPT = "_manifest", "attempt"
+_MANIFEST_SCHEMA = _schema("run_id long,run_type string,attempt string,published_at double")
+
+
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("errorifexists").parquet(path)
+
+
+@dataclass(frozen=True)
+class _Attempt:
+    """One try to write a run."""
+
+    spark: SparkSession
+    base: str
+    meta: RunMeta
+    run_type: str
+    name: str
+
+    def _path(self, table: str) -> str:
+        return table_path(self.base, table, f"{ATTEMPT}={self.name}")
+
+    def stage(self, table: str, rows: DataFrame) -> DataFrame:
+        """Write the rows of a table, unseen until the run is published; returns them as stored."""
+        schema = _TABLES[table]
+        rows = rows.withColumn("run_id", F.lit(self.meta.run_id))
+        _write(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), self._path(table))
+        return self.spark.read.schema(schema).parquet(self._path(table))
+
+    def publish(self) -> int:
+        row = [(self.meta.run_id, self.run_type, self.name, time.time())]
+        self.spark.createDataFrame(row, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(table_path(self.base, MANIFEST))
+        return self.meta.run_id
+
+
+def _publish(
+    spark: SparkSession, base: str, meta: RunMeta, run_type: str, tables: Mapping[str, DataFrame], verdict: Callable[[Mapping[str, DataFrame]], DataFrame]
+) -> int:
+    """Write all tables of a run and its run row, which is derived from them as stored,
+    then publish them together. Any failure leaves the run unpublished."""
+    run = _Attempt(spark, base, meta, run_type, f"a{uuid.uuid4().hex}")
+    stored = {name: run.stage(name, rows) for name, rows in tables.items()}
+    run.stage("validation_run", _run_row(verdict(stored), meta, run_type))
+    return run.publish()
+
+
+def published(spark: SparkSession, base: str) -> DataFrame:
+    """(attempt, run_id, run_type) of the runs that count, one each."""
+    seen = load_optional(spark, table_path(base, MANIFEST), _MANIFEST_SCHEMA)
+    if seen is None:
+        return spark.createDataFrame([], "attempt string, run_id long, run_type string")
+    last = F.max(F.struct("published_at", "attempt")).alias("last")
+    return seen.groupBy("run_id", "run_type").agg(last).select(F.col("last.attempt").alias(ATTEMPT), "run_id", "run_type")
+
+
+def read_reports(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """Rows of a report table over all published runs."""
+    schema = _TABLES[table]
+    files = load_optional(spark, table_path(base, table))
+    if files is None:
+        return spark.createDataFrame([], schema)
+    runs = published(spark, base).select(F.col(ATTEMPT).alias("__attempt"))
+    # Attempts are partitions: those that do not count are not read.
+    kept = files.join(runs, F.col(ATTEMPT) == F.col("__attempt"), "left_semi")
+    return kept.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def _run_row(verdict: DataFrame, meta: RunMeta, run_type: str) -> DataFrame:
@@ -91,38 +162,39 @@ def _run_row(verdict: DataFrame, meta: RunMeta, run_type: str) -> DataFrame:
 
 
 def append_constraint_report(results: DataFrame, meta: RunMeta, base: str) -> int:
-    """Append one constraint run; returns its run id. Failures surface.
+    """Append one constraint run; returns its run id. Failures surface, and rules are
+    evaluated once."""
+
+    def verdict(stored: Mapping[str, DataFrame]) -> DataFrame:
+        return run_verdict(stored["hard_constraint_result"]).withColumn("overall_grade", F.lit(None).cast("string"))
 
-    The details are written first and the run row is derived from them, so a
-    run that is listed is complete and the rules are evaluated once.
-    """
-    meta = meta.stamped()
-    _append(results.withColumn("run_id", F.lit(meta.run_id)), "hard_constraint_result", base)
-    spark = results.sparkSession
-    stored = spark.read.parquet(table_path(base, "hard_constraint_result")).filter(F.col("run_id") == meta.run_id)
-    verdict = run_verdict(stored).withColumn("overall_grade", F.lit(None).cast("string"))
-    _append(_run_row(verdict, meta, "HARD_CONSTRAINT"), "validation_run", base)
-    return meta.run_id
+    return _publish(results.sparkSession, base, meta.stamped(), "HARD_CONSTRAINT", {"hard_constraint_result": results}, verdict)
 
 
 def append_fidelity_report(report: FidelityReport, meta: RunMeta, base: str) -> int:
     """Append one fidelity run; returns its run id. Failures surface."""
-    meta = meta.stamped()
-    stamp = lambda df: df.withColumn("run_id", F.lit(meta.run_id))
-    _append(stamp(report.summary), "fidelity_summary", base)
-    _append(stamp(report.categorical), "fidelity_categorical", base)
-    _append(stamp(report.numerical), "fidelity_numerical", base)
-    renamed = report.correlation.withColumnsRenamed(
-        {"real_mean": "real_log10_conductivity", "gen_mean": "gen_log10_conductivity"}
-    )
-    _append(stamp(renamed), "fidelity_correlation", base)
-    spark = SparkSession.active()
-    stored = spark.read.parquet(table_path(base, "fidelity_summary")).filter(F.col("run_id") == meta.run_id)
-    from qualityforge.operators.fidelity import overall_score
-
-    verdict = overall_score(stored).withColumn("passed", F.lit(None).cast("boolean"))
-    _append(_run_row(verdict, meta, "FIDELITY"), "validation_run", base)
-    return meta.run_id
+    renamed = {"real_mean": "real_log10_conductivity", "gen_mean": "gen_log10_conductivity"}
+    tables = {
+        "fidelity_summary": report.summary,
+        "fidelity_categorical": report.categorical,
+        "fidelity_numerical": report.numerical,
+        "fidelity_correlation": report.correlation.withColumnsRenamed(renamed),
+    }
+
+    def verdict(stored: Mapping[str, DataFrame]) -> DataFrame:
+        return overall_score(stored["fidelity_summary"]).withColumn("passed", F.lit(None).cast("boolean"))
+
+    return _publish(report.summary.sparkSession, base, meta.stamped(), "FIDELITY", tables, verdict)
+
+
+def append_profile(statistics: DataFrame, meta: RunMeta, base: str) -> int:
+    """Append one profile run (statistic, item, measure, value); returns its run id."""
+    empty = "passed boolean, overall_score double, overall_grade string"
+
+    def verdict(_: Mapping[str, DataFrame]) -> DataFrame:
+        return statistics.sparkSession.createDataFrame([(None, None, None)], empty)
+
+    return _publish(statistics.sparkSession, base, meta.stamped(), "PROFILE", {PROFILE_TABLE: statistics}, verdict)
 
 
 def read_exported(spark: SparkSession, path: str, table: str) -> DataFrame:

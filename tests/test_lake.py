@@ -78,22 +78,63 @@ def test_reports_append_and_export(spark, tmp_path):
     assert runs[13]["passed"] is None and runs[13]["overall_score"] == pytest.approx(1.0) and runs[13]["overall_grade"] == "EXCELLENT"
     assert spark.read.parquet(base + "/fidelity_numerical").count() == 4 * 14
     for name, schema in reports.REPORT_TABLES.items():
-        assert spark.read.parquet(f"{base}/{name}").schema == schema
+        assert reports.read_reports(spark, base, name).schema == schema
     # Exported as tab-separated text and read back with the declared types.
     out = str(tmp_path / "tsv")
-    spark.read.parquet(base + "/validation_run").coalesce(1).write.csv(out, sep="\t", header=True)
+    reports.read_reports(spark, base, "validation_run").coalesce(1).write.csv(out, sep="\t", header=True)
     back = reports.read_exported(spark, out, "validation_run")
     assert {r["run_id"]: r["overall_score"] for r in back.collect()} == {k: r["overall_score"] for k, r in runs.items()}
 
 
+def test_runs_are_published_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "rep")
+    results = Z.validate(random_tables(spark, 3, 60))
+    assert reports.read_reports(spark, base, "validation_run").count() == 0
+    reports.append_constraint_report(results, reports.RunMeta("db", 60, 60, run_id=1), base)
+
+    def rows(table):
+        return [r["run_id"] for r in reports.read_reports(spark, base, table).select("run_id").distinct().orderBy("run_id").collect()]
+
+    write, calls = reports._write, []
+
+    def failing(df, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("disk full")
+        write(df, path)
+
+    # The details are written, the run row is not: nothing of the run is seen.
+    monkeypatch.setattr(reports, "_write", failing)
+    with pytest.raises(OSError, match="disk full"):
+        reports.append_constraint_report(results, reports.RunMeta("db", 60, 60, run_id=2), base)
+    monkeypatch.setattr(reports, "_write", write)
+    assert rows("hard_constraint_result") == rows("validation_run") == [1]
+    assert spark.read.parquet(base + "/hard_constraint_result").count() == 26
+
+    # Everything is written but not published.
+    monkeypatch.setattr(reports._Attempt, "publish", lambda self: self.meta.run_id)
+    reports.append_constraint_report(results, reports.RunMeta("db", 60, 60, run_id=2), base)
+    monkeypatch.undo()
+    assert rows("hard_constraint_result") == rows("validation_run") == [1]
+
+    # A retry counts once, and a repeated run id replaces what it had.
+    for _ in range(2):
+        reports.append_constraint_report(results.limit(5), reports.RunMeta("db", 60, 60, run_id=2), base)
+    assert rows("validation_run") == [1, 2] and reports.read_reports(spark, base, "validation_run").count() == 2
+    assert reports.read_reports(spark, base, "hard_constraint_result").count() == 13 + 5
+
+
 def test_run_stages(spark, tmp_path):
     tables = random_tables(spark, 8, 150)
     base = str(tmp_path)
-    opts = RunOptions("db", base + "/rep", real=tables, compliant_path=base + "/ok", validate=True, fidelity=True, sample_ratio=0.5)
+    opts = RunOptions("db", base + "/rep", real=tables, compliant_path=base + "/ok", validate=True, fidelity=True, profile=True, sample_ratio=0.5)
     done = run_stages(tables, opts)
-    assert set(done) == {"hard_constraint", "compliant_filter", "fidelity"}
-    runs = spark.read.parquet(base + "/rep/validation_run")
-    assert runs.count() == 2 and runs.filter("sampled_count < total_count").count() == 2
+    assert set(done) == {"hard_constraint", "profile", "compliant_filter", "fidelity"}
+    runs = reports.read_reports(spark, base + "/rep", "validation_run")
+    assert runs.count() == 3 and runs.filter("sampled_count < total_count").count() == 3
+    shown = reports.read_reports(spark, base + "/rep", reports.PROFILE_TABLE)
+    totals = {r["item"]: r["value"] for r in shown.filter("statistic = 'rows'").collect()}
+    assert totals["material_samples"] == runs.first()["sampled_count"]
     assert spark.read.parquet(base + "/ok/material_samples").count() > 0
     with pytest.raises(ValueError, match="ratio"):
         run_stages(tables, RunOptions("db", base, sample_ratio=1.5))

@@ -76,3 +76,15 @@ def test_no_python_rows_and_no_cross_joins(spark, name):
     assert not re.search(r"EvalPython|MapInPandas|MapInArrow|FlatMapGroups|CartesianProduct", text)
     for m in re.findall(r"BroadcastNestedLoopJoin.*", text):
         raise AssertionError(m)
+
+
+def test_all_counts_of_a_profile_are_one_scan_a_table(lake, monkeypatch):
+    from qualityforge.operators import profile as P
+
+    monkeypatch.setattr(P.runtime, "pin", lambda df: df)
+    items = [P.Shares("flag", "lineitem", "l_returnflag"), P.GroupSizes("lines", "lineitem", "l_orderkey"), P.Shares("status", "orders", "o_orderstatus")]
+    counts = P.counted_statistics(items, lake.tables(["lineitem", "orders"]))
+    text = plan(counts.filter("measure = 'cnt'"))
+    # The counts are written once; unwritten, as here, they are read for shares and for totals.
+    assert text.count("FileScan") == 4 and "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in text
+    assert "partial_count(1)" in text
