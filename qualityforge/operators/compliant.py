@@ -155,9 +155,9 @@ def lost_ids(children: Mapping[str, DataFrame], kept: DataFrame, key: str) -> Da
 
 
 def restrict_children(
-    children: Mapping[str, DataFrame], kept: DataFrame, key: str, max_rows: int = runtime.BROADCAST_MAX_ROWS, bloom: bool = True
+    children: Mapping[str, DataFrame], kept: DataFrame, key: str, max_rows: int = runtime.BROADCAST_MAX_ROWS, bloom: bool = True, keep_null: bool = False
 ) -> dict[str, DataFrame]:
-    """Child rows whose parent is among ``kept``; rows with a NULL key go.
+    """Child rows whose parent is among ``kept``; rows with a NULL key go, unless ``keep_null``.
 
     Keys without a kept parent are few as a rule: up to ``max_rows`` of them, of
     checked size, are broadcast and the children are not shuffled. Beyond that the
@@ -171,17 +171,22 @@ def restrict_children(
     lost = lost_ids(children, kept, key)
     if runtime.fits_broadcast(lost, max_rows):
         side = F.broadcast(lost)
-        return {n: df.filter(F.col(key).isNotNull()).join(side, key, "left_anti").select(df.columns) for n, df in children.items()}
+        # An anti join keeps rows with a NULL key.
+        rows = {n: df if keep_null else df.filter(F.col(key).isNotNull()) for n, df in children.items()}
+        return {n: df.join(side, key, "left_anti").select(df.columns) for n, df in rows.items()}
     ids = kept.select(key)
     n_lost, n_kept = lost.count(), ids.count()
     found = bloom_filter(lost if n_lost < n_kept else ids, key, min(n_lost, n_kept)) if bloom else None
-    if found is None:
-        return {n: df.join(ids, key, "left_semi").select(df.columns) for n, df in children.items()}
     out = {}
     for n, df in children.items():
-        rows, asked = df.filter(F.col(key).isNotNull()), might_contain(key, found)
-        if n_lost < n_kept:
+        rows = df.filter(F.col(key).isNotNull())
+        asked = might_contain(key, found) if found else F.lit(True)
+        if found is None:
+            out[n] = rows.join(ids, key, "left_semi").select(df.columns)
+        elif n_lost < n_kept:
             out[n] = rows.filter(~asked).unionByName(rows.filter(asked).join(lost, key, "left_anti").select(df.columns))
         else:
             out[n] = rows.filter(asked).join(ids, key, "left_semi").select(df.columns)
+        if keep_null:
+            out[n] = out[n].unionByName(df.filter(F.col(key).isNull()))
     return out

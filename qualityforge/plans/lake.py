@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualityforge import runtime
-from qualityforge.operators import normalize, sampling
+from qualityforge.operators import graph, normalize, sampling
 from qualityforge.operators.constraints import evaluate
 from qualityforge.plans.quality import ORDER_RULES, ORDER_TABLES, _sql_report
 from qualityforge.plans.registry import Lake, query, rounded
@@ -132,6 +133,58 @@ def referential_sample(lake: Lake) -> DataFrame:
     return out["lineitem"].select("o_orderkey", "l_linenumber", "l_quantity")
 
 
+STAR_KEYS = [
+    graph.ForeignKey("nation", "n_regionkey", "region", "r_regionkey"),
+    graph.ForeignKey("customer", "c_nationkey", "nation", "n_nationkey"),
+    graph.ForeignKey("supplier", "s_nationkey", "nation", "n_nationkey"),
+    graph.ForeignKey("orders", "o_custkey", "customer", "c_custkey"),
+    graph.ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    graph.ForeignKey("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+]
+_GRAPH = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+_SQL_LINES = "SELECT l_orderkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem"
+
+
+@query(
+    "cascade_over_keys",
+    "WITH n AS (SELECT * FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')),"
+    " c AS (SELECT * FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM n)), s AS (SELECT * FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM n)),"
+    " o AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c))"
+    f" {_SQL_LINES} WHERE l_orderkey IN (SELECT o_orderkey FROM o) AND l_suppkey IN (SELECT s_suppkey FROM s)",
+)
+def cascade_over_keys(lake: Lake) -> DataFrame:
+    """Lines left after one region goes: two ways down, over four and three levels."""
+    tables = lake.tables(_GRAPH)
+    out = graph.cascade(tables, STAR_KEYS, {"region": lake.region.filter("r_name <> 'ASIA'")})
+    return out["lineitem"].select("l_orderkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+
+
+@query(
+    "graph_sample",
+    f"WITH c AS (SELECT c_custkey FROM customer WHERE {_sql_uniform('sample', 'c_nationkey')} < 0.4), o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c))"
+    " SELECT 'customer' AS name, c_custkey AS id FROM c UNION ALL SELECT 'orders', o_orderkey FROM o"
+    " UNION ALL SELECT 'lineitem', l_orderkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o) UNION ALL SELECT 'supplier', s_suppkey FROM supplier",
+)
+def graph_sample(lake: Lake) -> DataFrame:
+    """Whole nations of customers with all their orders and lines; suppliers do not depend on them."""
+    out = graph.graph_sample(lake.tables(_GRAPH), STAR_KEYS, "customer", "c_nationkey", 0.4)
+    parts = [out[t].select(F.lit(t).alias("name"), F.col(k).alias("id")) for t, k in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("supplier", "s_suppkey"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query(
+    "cascade_in_a_cycle",
+    "SELECT o_orderkey, previous FROM (SELECT o_orderkey, lag(o_orderkey) OVER w AS previous,"
+    " max(CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END) OVER w AS gone FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)) WHERE gone = 0",
+)
+def cascade_in_a_cycle(lake: Lake) -> DataFrame:
+    """Orders refer to the customer's previous one: what follows a removed order goes too."""
+    w = W.partitionBy("o_custkey").orderBy("o_orderkey")
+    orders = lake.orders.select("o_orderkey", F.lag("o_orderkey").over(w).alias("previous"))
+    keys = [graph.ForeignKey("orders", "previous", "orders", "o_orderkey")]
+    return graph.cascade({"orders": orders}, keys, {"orders": orders.filter("o_orderkey % 5 <> 0")})["orders"]
+
+
 # What holds for any correct sample: all drawn rows are rows of the table, none
 # comes twice, and each tenth of the keys gives its share within six deviations.
 @query(
