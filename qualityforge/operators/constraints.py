@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException, PySparkException, PythonException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -257,11 +257,24 @@ def metric_rows(rules: Sequence[Rule], tables: Tables) -> DataFrame | None:
     return reduce(DataFrame.unionByName, metrics) if metrics else None
 
 
+# Classes of SQLSTATE that blame the statement or its data: cardinality, data exception,
+# failing function, name or syntax.
+_RULE_STATES = ("21", "22", "38", "39", "42")
+
+
+def rule_fault(e: PySparkException) -> bool:
+    """Whether an error comes from a rule's expression and not from where it ran."""
+    if isinstance(e, AnalysisException | PythonException):
+        return True
+    return (e.getSqlState() or "")[:2] in _RULE_STATES
+
+
 def _isolated(rules: Sequence[Rule], tables: Tables) -> tuple[dict[str, int | None], dict[str, str]]:
     """Counts, and the message of every rule that fails while it runs.
 
-    All rules run together; only when that job fails are they halved until the
-    culprits stand alone.
+    All rules run together; only when that job fails for a reason that lies in a rule
+    are they halved until the culprits stand alone. Any other failure surfaces: a lost
+    executor or a missing file says nothing about the rules.
     """
     if not rules:
         return {}, {}
@@ -270,6 +283,8 @@ def _isolated(rules: Sequence[Rule], tables: Tables) -> tuple[dict[str, int | No
         # A few numbers per rule.
         return ({} if rows is None else {r["metric"]: r["value"] for r in rows.collect()}), {}
     except PySparkException as e:
+        if not rule_fault(e):
+            raise
         if len(rules) == 1:
             return {}, {rules[0].code: str(e).splitlines()[0]}
     counts, errors = {}, {}

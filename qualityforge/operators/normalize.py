@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -77,6 +77,11 @@ def copy_columns(df: DataFrame, columns: Sequence[str], defaults: Mapping[str, o
     return df.select(*cols)
 
 
+def _item_text(items: Sequence[str]) -> Column:
+    """An item as one text, NULL if any part is."""
+    return F.concat(*[p for i, c in enumerate(items) for p in ([F.lit(":")] if i else []) + [F.col(c).cast("string")]])
+
+
 def group_fingerprint(df: DataFrame, key: str, items: Sequence[str], prefix: str = "fp") -> DataFrame:
     """Per key, an order-free digest of its multiset of items.
 
@@ -86,7 +91,7 @@ def group_fingerprint(df: DataFrame, key: str, items: Sequence[str], prefix: str
     a key with any number of rows combines map side and needs constant memory.
     Items with a NULL part are ignored.
     """
-    text = F.concat(*[p for i, c in enumerate(items) for p in ([F.lit(":")] if i else []) + [F.col(c).cast("string")]])
+    text = _item_text(items)
     lanes = []
     for salt in (1, 2):
         h = F.when(text.isNotNull(), F.xxhash64(F.lit(salt), text))
@@ -102,6 +107,38 @@ def fingerprint_columns(prefix: str = "fp") -> list[str]:
     return [f"{prefix}_{c}" for c in "nabcd"]
 
 
+def multiset_groups(df: DataFrame, key: str, items: Sequence[str], name: str = "fp", digest: Callable[..., DataFrame] = group_fingerprint) -> DataFrame:
+    """(key, name): per key, the smallest key that holds the same items equally often.
+
+    The digest only routes: keys of one digest are compared with the first of them item by
+    item, as counted items and not as lists, so a key with any number of rows is split
+    like any other. Keys that differ from the first in spite of their digest are compared
+    among themselves in the next round; there is none unless digests collide. Items
+    with a NULL part are ignored, and keys without items are alike; NULL keys are left out.
+    """
+    rows = df.filter(F.col(key).isNotNull())
+    counted = rows.select(F.col(key).alias("k"), _item_text(items).alias("item")).filter("item is not null")
+    counted = runtime.pin(counted.groupBy("k", "item").agg(F.count(F.lit(1)).alias("c")))
+    marks = digest(rows, key, items).withColumnRenamed(key, "k")
+    lanes = [c for c in marks.columns if c != "k"]
+    kinds = counted.groupBy("k").agg(F.count(F.lit(1)).alias("m"))
+    left = runtime.pin(marks.join(kinds, "k", "left").select("k", *lanes, F.coalesce("m", F.lit(0)).alias("m")))
+    theirs = counted.withColumnRenamed("k", "rep")
+    done = None
+    while True:
+        first = left.groupBy(*lanes).agg(F.min("k").alias("rep"), F.min_by("m", "k").alias("rep_m"))
+        named = left.join(runtime.checked_broadcast(first), lanes)
+        others = named.filter((F.col("k") != F.col("rep")) & (F.col("m") == F.col("rep_m"))).select("k", "rep")
+        met = others.join(counted, "k").join(theirs, ["rep", "item", "c"]).groupBy("k").agg(F.count(F.lit(1)).alias("met"))
+        equal = (F.col("m") == F.col("rep_m")) & (F.coalesce("met", F.lit(0)) == F.col("m"))
+        judged = runtime.pin(named.join(met, "k", "left").withColumn("same", (F.col("k") == F.col("rep")) | equal))
+        same = judged.filter("same").select(F.col("k").alias(key), F.col("rep").alias(name))
+        done = same if done is None else done.unionByName(same)
+        left = judged.filter("not same").select("k", *lanes, "m")
+        if left.isEmpty():
+            return done
+
+
 def decodable(df: DataFrame, key: str, base: int, marker: tuple[str, str] | None = None) -> bool:
     """True when there are rows and every id is at least ``base`` (and every
     ``marker`` column, if present, has its value): ids then encode their group."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from qualityforge import runtime
 from qualityforge.operators import fidelity as fid
-from qualityforge.operators.constraints import evaluate
+from qualityforge.operators.constraints import evaluate, violation_ledger
 from qualityforge.plans import matching as M
 from qualityforge.plans.quality import ORDER_RULES, ORDER_TABLES, _sql_report
 from qualityforge.plans.registry import Lake, query, rounded
@@ -177,6 +177,20 @@ def preset_constraints(lake: Lake) -> DataFrame:
     return rounded(Z.validate(_star(lake)).drop("constraint_name", "status"))
 
 
+@query(
+    "preset_series",
+    f"{_WITH}, f AS (SELECT sample_id, coalesce(string_agg(dopant_element || ':' || dopant_molar_fraction, ',' ORDER BY dopant_element || ':' || dopant_molar_fraction), '') AS f"
+    " FROM sample_dopants GROUP BY sample_id) SELECT sample_id AS entity_id, 'HC-7' AS code FROM (SELECT sample_id, conductivity, lag(conductivity) OVER"
+    " (PARTITION BY synthesis_method_id, processing_route_id, f ORDER BY operating_temperature, sample_id) AS prev FROM material_samples JOIN f USING (sample_id))"
+    " WHERE conductivity <= prev",
+)
+def preset_series(lake: Lake) -> DataFrame:
+    """Falling conductivity within series that only equal dopants, method and route tell."""
+    star = _star(lake)
+    tables, rule, _ = Z.resolve_series({**star, Z.PARENT: star[Z.PARENT].drop("recipe_group_id")})
+    return violation_ledger([rule], tables)
+
+
 _SQL_DECLARED = {
     "PK-samples": ("SELECT count(DISTINCT sample_id) FROM material_samples", "SELECT count(*) FROM (SELECT 1 FROM material_samples GROUP BY sample_id HAVING count(*) > 1)"),
     "PK-phases": (

@@ -10,7 +10,7 @@ from qualityforge.functions.scalars import block_of
 from qualityforge.operators import profile, rules as R
 from qualityforge.operators.compliant import compliant_parent, filter_compliant, restrict_children
 from qualityforge.operators.constraints import evaluate, run_verdict, violation_ledger
-from qualityforge.operators.normalize import fingerprint_columns, group_fingerprint
+from qualityforge.operators.normalize import fingerprint_columns, group_fingerprint, multiset_groups
 from qualityforge.operators.ordered import Skew, not_increasing, strict_prefix_maxima, with_previous
 from qualityforge.plans.registry import Lake, query, rounded
 
@@ -398,9 +398,9 @@ def fingerprint(lake: Lake) -> DataFrame:
 )
 def fingerprint_groups(lake: Lake) -> DataFrame:
     """Series of orders with the same status, priority and set of lines."""
-    digest = group_fingerprint(lake.lineitem, "l_orderkey", ["l_returnflag", "l_linenumber"])
-    joined = lake.orders.join(digest, F.col("o_orderkey") == F.col("l_orderkey"))
-    group = ["o_orderstatus", "o_orderpriority", *fingerprint_columns()]
+    same = multiset_groups(lake.lineitem, "l_orderkey", ["l_returnflag", "l_linenumber"], "lines")
+    joined = lake.orders.join(same, F.col("o_orderkey") == F.col("l_orderkey"))
+    group = ["o_orderstatus", "o_orderpriority", "lines"]
     out = with_previous(joined, group, ["o_orderdate", "o_orderkey"], "o_totalprice", skew=_HOT)
     return out.select("o_orderkey", "previous")
 

@@ -17,7 +17,7 @@ from qualityforge.operators import rules as R
 from qualityforge.operators.compliant import filter_compliant, write_compliant
 from qualityforge.operators.constraints import ConstraintReport, check, evaluate
 from qualityforge.operators.fidelity import Categorical, FidelityReport, Joint, Numeric, score_fidelity
-from qualityforge.operators.normalize import decodable, encode, fingerprint_columns, group_fingerprint
+from qualityforge.operators.normalize import decodable, encode, multiset_groups
 from qualityforge.operators.ordered import Skew
 from qualityforge.operators.profile import GroupSizes, Leading, Shares, Summary, profile_tables
 
@@ -121,7 +121,7 @@ def dictionaries(spark: SparkSession) -> dict[str, DataFrame]:
 
 # --------------------------------------------------------------- constraints
 
-_FP = tuple(fingerprint_columns("__fp"))
+_FP = "__fp_n"
 
 
 def resolve_series(tables: Tables) -> tuple[dict[str, DataFrame], R.MonotonicRule, list[str]]:
@@ -129,7 +129,7 @@ def resolve_series(tables: Tables) -> tuple[dict[str, DataFrame], R.MonotonicRul
 
     In order of preference: the physical group column; the group encoded in the
     ids, if every id is synthetic; otherwise samples with the same method, route
-    and dopant set. Returns the tables (with digest columns on the parent in the
+    and dopant set. Returns the tables (with a group column on the parent in the
     last case), the rule and the columns to drop again.
     """
     tables = dict(tables)
@@ -143,12 +143,10 @@ def resolve_series(tables: Tables) -> tuple[dict[str, DataFrame], R.MonotonicRul
         group = (f"(CAST({KEY} AS BIGINT) - {BASE_SAMPLE_ID}) div {SAMPLES_PER_GROUP}",)
     else:
         title = "Monotonicity within derived recipe group (temp up -> cond up)"
-        digest = group_fingerprint(
-            tables["sample_dopants"], KEY, ["dopant_element", "dopant_molar_fraction"], prefix="__fp"
-        )
-        tables[PARENT] = samples.join(digest, KEY, "left").select(*samples.columns, *_FP)
-        group = ("synthesis_method_id", "processing_route_id", *_FP)
-        where, drop = "__fp_n IS NOT NULL", list(_FP)
+        same = multiset_groups(tables["sample_dopants"], KEY, ["dopant_element", "dopant_molar_fraction"], _FP)
+        tables[PARENT] = samples.join(same, KEY, "left").select(*samples.columns, _FP)
+        group = ("synthesis_method_id", "processing_route_id", _FP)
+        where, drop = f"{_FP} IS NOT NULL", [_FP]
     rule = R.MonotonicRule(
         "HC-7", title, PARENT, KEY, group, ("operating_temperature", KEY), "conductivity", where=where, skew=skew
     )

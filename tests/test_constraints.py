@@ -189,3 +189,52 @@ def test_key_types_may_differ(spark, kind):
     parent = spark.createDataFrame([(1,), (2,)], "p long").selectExpr(f"cast(p as {kind}) as p")
     rule = R.foreign_key("F", "fk", "c", "k", "p", "p")
     assert counts(evaluate([rule], {"c": child, "p": parent})) == {"F": 1}
+
+
+def test_multisets_are_told_apart_whatever_their_digests(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from qualityforge.operators.normalize import group_fingerprint, multiset_groups
+
+    rng = random.Random(3)
+    held = {k: [(rng.choice("abc"), rng.randrange(2)) for _ in range(rng.randrange(4))] for k in range(120)}
+    held[200], held[201] = [("x", 1)] * 500, [("x", 1)] * 500
+    rows = [(k, e, n) for k, own in held.items() for e, n in own] + [(k, None, 1) for k in held] + [(None, "a", 1)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k bigint, e string, n int").repartition(5)
+    want, first = {}, {}
+    for k in sorted(held):
+        want[k] = first.setdefault(tuple(sorted(held[k])), k)
+
+    def one_digest(df, key, items):
+        return df.groupBy(key).agg(F.lit(7).alias("d"))
+
+    def by_size(df, key, items):
+        return df.groupBy(key).agg((F.count("e") % 2).alias("d"))
+
+    for digest in (group_fingerprint, by_size, one_digest):
+        got = {r["k"]: r["same"] for r in multiset_groups(df, "k", ["e", "n"], "same", digest=digest).collect()}
+        assert got == want
+
+
+def test_a_failure_that_is_no_rules_fault_surfaces(spark, tmp_path):
+    import os
+
+    from pyspark.errors import PySparkException
+
+    from qualityforge.operators.constraints import rule_fault
+
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "concat('n', id) AS text").repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    good = R.row_predicate("A", "ids are positive", "t", "id", "id < 1")
+    bad = R.row_predicate("B", "texts are numbers", "t", "id", "CAST(text AS INT) < 0")
+    assert [r["status"] for r in evaluate([good, bad], {"t": df}).collect()] == ["FAIL", "ERROR"]
+    # The rule is right and a file has gone: no ERROR for it, nor for the other.
+    gone = next(n for n in os.listdir(path) if n.startswith("part-"))
+    os.remove(os.path.join(path, gone))
+    with pytest.raises(Exception, match="FILE_NOT_EXIST") as caught:
+        evaluate([good, bad], {"t": df})
+    assert not (isinstance(caught.value, PySparkException) and rule_fault(caught.value))
