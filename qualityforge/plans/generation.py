@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from qualityforge.functions.keyed import Keyed
 from qualityforge.functions.scalars import let
 from qualityforge.operators import synth
+from qualityforge.operators.fidelity import PROBS, Categorical, Numeric
 from qualityforge.plans.lake import _sql_uniform
+from qualityforge.plans.preset import _CAPS as _ELEMENT_CAPS
+from qualityforge.plans.preset import _SQL_ALL, _SQL_BAD, _values
+from qualityforge.plans.recipe_sql import recipe_sql
 from qualityforge.plans.registry import Lake, query, rounded
 from qualityforge.presets import zirconia as Z
 from qualityforge.presets import zirconia_recipes as G
@@ -374,27 +378,31 @@ def fan_out_children(lake: Lake) -> DataFrame:
 # group per order
 
 
-def _groups(lake: Lake, source: str = "xxhash64", seed: int = 12345) -> DataFrame:
+def _groups(lake: Lake, source: str = "md5", seed: int = 12345) -> DataFrame:
+    """Recipe groups from the source that SQL can recompute; bulk generation uses the faster one."""
     ids = synth.spread(lake.orders.select(F.col("o_orderkey").alias("recipe_group_id")), "recipe_group_id")
     return G.recipe_groups(ids, seed=seed, source=source)
 
 
-@query("generate_samples")
+_RECIPES = f"WITH {recipe_sql(12345)}"
+
+
+@query("generate_samples", f"{_RECIPES} SELECT * REPLACE (round(conductivity, 9) AS conductivity) FROM material_samples")
 def generate_samples(lake: Lake) -> DataFrame:
-    return rounded(G.expand(_groups(lake))[Z.PARENT], 12)
+    return rounded(G.expand(_groups(lake))[Z.PARENT], 9)
 
 
-@query("generate_dopants")
+@query("generate_dopants", f"{_RECIPES} SELECT * FROM sample_dopants")
 def generate_dopants(lake: Lake) -> DataFrame:
     return G.expand(_groups(lake))["sample_dopants"]
 
 
-@query("generate_sintering")
+@query("generate_sintering", f"{_RECIPES} SELECT * FROM sintering_steps")
 def generate_sintering(lake: Lake) -> DataFrame:
     return G.expand(_groups(lake))["sintering_steps"]
 
 
-@query("generate_phases")
+@query("generate_phases", f"{_RECIPES} SELECT * FROM sample_crystal_phases")
 def generate_phases(lake: Lake) -> DataFrame:
     return G.expand(_groups(lake))["sample_crystal_phases"]
 
@@ -409,7 +417,7 @@ def generate_phases(lake: Lake) -> DataFrame:
     + f"], {_sql_choice(_sql_uniform('route', 'o_orderkey', seed=12345), G.ROUTE_SHARES)}) AS processing_route_id FROM orders",
 )
 def generate_recipes(lake: Lake) -> DataFrame:
-    return _groups(lake, "md5").select("recipe_group_id", "synthesis_method_id", "processing_route_id")
+    return _groups(lake).select("recipe_group_id", "synthesis_method_id", "processing_route_id")
 
 
 def _generated(lake: Lake, seed: int = 12345) -> dict[str, DataFrame]:
@@ -421,26 +429,101 @@ def _generated(lake: Lake, seed: int = 12345) -> dict[str, DataFrame]:
     return {**G.expand(lake.spark.read.parquet(path)), **Z.dictionaries(lake.spark)}
 
 
-@query("generate_report")
+_DICTIONARIES = (
+    f"synthesis_method_dict AS {_values(list(enumerate(Z.SYNTHESIS_METHODS, 1)), 'id, name')}, processing_route_dict AS"
+    f" {_values(list(enumerate(Z.PROCESSING_ROUTES, 1)), 'id, name')}, crystal_structure_dict AS {_values(Z.CRYSTAL_STRUCTURES, 'id, code, full_name')}"
+)
+
+
+def _sql_checked(ctes: str) -> str:
+    """Report rows of the hard constraints on the tables of ``ctes``."""
+    parts = [
+        f"SELECT '{r.code}' AS constraint_code, '{r.name}' AS constraint_name, ({_SQL_ALL[r.code]}) AS total_checked, ({_SQL_BAD[r.code]}) AS violation_count"
+        for r in Z.hard_constraints()
+    ]
+    return (
+        f"{ctes}, {_DICTIONARIES} SELECT constraint_code, constraint_name, violation_count = 0 AS passed, total_checked, violation_count,"
+        " round((total_checked - violation_count) * 100.0::DOUBLE / total_checked, 6) AS pass_rate,"
+        f" CASE WHEN violation_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({' UNION ALL '.join(parts)})"
+    )
+
+
+@query("generate_report", _sql_checked(_RECIPES))
 def generate_report(lake: Lake) -> DataFrame:
     """Hard constraints on the generated tables."""
     return rounded(Z.validate(_generated(lake)))
 
 
-@query(
-    "generate_compliant",
-    " UNION ALL ".join(f"SELECT '{r.code}' AS code, 0::BIGINT AS violations, true AS passed" for r in Z.hard_constraints()),
+# Samples that break no rule, then the strict rises of what is left of each group.
+_SURVIVORS = (
+    f"WITH {recipe_sql(12345, 'raw_')}, tops AS (SELECT sample_id, round(sum(dopant_molar_fraction), 6) AS total, sum(CASE WHEN dopant_valence IN (2, 3) THEN 1 ELSE 0 END) AS low,"
+    f" count(*) FILTER (dopant_molar_fraction <= 0 OR {_ELEMENT_CAPS}) AS bad FROM raw_sample_dopants GROUP BY sample_id),"
+    " shapes AS (SELECT sample_id, sum(is_major_phase::INT) AS majors, count(*) AS n, count(*) FILTER (crystal_id = 1 AND is_major_phase) AS cubic,"
+    " count(*) FILTER (crystal_id = 3 AND is_major_phase) AS mono FROM raw_sample_crystal_phases GROUP BY sample_id),"
+    " seen AS (SELECT *, lag(conductivity) OVER (PARTITION BY recipe_group_id ORDER BY operating_temperature, sample_id) AS prev FROM raw_material_samples),"
+    f" sound AS (SELECT * FROM seen JOIN tops USING (sample_id) JOIN shapes USING (sample_id) WHERE bad = 0 AND low > 0 AND total <= {Z.TOTAL_FRACTION_LIMIT} AND majors = 1"
+    f" AND NOT (n = 1 AND ((total < {Z.LOW_DOPING} AND cubic > 0) OR (total > {Z.HIGH_DOPING} AND mono > 0))) AND conductivity BETWEEN 1e-8 AND 1"
+    " AND operating_temperature BETWEEN 300 AND 1400 AND (prev IS NULL OR conductivity > prev)),"
+    " peaks AS (SELECT *, max(conductivity) OVER (PARTITION BY recipe_group_id ORDER BY operating_temperature, sample_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS peak FROM sound),"
+    " material_samples AS (SELECT * FROM peaks WHERE peak IS NULL OR conductivity > peak),"
+    + ", ".join(f" {t} AS (SELECT * FROM raw_{t} WHERE sample_id IN (SELECT sample_id FROM material_samples))" for t in Z.CHILDREN)
 )
+
+
+@query("generate_compliant", _sql_checked(_SURVIVORS))
 def generate_compliant(lake: Lake) -> DataFrame:
-    """Hard constraints again after the compliant filter: all pass."""
+    """Hard constraints again after the compliant filter: all pass, on the rows that stay."""
     tables = _generated(lake)
-    found = Z.validate({**tables, **Z.compliant(tables)})
-    return found.select(
-        F.col("constraint_code").alias("code"), F.col("violation_count").alias("violations"), "passed"
+    return rounded(Z.validate({**tables, **Z.compliant(tables)}))
+
+
+@query("generate_compliant_samples", f"{_SURVIVORS} SELECT sample_id, operating_temperature, round(conductivity, 9) AS conductivity FROM material_samples")
+def generate_compliant_samples(lake: Lake) -> DataFrame:
+    kept = Z.compliant(_generated(lake))[Z.PARENT]
+    return rounded(kept.select("sample_id", "operating_temperature", "conductivity"), 9)
+
+
+def _sql_fidelity() -> str:
+    """Scores of the nine dimensions of two populations, by grouped counts, discrete quantiles and leading dopants."""
+    dims = Z.fidelity_dimensions()
+    both = lambda columns, table, where="true": " UNION ALL ".join(f"SELECT {columns}, {r} AS is_real FROM {p}{table} WHERE {where}" for p, r in (("r_", "true"), ("", "false")))
+    scores = []
+    for d in dims:
+        if isinstance(d, Categorical):
+            where = (d.where or "true").replace("CAST(is_major_phase AS INT) = 1", "is_major_phase")
+            counted = f"SELECT c, count(*) FILTER (is_real) AS rn, count(*) FILTER (NOT is_real) AS gn FROM ({both(f'{d.expr} AS c', d.table, where)}) GROUP BY c"
+            shares = f"SELECT rn::DOUBLE / sum(rn) OVER () AS p, gn::DOUBLE / sum(gn) OVER () AS q FROM ({counted})"
+            term = lambda x: f"CASE WHEN {x} > 0 THEN 0.5 * {x} * ln({x} / ((p + q) / 2)) ELSE 0 END"
+            scores.append(f"SELECT '{d.name}' AS dimension, 1 - sum({term('p')} + {term('q')}) / ln(2) AS score FROM ({shares})")
+        elif isinstance(d, Numeric):
+            stats = (
+                f"SELECT is_real, avg(v) AS mean, coalesce(stddev_samp(v), 1) AS std, min(v) AS lo, max(v) AS hi, quantile_disc(v, {list(PROBS)}) AS qs"
+                f" FROM ({both(f'{d.expr} AS v', d.table, d.where or 'true')}) GROUP BY is_real"
+            )
+            near = lambda x: f"(1 - least({x} * 3, 1))"
+            rmse = "sqrt(list_sum(list_transform(range(1, 8), lambda i: ((g.qs[i] - r.qs[i]) / greatest(abs(r.hi - r.lo), 1e-10)) ** 2)) / 7)"
+            mean = "abs(g.mean - r.mean) / greatest(abs(r.hi - r.lo), 1e-10)"
+            ratio = "CASE WHEN r.std > 1e-10 THEN least(r.std, g.std) / greatest(r.std, g.std) ELSE 1 END"
+            scores.append(f"SELECT '{d.name}', greatest(0, 0.6 * {near(rmse)} + 0.2 * {near(mean)} + 0.2 * {ratio}) FROM ({stats}) r JOIN ({stats}) g ON r.is_real AND NOT g.is_real")
+        else:
+            means = lambda p: (
+                f"SELECT {d.category} AS e, avg(log10({d.value})) AS m FROM {p}{d.parent} JOIN (SELECT sample_id, {d.category}, row_number() OVER (PARTITION BY sample_id"
+                f" ORDER BY {d.rank} DESC, {d.category}) AS rn FROM {p}{d.child}) USING (sample_id) WHERE rn = 1 AND {d.window_column} BETWEEN {d.low} AND {d.high} AND {d.value} > 0"
+                f" GROUP BY {d.category} HAVING count(*) >= {d.min_support}"
+            )
+            pairs = f"SELECT r.m AS x, g.m AS y FROM ({means('r_')}) r JOIN ({means('')}) g USING (e)"
+            scores.append(
+                f"SELECT '{d.name}', 0.5 * greatest(0, (corr(x, y) + 1) / 2) + 0.5 * greatest(0, 1 - 2 * sqrt(avg((x - y) ** 2)) / greatest(max(x) - min(x), 1)) FROM ({pairs})"
+            )
+    weights = " UNION ALL ".join(f"SELECT '{d.name}' AS dimension, {float(d.weight)!r}::DOUBLE AS weight" for d in dims)
+    grade = "CASE WHEN score >= 0.90 THEN 'EXCELLENT' WHEN score >= 0.75 THEN 'GOOD' WHEN score >= 0.60 THEN 'FAIR' ELSE 'POOR' END"
+    return (
+        f"WITH {recipe_sql(12345, 'r_')}, {recipe_sql(777)} SELECT dimension, round(score, 8) AS score, weight, round(score * weight, 8) AS weighted_score, {grade} AS grade"
+        f" FROM ({' UNION ALL '.join(scores)}) JOIN ({weights}) USING (dimension)"
     )
 
 
-@query("generate_fidelity")
+@query("generate_fidelity", _sql_fidelity())
 def generate_fidelity(lake: Lake) -> DataFrame:
     """Two generated populations with different seeds score near one."""
-    return rounded(Z.fidelity(_generated(lake), _generated(lake, 777)).summary, 9)
+    return rounded(Z.fidelity(_generated(lake), _generated(lake, 777)).summary, 8)
