@@ -298,6 +298,25 @@ class PrefixJoin:
         return rows.select("key", F.col("n").alias("n_shingles"), own.cast("bigint").alias("component_id"))
 
 
+def _merged_by_key(named: DataFrame, key: str) -> DataFrame:
+    """(key, n_shingles, component_id) from components of rows whose keys repeat.
+
+    ``named`` has a row's key, its set size and the ``component`` of its text, named after
+    one of the rows. All texts of a key lie in one component, and it is named after its
+    smallest key.
+    """
+    held = named.filter("key is not null and component is not null").select("key", "component").distinct()
+    first = held.groupBy("key").agg(F.min("component").alias("first"))
+    links = held.join(first, "key").filter("component <> first").select(F.col("component").alias("a"), F.col("first").alias("b"))
+    merged = components(links).select(F.col("id").alias("component"), F.col("component").alias("into"))
+    held = held.join(merged, "component", "left").withColumn("component", F.coalesce("into", "component"))
+    smallest = held.groupBy("component").agg(F.min("key").alias("component_id"))
+    of_key = staged(held.select("key", "component").distinct().join(smallest, "component").select("key", "component_id"), "join-keys")
+    rows = named.select("key", "n_shingles").join(of_key, "key", "left")
+    # A key without any words names itself.
+    return rows.select(F.col("key").alias(key), "n_shingles", F.coalesce("component_id", "key").alias("component_id"))
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) of every row: the smallest key reachable by links.
 
@@ -308,7 +327,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     repeat a key are one node, linked through any of their texts. Other columns
     are not read; an empty table gives no rows.
     """
-    return PrefixJoin(docs, key, text, words, percent).result().withColumnRenamed("key", key)
+    keyed = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+    again = keyed.filter("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if again.isEmpty():
+        return PrefixJoin(keyed, "key", "text", words, percent).result().withColumnRenamed("key", key)
+    # A key names several rows: rows are joined under numbers of their own, then by key.
+    rows = staged(keyed.withColumn("row", F.when(F.col("key").isNotNull(), F.monotonically_increasing_id())), "join-rows")
+    found = PrefixJoin(rows, "row", "text", words, percent).result().withColumnRenamed("key", "row")
+    found = staged(found, "join-found")
+    named = found.filter("row is not null").join(rows.select("row", "key"), "row")
+    # A text without words is in no component.
+    named = named.select("key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"))
+    keyless = found.filter("row is null").select(F.lit(None).cast("bigint").alias(key), "n_shingles", F.lit(None).cast("bigint").alias("component_id"))
+    return _merged_by_key(named, key).unionByName(keyless)
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -132,6 +132,24 @@ def test_prefix_join_with_odd_rows(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 5, 7, 9]
 
 
+def test_a_key_with_several_texts_is_linked_through_each(spark):
+    rng = random.Random(12)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    near = lambda t: t[:100] + ["other"] + t[101:]
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (4, c), (5, near(c)), (5, d), (6, near(d)), (6, []), (7, []), (7, []), (8, text()), (8, text()), (None, a), (9, None)]
+    rows = [(k, None if t is None else " ".join(t)) for k, t in rows]
+    got = prefix_join.jaccard_components(documents(spark, rows).repartition(4))
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    found = sorted(((r.doc_id or 0, r.n_shingles, r.component_id) for r in got.collect()), key=repr)
+    component = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 7, 8: 8, 9: 9}
+    size = {None: 0, "": 0}
+    want = sorted(((k or 0, size.get(t, 197), component.get(k)) for k, t in rows), key=repr)
+    assert found == want
+    kept = prefix_join.keep_first(documents(spark, rows)).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 1, 4, 7, 7, 8, 8, 9]
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
