@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qualityforge import runtime
+
 CAPACITY = 2048
 SHARD_DOCS = 2048
 
@@ -114,6 +116,20 @@ def _packer(capacity: int):
     return shard
 
 
+def dealt(rows: DataFrame, shard_docs: int) -> DataFrame:
+    """Add ``_shard``: shards of about ``shard_docs`` rows by hash of ``_key``.
+
+    Rows without a key, and those of a key that alone would fill a shard, are dealt one by
+    one instead, so no key decides how much one task packs.
+    """
+    shards = max(1, -(-rows.count() // shard_docs))
+    counts = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") >= shard_docs) | F.col("_key").isNull())
+    hot = runtime.checked_broadcast(runtime.pin(counts.select(F.col("_key").alias("_hot"), F.lit(True).alias("_alone"))))
+    told = rows.withColumn("_row", F.monotonically_increasing_id()).join(hot, F.col("_key").eqNullSafe(F.col("_hot")), "left")
+    by = F.when(F.col("_alone"), F.xxhash64("_row", F.lit(11))).otherwise(F.xxhash64("_key", F.lit(11)))
+    return told.withColumn("_shard", F.pmod(by, F.lit(shards))).drop("_row", "_hot", "_alone")
+
+
 def pack_documents(
     docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS, key: str = "doc_id", source: str = "source", cluster: str = "cluster", tokens: str = "n_tokens"
 ) -> DataFrame:
@@ -121,8 +137,8 @@ def pack_documents(
 
     Documents without tokens get one row with no bin. Null sources are one
     source, null clusters are in no cluster, null tokens count as 0. Rows that
-    repeat a key are documents of their own. A null key counts as its own hash
-    value and stays null. Other columns are not read; an empty table gives no
+    repeat a key are documents of their own. A null key stays null. A shard holds about
+    ``shard_docs`` rows, whatever their keys. Other columns are not read; an empty table gives no
     rows. Ties in size go by key.
     """
     if capacity < 1:
@@ -133,9 +149,7 @@ def pack_documents(
         F.coalesce(F.col(cluster).cast("string"), F.concat(F.lit("alone:"), F.coalesce(F.col(key).cast("string"), F.uuid()))).alias("_cluster"),
         F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("n_tokens"),
     )
-    shards = max(1, -(-docs.count() // shard_docs))
-    dealt = rows.filter("n_tokens > 0").withColumn("_shard", F.pmod(F.xxhash64("_key", F.lit(11)), F.lit(shards)))
-    packed = dealt.groupBy("_shard").applyInPandas(_packer(capacity), _OUT)
+    packed = dealt(rows.filter("n_tokens > 0"), shard_docs).groupBy("_shard").applyInPandas(_packer(capacity), _OUT)
     empty = rows.filter("n_tokens <= 0").selectExpr(
         "_key", "0 as piece", "0L as start", "0L as n_tokens", "cast(null as bigint) as bin_id", "cast(null as bigint) as offset"
     )

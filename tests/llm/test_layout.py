@@ -172,6 +172,16 @@ def test_packing_keeps_every_token_and_no_conflicts(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_no_key_fills_a_shard(spark):
+    rows = [(None, f"s{i % 9}", f"c{i}", 5) for i in range(3000)] + [(7, f"s{i % 9}", f"d{i}", 9) for i in range(3000)] + [(i, "s", f"e{i}", 3) for i in range(100, 3100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, cluster string, n_tokens bigint").repartition(6)
+    named = docs.selectExpr("doc_id as _key", "source as _source", "cluster as _cluster", "n_tokens")
+    sizes = [r["count"] for r in packing.dealt(named, 300).groupBy("_shard").count().collect()]
+    assert sum(sizes) == 9000 and len(sizes) == 30 and max(sizes) < 450
+    got = packing.pack_documents(docs, capacity=64, shard_docs=300)
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got.collect()) == sorted((k or 0, n) for k, _, _, n in rows)
+
+
 # Mixing
 
 
