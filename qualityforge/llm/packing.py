@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualityforge import runtime
+from qualityforge.llm.staging import staged
 
 CAPACITY = 2048
 SHARD_DOCS = 2048
@@ -149,6 +150,8 @@ def pack_documents(
         F.coalesce(F.col(cluster).cast("string"), F.concat(F.lit("alone:"), F.coalesce(F.col(key).cast("string"), F.uuid()))).alias("_cluster"),
         F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("n_tokens"),
     )
+    # Sizes are counted once, and a lost executor finds the same rows again.
+    rows = staged(rows, "packing-rows")
     packed = dealt(rows.filter("n_tokens > 0"), shard_docs).groupBy("_shard").applyInPandas(_packer(capacity), _OUT)
     empty = rows.filter("n_tokens <= 0").selectExpr(
         "_key", "0 as piece", "0L as start", "0L as n_tokens", "cast(null as bigint) as bin_id", "cast(null as bigint) as offset"
