@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualityforge import runtime
-from qualityforge.operators import graph, normalize, sampling
+from qualityforge.operators import distinct, graph, normalize, sampling
 from qualityforge.operators.constraints import evaluate
 from qualityforge.plans.quality import ORDER_RULES, ORDER_TABLES, _sql_report
 from qualityforge.plans.registry import Lake, query, rounded
@@ -241,3 +241,29 @@ def dictionary_encode(lake: Lake) -> DataFrame:
 def copy_with_defaults(lake: Lake) -> DataFrame:
     events = lake.events.withColumn("event_type", F.expr("nullif(event_type, 'error')"))
     return normalize.copy_columns(events, ["event_id", "event_type", "version"], {"event_type": "n/a", "version": 1})
+
+
+# ------------------------------------------- distinct counts over stored runs
+
+_DISTINCT = ("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
+
+
+@query(
+    "distinct_across_runs",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS item, count({c}) AS n_rows, count(DISTINCT {c}) AS n_exact, true AS within_stated_error FROM lineitem" for c in _DISTINCT
+    ),
+)
+def distinct_across_runs(lake: Lake) -> DataFrame:
+    """Each return flag is a run of its own, the first one repeated; the union of the stored
+    sketches estimates the whole table, held against its exact counts."""
+    base = runtime.scratch_path(lake.spark, "distinct-runs")
+    for run, flag in enumerate(["A", "A", "N", "R"]):
+        part = lake.lineitem.filter(F.col("l_returnflag") == flag)
+        sketches = distinct.distinct_sketches(part, _DISTINCT)
+        reports.append_distinct(sketches, reports.RunMeta("lineitem", 0, 0, run_id=max(run, 1)), base)
+    exact = lake.lineitem.agg(*[F.count_distinct(c).alias(c) for c in _DISTINCT])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).alias("n_exact")) for c in _DISTINCT])))
+    found = reports.distinct_across(lake.spark, base).join(exact, "item")
+    near = F.abs(F.col("n_distinct") - F.col("n_exact")) <= distinct.stated_error() * F.col("n_exact")
+    return found.select("item", "n_rows", "n_exact", near.alias("within_stated_error"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualityforge.operators.constraints import run_verdict
+from qualityforge.operators.distinct import estimated, united
 from qualityforge.operators.fidelity import FidelityReport, overall_score
 from qualityforge.sources.tables import load_optional, table_path
 
 
 def _schema(ddl: str) -> T.StructType:
-    names = {"long": T.LongType(), "string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+    names = {"long": T.LongType(), "string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "binary": T.BinaryType()}
     return T.StructType([T.StructField(n, names[t]) for n, t in (c.split() for c in ddl.split(","))])
 
 
@@ -78,8 +79,11 @@ class RunMeta:
 
 
 # Statistics of a profile run, besides the published tables.
-PROFILE_TABLE = "profile_statistic"
-_TABLES = REPORT_TABLES | {PROFILE_TABLE: _schema("run_id long,statistic string,item string,measure string,value double")}
+PROFILE_TABLE, DISTINCT_TABLE = "profile_statistic", "distinct_sketch"
+_TABLES = REPORT_TABLES | {
+    PROFILE_TABLE: _schema("run_id long,statistic string,item string,measure string,value double"),
+    DISTINCT_TABLE: _schema("run_id long,item string,n_rows long,sketch binary"),
+}
 MANIFEST, ATTEMPT = "_manifest", "attempt"
 _MANIFEST_SCHEMA = _schema("run_id long,run_type string,attempt string,published_at double")
 
@@ -187,14 +191,33 @@ def append_fidelity_report(report: FidelityReport, meta: RunMeta, base: str) ->
     return _publish(report.summary.sparkSession, base, meta.stamped(), "FIDELITY", tables, verdict)
 
 
-def append_profile(statistics: DataFrame, meta: RunMeta, base: str) -> int:
-    """Append one profile run (statistic, item, measure, value); returns its run id."""
+def _append_unjudged(rows: DataFrame, table: str, meta: RunMeta, run_type: str, base: str) -> int:
+    """A run of one table that has neither verdict nor score."""
     empty = "passed boolean, overall_score double, overall_grade string"
 
     def verdict(_: Mapping[str, DataFrame]) -> DataFrame:
-        return statistics.sparkSession.createDataFrame([(None, None, None)], empty)
+        return rows.sparkSession.createDataFrame([(None, None, None)], empty)
+
+    return _publish(rows.sparkSession, base, meta.stamped(), run_type, {table: rows}, verdict)
+
+
+def append_profile(statistics: DataFrame, meta: RunMeta, base: str) -> int:
+    """Append one profile run (statistic, item, measure, value); returns its run id."""
+    return _append_unjudged(statistics, PROFILE_TABLE, meta, "PROFILE", base)
+
+
+def append_distinct(sketches: DataFrame, meta: RunMeta, base: str) -> int:
+    """Append the distinct-count sketches (item, n_rows, sketch) of one run; returns its run id."""
+    return _append_unjudged(sketches, DISTINCT_TABLE, meta, "DISTINCT", base)
+
 
-    return _publish(statistics.sparkSession, base, meta.stamped(), "PROFILE", {PROFILE_TABLE: statistics}, verdict)
+def distinct_across(spark: SparkSession, base: str, run_ids: Sequence[int] | None = None) -> DataFrame:
+    """(item, n_rows, n_distinct) over the published runs, or those of ``run_ids``: how
+    many values a column had in all of them together, without reading their tables again."""
+    stored = read_reports(spark, base, DISTINCT_TABLE)
+    if run_ids is not None:
+        stored = stored.filter(F.col("run_id").isin(list(run_ids)))
+    return estimated(united(stored))
 
 
 def read_exported(spark: SparkSession, path: str, table: str) -> DataFrame:
