@@ -38,6 +38,8 @@ PERCENT = 85
 _BITS = (16, 24)
 _CHUNK = 1 << 14
 _LANES = 1024
+# Posted tokens a posting remembers, by which most later meetings of a pair are told from its first.
+_BEFORE = 4
 # Bits of a set's signature: the parity of the tokens that hash to each.
 _SIGNATURE = 512
 
@@ -189,16 +191,19 @@ class PrefixJoin:
         self.postings = self._shared(postings)
 
     def _shared(self, postings: DataFrame) -> DataFrame:
-        """Postings (group, n, pos, token) that can lead to a partner, with ``most``.
+        """Postings (group, n, pos, token) that can lead to a partner, with ``most`` and the tokens ``before``.
 
-        A token that no other group posts leads nowhere. Two groups that qualify
+        A token that no other group posts leads nowhere; a group posts a token once, so
+        a count tells. Two groups that qualify
         have their first common token in both prefixes, so neither can have more in
         common with any other than what follows its first posted token: ``most``.
         Groups that fall short by that go.
         """
-        held = postings.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high")).filter("_low <> _high").select("token")
+        held = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_held")).filter("_held > 1").select("token")
         rows = postings.join(held, "token", "left_semi").select("group", "n", "pos", "token")
-        rows = rows.withColumn("most", F.col("n") - F.min("pos").over(W.partitionBy("group", "n")))
+        own = W.partitionBy("group").orderBy("pos")
+        rows = rows.withColumn("before", F.collect_list("token").over(own.rowsBetween(-_BEFORE, -1)))
+        rows = rows.withColumn("most", F.col("n") - F.first("pos").over(own))
         return staged(rows.filter(100 * F.col("most") >= self.percent * F.col("n")), "join-postings")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
@@ -249,6 +254,8 @@ class PrefixJoin:
         rows = staged(rows, "join-rest")
         # A pair across components has an end outside the token's main one.
         p, q = rows.filter("component <> main").alias("p"), rows.alias("q")
+        # A token shared before this one has brought the pair already, or refuted it.
+        fresh = ~F.arrays_overlap("p.before", "q.before")
         n1, n2 = F.col("p.n"), F.col("q.n")
         # A lone group is its one set; the signature of another stands for one of several.
         alike = ~(F.col("p.alone") & F.col("q.alone")) | _alike(self.percent, F.col("p.signature"), F.col("q.signature"), n1, n2)
@@ -256,7 +263,7 @@ class PrefixJoin:
         # Common tokens before this one are posted ones on either side.
         before = F.least(F.col("p.pos") - n1 + F.col("p.most"), F.col("q.pos") - n2 + F.col("q.most"))
         reach = _close(self.percent, n1, n2) & _enough(self.percent, F.least("p.most", "q.most", before + _tail()), n1, n2)
-        met = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & reach & alike)
+        met = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & fresh & reach & alike)
         pairs = self._bounded(met)
         one = members.select(F.col("group").alias("a"), F.col("class").alias("x"), F.col("component").alias("cx"))
         two = members.select(F.col("group").alias("b"), F.col("class").alias("y"), F.col("component").alias("cy"))
@@ -268,10 +275,10 @@ class PrefixJoin:
         return every.distinct()
 
     def _bounded(self, met: DataFrame) -> DataFrame:
-        """Group pairs (a, b) from all their shared prefix tokens, by size and position.
+        """Group pairs (a, b) from their first shared prefix tokens, by size and position.
 
         Before the first shared token nothing is shared, so the shorter tail from
-        there bounds the rest; up to the last one only the shared tokens are.
+        there bounds the rest.
         """
         flip = F.col("p.group") > F.col("q.group")
         pairs = met.select(
@@ -281,8 +288,8 @@ class PrefixJoin:
             F.when(flip, F.col("p.n")).otherwise(F.col("q.n")).alias("nb"),
             _tail().alias("tail"),
         )
-        bounds = pairs.groupBy("a", "b", "na", "nb").agg(F.max("tail").alias("first"), F.min("tail").alias("last"), F.count(F.lit(1)).alias("shared"))
-        common = F.least("first", F.col("shared") - 1 + F.col("last"), F.when(F.col("na") == F.col("nb"), F.col("na") - 1))
+        bounds = pairs.groupBy("a", "b", "na", "nb").agg(F.max("tail").alias("first"))
+        common = F.least("first", F.when(F.col("na") == F.col("nb"), F.col("na") - 1))
         return bounds.filter(_enough(self.percent, common, F.col("na"), F.col("nb"))).select("a", "b")
 
     def result(self) -> DataFrame:
