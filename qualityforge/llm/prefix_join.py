@@ -7,9 +7,10 @@ share a token, so
 
 1. equal sets collapse into a class, and classes with the same prefix and size
    into a group, which stands in the inverted index once;
-2. group pairs sharing a token are filtered by size and position, and by 512-bit
-   parity signatures, whose differing bits never exceed the differing tokens;
-3. the pairs are expanded to their members and verified on whole texts.
+2. group pairs sharing a token are filtered by size and position; a pair comes out
+   where it first meets, since a posting knows the tokens before it;
+3. the pairs are expanded to their members, filtered by 512-bit parity signatures, whose
+   differing bits never exceed the differing tokens, and verified on whole texts.
 
 The wanted result is the components of all links, so links inside a component
 already found need no proof. Step 2 and 3 run twice: first every group against
@@ -39,7 +40,9 @@ _BITS = (16, 24)
 _CHUNK = 1 << 14
 _LANES = 1024
 # Posted tokens a posting remembers, by which most later meetings of a pair are told from its first.
-_BEFORE = 4
+_BEFORE = 2
+# Tokens of a lower frequency class have fewer than 2 ** 19.5 documents.
+_HOT_CLASS = 39
 # Bits of a set's signature: the parity of the tokens that hash to each.
 _SIGNATURE = 512
 
@@ -183,24 +186,28 @@ class PrefixJoin:
         grouping = F.xxhash64("n", "prefix")
         known = self.sets.filter("n > 0 and key is not null").select("key", "n", "d1", "d2", grouping.alias("g"), F.hash("prefix").alias("g2"))
         self.classes = known.groupBy("n", "d1", "d2", "g", "g2").agg(F.min("key").alias("class"))
-        groups = self.classes.groupBy("n", "g", "g2").agg(F.min("class").alias("group"), (F.count(F.lit(1)) == 1).alias("alone"))
-        self.members = staged(self.classes.join(groups, ["n", "g", "g2"]).select("group", "class", "n", "d1", "d2", "alone"), "join-members")
+        groups = self.classes.groupBy("n", "g", "g2").agg(F.min("class").alias("group"))
+        self.members = staged(self.classes.join(groups, ["n", "g", "g2"]).select("group", "class", "n", "d1", "d2"), "join-members")
         # Each group posts its prefix once, through the document that names it.
         posted = self.sets.join(self.members.filter("group = class").select("group", "n", "d1", "d2"), ["n", "d1", "d2"]).filter("key = group")
-        postings = posted.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
+        postings = posted.select("group", "n", F.posexplode("prefix").alias("pos", "token")).select("group", "n", "token", "pos")
         self.postings = self._shared(postings)
 
     def _shared(self, postings: DataFrame) -> DataFrame:
         """Postings (group, n, pos, token) that can lead to a partner, with ``most`` and the tokens ``before``.
 
         A token that no other group posts leads nowhere; a group posts a token once, so
-        a count tells. Two groups that qualify
+        a count tells. The frequency class bounds the rows of most tokens, which are
+        counted where they meet; hot ones are counted before they are shuffled. Two groups that qualify
         have their first common token in both prefixes, so neither can have more in
         common with any other than what follows its first posted token: ``most``.
         Groups that fall short by that go.
         """
-        held = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_held")).filter("_held > 1").select("token")
-        rows = postings.join(held, "token", "left_semi").select("group", "n", "pos", "token")
+        hot = F.shiftrightunsigned("token", 58) >= _HOT_CLASS
+        cold = postings.filter(~hot).withColumn("_held", F.count(F.lit(1)).over(W.partitionBy("token"))).filter("_held > 1").drop("_held")
+        often = postings.filter(hot)
+        held = often.groupBy("token").agg(F.count(F.lit(1)).alias("_held")).filter("_held > 1").select("token")
+        rows = cold.unionByName(often.join(held, "token", "left_semi"))
         own = W.partitionBy("group").orderBy("pos")
         rows = rows.withColumn("before", F.collect_list("token").over(own.rowsBetween(-_BEFORE, -1)))
         rows = rows.withColumn("most", F.col("n") - F.first("pos").over(own))
@@ -244,26 +251,23 @@ class PrefixJoin:
         """All remaining candidate pairs of classes, which lie in different components."""
         found = labels.select(F.col("id").alias("class"), "component")
         members = self.members.join(found, "class", "left")
-        members = staged(members.select("group", "class", "n", "alone", F.coalesce("component", "class").alias("component")), "join-placed")
-        held = members.select("group", "component", "alone").distinct()
+        members = staged(members.select("group", "class", "n", F.coalesce("component", "class").alias("component")), "join-placed")
+        held = members.select("group", "component").distinct()
         rows = self.postings.join(held, "group")
         kinds = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
         main = kinds.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-        marks = self.sets.select(F.col("key").alias("group"), "n", "signature").join(held.select("group").distinct(), "group", "left_semi")
-        rows = rows.join(main.drop("m"), "token").join(marks.dropDuplicates(["group", "n"]), ["group", "n"])
+        rows = rows.join(main.drop("m"), "token")
         rows = staged(rows, "join-rest")
         # A pair across components has an end outside the token's main one.
         p, q = rows.filter("component <> main").alias("p"), rows.alias("q")
         # A token shared before this one has brought the pair already, or refuted it.
         fresh = ~F.arrays_overlap("p.before", "q.before")
         n1, n2 = F.col("p.n"), F.col("q.n")
-        # A lone group is its one set; the signature of another stands for one of several.
-        alike = ~(F.col("p.alone") & F.col("q.alone")) | _alike(self.percent, F.col("p.signature"), F.col("q.signature"), n1, n2)
         apart = (F.col("p.component") != F.col("q.component")) & ((F.col("q.component") == F.col("q.main")) | (F.col("p.group") < F.col("q.group")))
         # Common tokens before this one are posted ones on either side.
         before = F.least(F.col("p.pos") - n1 + F.col("p.most"), F.col("q.pos") - n2 + F.col("q.most"))
         reach = _close(self.percent, n1, n2) & _enough(self.percent, F.least("p.most", "q.most", before + _tail()), n1, n2)
-        met = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & fresh & reach & alike)
+        met = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & fresh & reach)
         pairs = self._bounded(met)
         one = members.select(F.col("group").alias("a"), F.col("class").alias("x"), F.col("component").alias("cx"))
         two = members.select(F.col("group").alias("b"), F.col("class").alias("y"), F.col("component").alias("cy"))

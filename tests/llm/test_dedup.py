@@ -122,6 +122,30 @@ def test_prefix_join_of_one_large_near_group(spark):
     assert got == {i: v[1] for i, v in jaccard_plain(rows).items()}
 
 
+@pytest.mark.parametrize("hot", [0, 3, 64])
+def test_tokens_counted_either_way_give_the_same_links(spark, monkeypatch, hot):
+    """All tokens hot, those of two documents and more, none."""
+    monkeypatch.setattr(prefix_join, "_HOT_CLASS", hot)
+    rows = near_texts(3)
+    got = prefix_join.jaccard_components(documents(spark, rows).repartition(5))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == jaccard_plain(rows)
+
+
+@pytest.mark.parametrize("own", [2, 6, 9, 12])
+def test_prefix_join_of_groups_around_the_limit(spark, own):
+    """Pairs that share most of their prefixes, and reach the limit or just miss it."""
+    rng = random.Random(own)
+    rows = []
+    for i in range(70):
+        words = [f"v{j}" for j in range(240)]
+        for j in rng.sample(range(240), rng.randint(0, own)):
+            # A few spellings each, so that replaced words are shared as well.
+            words[j] = f"w{j}_{rng.randrange(3)}"
+        rows.append((i, " ".join(words)))
+    got = prefix_join.jaccard_components(documents(spark, rows).repartition(3))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == jaccard_plain(rows)
+
+
 def test_prefix_join_with_odd_rows(spark):
     got = sorted((tuple(r) for r in prefix_join.jaccard_components(documents(spark, ODD)).collect()), key=repr)
     want = jaccard_plain([r for r in ODD if r[0] is not None])
