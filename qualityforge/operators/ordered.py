@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 
 from qualityforge import runtime
 
+# More buckets than this pay only where they would otherwise be hot themselves:
+# each costs a task, a file and a row of carry.
+MOST_BUCKETS = 256
+
 
 @dataclass(frozen=True)
 class Skew:
-    """How hot groups are found: ``rows`` is the most that one task should get of a group.
+    """How hot groups are found: groups of at least ``rows`` rows are cut, into buckets of
+    about half of that, or larger ones where these would be more than ``MOST_BUCKETS``.
 
     ``enabled=False`` skips the probe when group sizes are bounded by
     construction; ``known`` reuses an earlier probe (of the same or more rows).
@@ -65,11 +70,18 @@ class _Series:
         return W.partitionBy(*self.group).orderBy("__b")
 
 
+def _buckets(n: int, rows: int) -> int:
+    """Buckets for ``n`` rows of hot groups: of half of ``rows``, at most MOST_BUCKETS, but never
+    of more than half of what is too heavy for one task."""
+    wanted = math.ceil(2 * n / rows)
+    return max(2, min(wanted, max(MOST_BUCKETS, math.ceil(2 * n / runtime.HOT_ROWS))))
+
+
 def _series(df: DataFrame, group: list[str], order: list[str], value: str, skew: Skew) -> _Series:
     """Split ``df`` (plus ``__g*`` and ``__v``) into ordinary and hot groups.
 
-    Buckets hold about half of ``skew.rows``; rows equal in all order columns
-    share one. The bucketed rows are pinned, because range cuts come from a sample
+    Buckets hold about half of ``skew.rows``, or more where `_buckets` says so; rows
+    equal in all order columns share one. The bucketed rows are pinned, because range cuts come from a sample
     and must be the same for the rows and for their carry.
     """
     names = [f"__g{i}" for i in range(len(group))]
@@ -79,7 +91,7 @@ def _series(df: DataFrame, group: list[str], order: list[str], value: str, skew:
         return _Series(df, None, names, list(order))
     tagged = df.withColumn("__gh", F.xxhash64(*names))
     keys = runtime.checked_broadcast(hot.select(F.col("h").alias("__gh")))
-    parts = max(2, math.ceil(2 * hot.agg(F.sum("n")).first()[0] / skew.rows))
+    parts = _buckets(hot.agg(F.sum("n")).first()[0], skew.rows)
     heavy = tagged.join(keys, "__gh", "left_semi").repartitionByRange(parts, "__gh", *order)
     heavy = runtime.pin(heavy.withColumn("__b", F.spark_partition_id()))
     return _Series(tagged.join(keys, "__gh", "left_anti"), heavy, names, list(order))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qualityforge import runtime
+from qualityforge.operators import ordered
 from qualityforge.operators.ordered import Skew, not_increasing, strict_prefix_maxima, with_previous
 
 PLAIN = Skew(enabled=False)
@@ -153,3 +154,16 @@ def test_hand_made_series(spark, series, one_pass, fixpoint):
     assert flagged == one_pass
     kept = [r["y"] for r in strict_prefix_maxima(df, ["g"], ["x", "id"], "y").orderBy("id").collect()]
     assert kept == fixpoint
+
+
+def test_buckets_stay_few_while_they_are_not_hot_themselves(spark, monkeypatch):
+    rows = [(i, 7, float(i % 50), float(i * 7 % 1000)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, g long, x double, v double").repartition(4)
+    skew = Skew(rows=2)
+    cut = ordered._series(df, ["g"], ["x", "id"], "v", skew).hot
+    assert 1 < cut.select("__b").distinct().count() <= cut.rdd.getNumPartitions() <= ordered.MOST_BUCKETS
+    assert {r["id"]: r["previous"] for r in with_previous(df, ["g"], ["x", "id"], "v", skew=skew).collect()} == previous(rows)
+    assert sorted(r["id"] for r in strict_prefix_maxima(df, ["g"], ["x", "id"], "v", skew).collect()) == loop_survivors(rows)
+    # Buckets that would be hot are cut further, whatever their number.
+    monkeypatch.setattr(runtime, "HOT_ROWS", 10)
+    assert ordered._buckets(3000, 2) == 600
