@@ -109,7 +109,8 @@ def keyed_wide(lake: Lake) -> DataFrame:
     items = F.transform(F.sequence(F.lit(0), F.lit(1099)), lambda j: F.struct(j.cast("long").alias("v"), F.lit(1.0).alias("w")))
     drawn = CUSTOMER.sample_without_replacement("many", items, "w", 1)
     a, b = (CUSTOMER.beta_int("wide", 70, 80, i) for i in (0, 1))
-    return rounded(lake.customer.select("c_custkey", a.alias("a"), b.alias("b"), drawn[0]["v"].alias("first")))
+    customers = synth.spread(lake.customer.select("c_custkey"), "c_custkey")
+    return rounded(customers.select("c_custkey", a.alias("a"), b.alias("b"), drawn[0]["v"].alias("first")))
 
 
 @query("weighted_choice", f"SELECT c_custkey, {_sql_choice(_cu('seg'), SEGMENTS)} AS tier FROM customer")

@@ -423,7 +423,9 @@ def recipe_groups(ids: DataFrame, group_id: str = "recipe_group_id", seed: int =
             F.arrays_zip(F.slice("temps", 1, F.size("conds")).alias("t"), F.col("conds").alias("c")),
             lambda p: F.struct(p["t"].alias("operating_temperature"), p["c"].alias("conductivity")),
         ).alias("points"),
-        F.size("conds").alias("n_points"),
+        # The repair keeps every point unless it is strict, so that tables without a
+        # conductivity need not compute any.
+        F.size("conds" if strict else "temps").alias("n_points"),
         F.transform(
             "dopants",
             lambda d: F.struct(

@@ -170,3 +170,28 @@ def test_independent_of_partitioning(spark):
 def test_strict_series_pass_everything(spark):
     tables = {**G.generate(spark, 3000, partitions=4, strict=True), **Z.dictionaries(spark)}
     assert all(r["passed"] for r in Z.validate(tables).collect())
+
+
+def test_a_draw_hashes_the_places_that_are_not_null(spark):
+    df = spark.createDataFrame([(5, "a", 2), (None, "b", None), (7, None, 3)], "k long, s string, i int")
+    text = F.concat_ws(":", F.lit("3"), F.lit("x"), F.col("k").cast("string"), F.col("s"), F.col("i").cast("string"), F.lit("4"))
+    plain = (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") + 0.5) / 2.0**32
+    k = Keyed(("k", "s"), 3)
+    drawn = df.select(plain.alias("a"), k.uniform("x", F.col("i"), 4).alias("b"), k._uniforms("x", 5, F.col("i"))[4].alias("c"))
+    assert all(r["a"] == r["b"] == r["c"] for r in drawn.collect())
+    plan = drawn._jdf.queryExecution().analyzed().toString()
+    assert plan.count("concat_ws") == 1
+
+
+def test_wide_draws_use_every_core(spark, tmp_path):
+    from qualityforge.plans import generation, registry
+
+    spark.range(40).selectExpr("id as c_custkey").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    out = generation.keyed_wide(registry.Lake(spark, str(tmp_path)))
+    assert "Exchange hashpartitioning(c_custkey" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_children_of_a_recipe_need_no_conductivity(spark):
+    tables = G.expand(G.recipe_groups(spark.range(3).withColumnRenamed("id", "recipe_group_id")))
+    for name in ("sample_dopants", "sintering_steps", "sample_crystal_phases"):
+        assert "cond/" not in tables[name]._jdf.queryExecution().optimizedPlan().toString()
