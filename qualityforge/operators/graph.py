@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,16 +84,60 @@ def cascade(tables: Tables, keys: Sequence[ForeignKey], kept: Tables, cycles: bo
 
 
 def _settled(tables: dict[str, DataFrame], keys: Sequence[ForeignKey]) -> dict[str, DataFrame]:
-    """Apply keys within a cycle until no table loses a row."""
-    tables = {n: runtime.pin(df) for n, df in tables.items()}
-    rows = {n: df.count() for n, df in tables.items()}
-    while True:
+    """Apply keys within a cycle until no table loses a row.
+
+    Rows are numbered and written once. A round asks only for the references to keys that the
+    last one lost, by a shuffle unless these are few, so that what reaches the driver does not
+    grow with the tables.
+    """
+    rows = {n: runtime.pin(df.withColumn("__row", F.monotonically_increasing_id())) for n, df in tables.items()}
+    ids = {k: rows[k.parent].select(F.col(k.key).alias("__to")) for k in keys}
+    refs = {k: rows[k.child].select("__row", F.col(k.column).alias("__to")) for k in keys}
+    # A key that several rows have is lost with the last of them.
+    repeated = {k: not ids[k].filter("__to is not null").groupBy("__to").count().filter("count > 1").isEmpty() for k in keys}
+    gone: dict[str, list[DataFrame]] = {n: [] for n in tables}
+
+    def left(n: str, some: DataFrame) -> DataFrame:
+        for past in gone[n]:
+            some = some.join(past.hint("merge"), "__row", "left_anti")
+        return some
+
+    def lose(hits: dict[ForeignKey, DataFrame]) -> dict[str, DataFrame]:
+        new = {}
+        for n in {k.child for k in hits}:
+            found = [hit for k, hit in hits.items() if k.child == n]
+            # With one key within the cycle a row's reference is lost only once.
+            once = sum(k.child == n for k in keys) == 1
+            some = reduce(DataFrame.union, found)
+            some = runtime.pin(some if once else left(n, some.distinct()))
+            if not some.isEmpty():
+                new[n] = some
+        for n, some in new.items():
+            # Long chains would otherwise make long plans.
+            gone[n].append(some)
+            if len(gone[n]) > 8:
+                gone[n] = [runtime.pin(reduce(DataFrame.union, gone[n]))]
+        return new
+
+    def first(k: ForeignKey) -> DataFrame:
+        orphans = refs[k].filter("__to is not null").join(ids[k].distinct().hint("merge"), "__to", "left_anti").select("__row")
+        return orphans.union(refs[k].filter("__to is null").select("__row")) if k.required else orphans
+
+    new = lose({k: first(k) for k in keys})
+    while new:
+        hits = {}
         for k in keys:
-            tables[k.child] = runtime.pin(_followed(tables[k.child], k, tables[k.parent]))
-        now = {n: df.count() for n, df in tables.items()}
-        if now == rows:
-            return tables
-        rows = now
+            if k.parent in new:
+                lost = rows[k.parent].join(new[k.parent].hint("merge"), "__row", "left_semi").select(F.col(k.key).alias("__to")).filter("__to is not null")
+                if repeated[k]:
+                    lost = lost.distinct()
+                    same = rows[k.parent].select("__row", F.col(k.key).alias("__to")).join(lost.hint("merge"), "__to", "left_semi")
+                    lost = lost.join(left(k.parent, same).select("__to").hint("merge"), "__to", "left_anti")
+                lost = runtime.pin(lost)
+                side = F.broadcast(lost) if runtime.fits_broadcast(lost) else lost.hint("merge")
+                hits[k] = refs[k].join(side, "__to", "left_semi").select("__row")
+        new = lose(hits)
+    return {n: left(n, df).drop("__row") for n, df in rows.items()}
 
 
 def graph_sample(tables: Tables, keys: Sequence[ForeignKey], root: str, column: str, ratio: float, seed: int = 0) -> dict[str, DataFrame]:

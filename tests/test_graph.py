@@ -55,3 +55,23 @@ def test_cycles_are_followed_to_the_end_or_refused(spark):
     assert ids(out["x"]) == [] and ids(out["y"]) == [7]
     with pytest.raises(ValueError, match="cycle"):
         cascade(two, both, {"x": two["x"]}, cycles=False)
+
+
+def test_a_cycle_keeps_what_a_repeated_key_still_backs(spark, monkeypatch):
+    from qualityforge.operators import graph
+
+    rows = [(1, None, 0), (1, 9, 1), (2, 1, 2), (3, 2, 3), (4, 5, 4), (5, 4, 5), (None, 3, 6), (6, None, 7), (7, 6, 8)]
+    t = spark.createDataFrame(rows, "id int, up int, n int")
+    of = lambda df: sorted(r["n"] for r in df.collect())
+    monkeypatch.setattr(graph, "restrict_children", None)
+    keys = [Key("t", "up", "t", "id")]
+    # 9 never was there, but the other row of 1 stays; 4 and 5 hold each other.
+    assert of(cascade({"t": t}, keys, {"t": t.filter("n <> 7")})["t"]) == [0, 2, 3, 4, 5, 6]
+    assert of(cascade({"t": t}, keys, {"t": t.filter("n <> 0")})["t"]) == [4, 5, 7, 8]
+    needed = [Key("t", "up", "t", "id", required=True)]
+    assert of(cascade({"t": t}, needed, {"t": t})["t"]) == [4, 5]
+
+
+def test_a_long_chain_ends(spark):
+    t = spark.createDataFrame([(i, i - 1 if i else None) for i in range(25)], "id int, up int")
+    assert ids(cascade({"t": t}, [Key("t", "up", "t", "id")], {"t": t.filter("id <> 3")})["t"]) == [0, 1, 2]
