@@ -27,11 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualityforge.llm import kernel as K
+from qualityforge.llm.staging import staged
 from qualityforge.llm.wordcache import WordCache
 
 ORDER = 4
-# Documents that the calibration is fitted on.
-CALIBRATION_DOCS = 2000
+# Steps of the calibration's fit at most, each one aggregation.
+_STEPS = 50
 # Distinct words a counting task holds before it hands on its counts.
 _HELD = 300_000
 _UNKNOWN = 1e-5
@@ -275,7 +276,7 @@ def _predict(batches, shared):
 
 def train(docs: DataFrame, key: str, text: str, lang: str, learn: Column, calibrate: Column) -> Model:
     """Count the rows of ``docs`` for which ``learn`` holds and a language is given; calibrate
-    on at most CALIBRATION_DOCS rows for which ``calibrate`` holds (the first by hash of the key)."""
+    on all of those for which ``calibrate`` holds."""
     spark = docs.sparkSession
     rows = docs.filter(F.col(lang).isNotNull())
     named = [F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")]
@@ -286,37 +287,56 @@ def train(docs: DataFrame, key: str, text: str, lang: str, learn: Column, calibr
         return Model([], [], [], [], [])
     model = build({name: (part["gram"].to_numpy(np.int64).astype(np.uint64), part["n"].to_numpy(np.int64)) for name, part in found.groupby("lang")})
     model.limit = np.full(len(model.langs), np.inf)
-    keys = rows.filter(calibrate).select(F.col(key).cast("bigint").alias("key")).orderBy(F.md5(F.col(key).cast("string")), "key").limit(CALIBRATION_DOCS).distinct()
     shared = spark.sparkContext.broadcast(model)
-    sample = rows.select(*named).join(F.broadcast(keys), "key")
-    probe = sample.mapInArrow(K.task(_probe, shared), "key bigint, best bigint, entropy double, evidence double, right boolean").toPandas()
-    return calibrated(model, probe.sort_values(["key", "entropy"]))
+    probe = rows.filter(calibrate).select(*named).mapInArrow(K.task(_probe, shared), "key bigint, best bigint, entropy double, evidence double, right boolean")
+    return calibrated(model, staged(probe, "kn-probe"))
 
 
-def calibrated(model: Model, probe) -> Model:
+def calibrated(model: Model, probe: DataFrame) -> Model:
     """Fit the score to (evidence, right) by smoothed logistic regression, and each
-    language's limit to the highest cross-entropy of its own documents plus a tenth."""
-    if not len(probe):
+    language's limit to the highest cross-entropy of its own documents plus a tenth.
+
+    All rows take part; the driver receives sums, and quantiles whose rank is within 1/10,000.
+    """
+    kinds = probe.groupBy("best").agg(F.count(F.lit(1)).alias("n"), F.count_if("right").alias("right")).collect()
+    if not kinds:
         return model
-    x, right = probe["evidence"].to_numpy(), probe["right"].to_numpy(bool)
-    high, low = (right.sum() + 1) / (right.sum() + 2), 1 / ((~right).sum() + 2)
-    y = np.where(right, high, low)
-    scale = max(float(np.median(x)), 1e-9)
-    design = np.column_stack([x / scale, np.ones(len(x))])
+    n, right = sum(r["n"] for r in kinds), sum(r["right"] for r in kinds)
+    high, low = (right + 1) / (right + 2), 1 / (n - right + 2)
+    own = {r["best"]: r["right"] for r in kinds if r["right"] >= 20}
+    mine = lambda k: F.when(F.col("right") & (F.col("best") == k), F.col("entropy"))
+    ends = [_around(F.col("evidence"), n, 0.5), *[_around(mine(k), m, 0.995) for k, m in own.items()]]
+    mid, *most = [_between(e, m, q) for e, m, q in zip(probe.agg(*ends).first(), (n, *own.values()), (0.5, *[0.995] * len(own)))]
+    scale = max(mid, 1e-9)
+    x, y = F.col("evidence") / scale, F.when(F.col("right"), high).otherwise(low)
     theta = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ theta, -30, 30)))
-        hessian = design.T @ (design * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
-        theta -= np.linalg.solve(hessian, design.T @ (p - y) + 1e-3 * theta)
-    model.slope, model.level = max(0.0, theta[0] / scale), theta[1]
-    best, entropy = probe["best"].to_numpy(), probe["entropy"].to_numpy()
-    for k in range(len(model.langs)):
-        own = entropy[right & (best == k)]
-        if len(own) >= 20:
-            model.limit[k] = 1.1 * np.quantile(own, 0.995)
+    for _ in range(_STEPS):
+        at = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x * float(theta[0]) + float(theta[1])))
+        fitted = probe.select(x.alias("x"), y.alias("y"), (1 / (1 + F.exp(-at))).alias("p"))
+        w, off = F.expr("p * (1 - p)"), F.expr("p - y")
+        sums = fitted.agg(*[F.sum(c) for c in (w * F.col("x") * F.col("x"), w * F.col("x"), w, off * F.col("x"), off)]).first()
+        hessian = np.array([[sums[0], sums[1]], [sums[1], sums[2]]]) + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hessian, np.array(sums[3:]) + 1e-3 * theta)
+        theta -= step
+        if np.abs(step).max() < 1e-10:
+            break
+    # The order of summing shows in the last digits only.
+    model.slope, model.level = (float(f"{v:.12g}") for v in (max(0.0, theta[0] / scale), theta[1]))
+    for k, top in zip(own, most):
+        model.limit[k] = 1.1 * top
     return model
 
 
+def _around(value: Column, n: int, q: float) -> Column:
+    """The two of ``n`` values between which their ``q`` quantile lies."""
+    at = q * (n - 1)
+    return F.percentile_approx(value, [(int(at) + 0.5) / n, (int(np.ceil(at)) + 0.5) / n], 10000)
+
+
+def _between(ends: list[float], n: int, q: float) -> float:
+    return ends[0] + (ends[1] - ends[0]) * (q * (n - 1) % 1)
+
+
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score, cross_entropy, rejected) for every row.
 

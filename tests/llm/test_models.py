@@ -206,6 +206,32 @@ def test_a_rare_language_keeps_all_its_ngrams_beside_a_hot_one(spark, monkeypatc
     assert {r.lang_pred for r in kn_language.predict(docs.filter("doc_id = 100"), model).collect()} == {"de"}
 
 
+def test_language_scores_are_calibrated_on_every_row(spark, monkeypatch):
+    """By the same fit in numpy; quantiles of this many rows are exact."""
+    seen = []
+    monkeypatch.setattr(kn_language, "calibrated", lambda model, probe: seen.append(probe.count() if hasattr(probe, "count") and hasattr(probe, "sparkSession") else len(probe)) or model)
+    docs = documents(spark, [(i, "the cat" if i % 2 else "die Katze") for i in range(2100)])
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "en").otherwise("de"))
+    kn_language.train(docs, "doc_id", "text", "lang", F.lit(True), F.lit(True))
+    assert seen == [2100]
+    monkeypatch.undo()
+    rng = np.random.default_rng(5)
+    x, best = rng.gamma(2.0, 2.0, 2501), rng.integers(0, 3, 2501)
+    right, entropy = rng.random(2501) < 1 / (1 + np.exp(2 - x)), rng.normal(2, 0.3, 2501)
+    right[best == 2] = False
+    probe = spark.createDataFrame([(i, *r) for i, r in enumerate(zip(best.tolist(), entropy.tolist(), x.tolist(), right.tolist()))], "key long, best long, entropy double, evidence double, right boolean")
+    model = kn_language.Model(["a", "b", "c"], [], [], [], [], limit=np.full(3, np.inf))
+    kn_language.calibrated(model, probe)
+    scale, y = np.median(x), np.where(right, (right.sum() + 1) / (right.sum() + 2), 1 / ((~right).sum() + 2))
+    design, theta = np.column_stack([x / scale, np.ones(len(x))]), np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-design @ theta))
+        theta -= np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), design.T @ (p - y) + 1e-3 * theta)
+    np.testing.assert_allclose([model.slope, model.level], [theta[0] / scale, theta[1]], rtol=1e-9)
+    np.testing.assert_allclose(model.limit[:2], [1.1 * np.quantile(entropy[right & (best == k)], 0.995) for k in (0, 1)], rtol=1e-12)
+    assert np.isinf(model.limit[2])
+
+
 # Toxicity
 
 
