@@ -7,10 +7,11 @@ share a token, so
 
 1. equal sets collapse into a class, and classes with the same prefix and size
    into a group, which stands in the inverted index once;
-2. group pairs sharing a token are filtered by size and position; a pair comes out
-   where it first meets, since a posting knows the tokens before it;
-3. the pairs are expanded to their members, filtered by 512-bit parity signatures, whose
-   differing bits never exceed the differing tokens, and verified on whole texts.
+2. group pairs sharing a token are filtered by size, position and 512-bit parity
+   signatures of what follows it, whose differing bits never exceed the differing tokens;
+   a pair comes out where it first meets, since a posting knows the tokens before it;
+3. the pairs are expanded to their members, filtered by signatures of the whole sets,
+   and verified on whole texts.
 
 The wanted result is the components of all links, so links inside a component
 already found need no proof. Step 2 and 3 run twice: first every group against
@@ -162,10 +163,24 @@ def _enough(percent: int, common: Column, n1: Column, n2: Column) -> Column:
     return (100 + percent) * common >= percent * (n1 + n2)
 
 
-def _alike(percent: int, s1: Column, s2: Column, n1: Column, n2: Column) -> Column:
-    """Whether signatures allow the threshold: they differ in at most as many bits as the sets in tokens."""
+def _alike(percent: int, s1: Column, s2: Column, n1: Column, n2: Column, t1: Column | None = None, t2: Column | None = None) -> Column:
+    """Whether signatures allow the threshold: they differ in at most as many bits as the sets in tokens.
+
+    If all common tokens lie in parts of the sets, ``t1`` and ``t2`` are the sizes of these parts and the signatures theirs.
+    """
     differing = sum((F.bit_count(s1[i].bitwiseXOR(s2[i])) for i in range(_SIGNATURE // 64)), F.lit(0))
-    return _enough(percent, F.floor((n1 + n2 - differing) / 2), n1, n2)
+    t1, t2 = n1 if t1 is None else t1, n2 if t2 is None else t2
+    return _enough(percent, F.floor((t1 + t2 - differing) / 2), n1, n2)
+
+
+def _without(signature: Column, tokens: Column) -> Column:
+    """The signature of a set after some of its tokens are taken out."""
+
+    def word(bits: Column, w: Column) -> Column:
+        inside = F.filter(tokens, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(_SIGNATURE // 64 - 1)) == w)
+        return F.aggregate(inside, bits, lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int"))))
+
+    return F.transform(signature, word)
 
 
 def _tail() -> Column:
@@ -194,14 +209,15 @@ class PrefixJoin:
         self.postings = self._shared(postings)
 
     def _shared(self, postings: DataFrame) -> DataFrame:
-        """Postings (group, n, pos, token) that can lead to a partner, with ``most`` and the tokens ``before``.
+        """Postings (group, n, pos, token) that can lead to a partner, with ``own``, ``most`` and the tokens ``before``.
 
         A token that no other group posts leads nowhere; a group posts a token once, so
         a count tells. The frequency class bounds the rows of most tokens, which are
         counted where they meet; hot ones are counted before they are shuffled. Two groups that qualify
         have their first common token in both prefixes, so neither can have more in
         common with any other than what follows its first posted token: ``most``.
-        Groups that fall short by that go.
+        Groups that fall short by that go. ``own`` counts the tokens of the prefix that
+        no other group posts.
         """
         hot = F.shiftrightunsigned("token", 58) >= _HOT_CLASS
         cold = postings.filter(~hot).withColumn("_held", F.count(F.lit(1)).over(W.partitionBy("token"))).filter("_held > 1").drop("_held")
@@ -211,6 +227,8 @@ class PrefixJoin:
         own = W.partitionBy("group").orderBy("pos")
         rows = rows.withColumn("before", F.collect_list("token").over(own.rowsBetween(-_BEFORE, -1)))
         rows = rows.withColumn("most", F.col("n") - F.first("pos").over(own))
+        prefix = F.col("n") - F.floor((self.percent * F.col("n") + 99) / 100) + 1
+        rows = rows.withColumn("own", prefix - F.count(F.lit(1)).over(W.partitionBy("group")))
         return staged(rows.filter(100 * F.col("most") >= self.percent * F.col("n")), "join-postings")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
@@ -234,7 +252,7 @@ class PrefixJoin:
         band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / self.percent))
         rows = self.postings.withColumn("band", band)
         # The group with fewest tokens of its own is likeliest to be near the others.
-        central = F.struct((F.col("n") - F.col("most")).alias("own"), "group")
+        central = F.struct("own", "group")
         firsts = rows.groupBy("token", "band").agg(F.min_by(F.struct("group", "n", "most"), central).alias("first"))
         met = rows.join(firsts, ["token", "band"]).filter("group <> first.group")
         common = F.least(F.col("most"), F.col("first.most"))
@@ -257,16 +275,16 @@ class PrefixJoin:
         kinds = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
         main = kinds.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("m")).filter("m > 1")
         rows = rows.join(main.drop("m"), "token")
-        rows = staged(rows, "join-rest")
+        rows = staged(self._with_tails(rows), "join-rest")
         # A pair across components has an end outside the token's main one.
         p, q = rows.filter("component <> main").alias("p"), rows.alias("q")
         # A token shared before this one has brought the pair already, or refuted it.
         fresh = ~F.arrays_overlap("p.before", "q.before")
         n1, n2 = F.col("p.n"), F.col("q.n")
         apart = (F.col("p.component") != F.col("q.component")) & ((F.col("q.component") == F.col("q.main")) | (F.col("p.group") < F.col("q.group")))
-        # Common tokens before this one are posted ones on either side.
-        before = F.least(F.col("p.pos") - n1 + F.col("p.most"), F.col("q.pos") - n2 + F.col("q.most"))
-        reach = _close(self.percent, n1, n2) & _enough(self.percent, F.least("p.most", "q.most", before + _tail()), n1, n2)
+        # At the first token that two groups share, all they have in common is still to come.
+        tails = _alike(self.percent, F.col("p.signature"), F.col("q.signature"), n1, n2, n1 - F.col("p.pos"), n2 - F.col("q.pos"))
+        reach = _close(self.percent, n1, n2) & _enough(self.percent, _tail(), n1, n2) & tails
         met = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & fresh & reach)
         pairs = self._bounded(met)
         one = members.select(F.col("group").alias("a"), F.col("class").alias("x"), F.col("component").alias("cx"))
@@ -278,6 +296,13 @@ class PrefixJoin:
         every = expanded.union(inner).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b")
         return every.distinct()
 
+    def _with_tails(self, rows: DataFrame) -> DataFrame:
+        """Postings with the ``signature`` of their group's tokens from the posted one on."""
+        rows = staged(rows, "join-bridges")
+        held = runtime.checked_broadcast(rows.select(F.col("group").alias("key")).distinct())
+        marks = self.sets.select("key", "prefix", "signature").join(held, "key", "left_semi").withColumnRenamed("key", "group")
+        return rows.join(marks, "group").withColumn("signature", _without(F.col("signature"), F.slice("prefix", F.lit(1), F.col("pos")))).drop("prefix")
+
     def _bounded(self, met: DataFrame) -> DataFrame:
         """Group pairs (a, b) from their first shared prefix tokens, by size and position.
 

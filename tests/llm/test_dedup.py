@@ -146,6 +146,21 @@ def test_prefix_join_of_groups_around_the_limit(spark, own):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == jaccard_plain(rows)
 
 
+def test_copies_that_miss_the_limit_by_pairs_bring_few_candidates(spark):
+    """Copies of a text that is not there itself: most pairs share their first tokens and miss the limit."""
+    rng, rows = random.Random(11), []
+    for i in range(160):
+        words = [f"v{j}" for j in range(150)]
+        for j in rng.sample(range(150), rng.choice([1, 2, 3, 3, 3, 4])):
+            words[j] = f"own{i}_{j}"
+        rows.append((i, " ".join(words)))
+    join = prefix_join.PrefixJoin(documents(spark, rows), words=5, percent=80)
+    labels = components(join._verified(join._near_first()))
+    assert join._across(labels).count() < 4 * len(rows)
+    got = prefix_join.jaccard_components(documents(spark, rows), words=5, percent=80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == jaccard_plain(rows, 5, 80)
+
+
 def test_prefix_join_with_odd_rows(spark):
     got = sorted((tuple(r) for r in prefix_join.jaccard_components(documents(spark, ODD)).collect()), key=repr)
     want = jaccard_plain([r for r in ODD if r[0] is not None])
