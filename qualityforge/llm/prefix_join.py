@@ -284,7 +284,7 @@ class PrefixJoin:
         apart = (F.col("p.component") != F.col("q.component")) & ((F.col("q.component") == F.col("q.main")) | (F.col("p.group") < F.col("q.group")))
         # At the first token that two groups share, all they have in common is still to come.
         tails = _alike(self.percent, F.col("p.signature"), F.col("q.signature"), n1, n2, n1 - F.col("p.pos"), n2 - F.col("q.pos"))
-        reach = _close(self.percent, n1, n2) & _enough(self.percent, _tail(), n1, n2) & tails
+        reach = _close(self.percent, n1, n2) & _enough(self.percent, _tail(), n1, n2) & F.coalesce(tails, F.lit(True))
         met = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & fresh & reach)
         pairs = self._bounded(met)
         one = members.select(F.col("group").alias("a"), F.col("class").alias("x"), F.col("component").alias("cx"))
@@ -297,11 +297,13 @@ class PrefixJoin:
         return every.distinct()
 
     def _with_tails(self, rows: DataFrame) -> DataFrame:
-        """Postings with the ``signature`` of their group's tokens from the posted one on."""
+        """Postings with the ``signature`` of their group's tokens from the posted one on; null if the group has several sets."""
         rows = staged(rows, "join-bridges")
         held = runtime.checked_broadcast(rows.select(F.col("group").alias("key")).distinct())
-        marks = self.sets.select("key", "prefix", "signature").join(held, "key", "left_semi").withColumnRenamed("key", "group")
-        return rows.join(marks, "group").withColumn("signature", _without(F.col("signature"), F.slice("prefix", F.lit(1), F.col("pos")))).drop("prefix")
+        marks = self.sets.select("key", "prefix", "signature").join(held, "key", "left_semi")
+        several = self.members.filter("group <> class").select(F.col("group").alias("key")).distinct()
+        marks = marks.join(several, "key", "left_anti").withColumnRenamed("key", "group")
+        return rows.join(marks, "group", "left").withColumn("signature", _without(F.col("signature"), F.slice("prefix", F.lit(1), F.col("pos")))).drop("prefix")
 
     def _bounded(self, met: DataFrame) -> DataFrame:
         """Group pairs (a, b) from their first shared prefix tokens, by size and position.
