@@ -181,7 +181,8 @@ def stacked_pairs(df: DataFrame, items: Sequence[tuple[int, Column, str | None]]
     for d, category, where in items:
         pair = F.struct(F.lit(d).alias("d"), category.cast("string").alias("category"))
         pairs.append(F.when(F.expr(where), pair) if where and not one else pair)
-    return df.select(F.inline(F.array_compact(F.array(*pairs))))
+    # Without an absent pair there is nothing to leave out, which generated code does not do.
+    return df.select(F.inline(F.array(*pairs) if one else F.array_compact(F.array(*pairs))))
 
 
 @dataclass(frozen=True)

@@ -140,16 +140,21 @@ def _disjoint(spans: Sequence[tuple[float, float]]) -> list[tuple[float, float]]
 def _counted(df: DataFrame, values: Mapping[str, Column], spans: Mapping[str, list[tuple[float, float]]]) -> DataFrame:
     """(c, zone, v, w): rows by column and zone. Zone 2 i is what lies below span i and above
     the one before, without values; zone 2 i + 1 is span i, by value. One scan."""
-    items = []
-    for c, (name, value) in enumerate(values.items()):
-        v = value.cast("double")
-        zone, own = F.lit(2 * len(spans[name])), F.lit(None).cast("double")
+    # Values, then zones, then pairs: each computed once a row, and by generated code.
+    read = df.select(*[v.cast("double").alias(f"v{c}") for c, v in enumerate(values.values())])
+    zones = []
+    for c, name in enumerate(values):
+        v = F.col(f"v{c}")
+        zone = F.lit(2 * len(spans[name]))
         for i, (low, high) in reversed(list(enumerate(spans[name]))):
             inside = (v >= F.lit(low)) & (v <= F.lit(high))
             zone = F.when(v < F.lit(low), 2 * i).when(inside, 2 * i + 1).otherwise(zone)
-            own = F.when(v < F.lit(low), F.lit(None)).when(inside, v).otherwise(own)
-        items.append(F.when(v.isNotNull(), F.struct(F.lit(c).alias("c"), zone.alias("zone"), own.alias("v"))))
-    return df.select(F.inline(F.array_compact(F.array(*items)))).groupBy("c", "zone", "v").agg(F.count(F.lit(1)).alias("w"))
+        zones.append(F.when(v.isNotNull(), zone).alias(f"zone{c}"))
+    placed = read.select("*", *zones)
+    own = lambda c: F.when(F.col(f"zone{c}") % 2 == 1, F.col(f"v{c}"))
+    items = [F.struct(F.lit(c).alias("c"), F.col(f"zone{c}").alias("zone"), own(c).alias("v")) for c in range(len(values))]
+    found = placed.select(F.inline(F.array(*items))).filter("zone is not null")
+    return found.groupBy("c", "zone", "v").agg(F.count(F.lit(1)).alias("w"))
 
 
 def _is_any(pairs: list[Column]) -> Column:

@@ -214,3 +214,21 @@ def test_a_lost_dimension_raises(spark):
     dims = [V.Numeric("a", "t", "a"), V.Numeric("misspelt", "t", "a")]
     with pytest.raises(Exception, match="misspelt"):
         V.summarise(scores, dims).collect()
+
+
+def test_stacked_values_need_no_interpreted_function(spark):
+    from qualityforge.operators.profile import stacked_pairs
+    from qualityforge.operators.quantiles import _counted
+
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (2.0, None), (9.0, "a"), (None, "a"), (float("nan"), "b")], "x double, k string")
+    plan = lambda out: out._jdf.queryExecution().optimizedPlan().toString()
+    counted = _counted(df, {"x": F.expr("CASE WHEN x > 0 THEN x END"), "y": F.col("x") * 2}, {"x": [(2.0, 3.0), (8.0, 8.5)], "y": [(18.0, 18.0)]})
+    assert "lambda" not in plan(counted)
+    rows = {(r["c"], r["zone"], str(r["v"])): r["w"] for r in counted.collect()}
+    assert rows == {(0, 0, "None"): 1, (0, 1, "2.0"): 2, (0, 4, "None"): 2, (1, 0, "None"): 3, (1, 1, "18.0"): 1, (1, 2, "None"): 1}
+    stacked = stacked_pairs(df, [(0, F.col("k"), None), (1, F.col("x") > 1, None)])
+    assert "lambda" not in plan(stacked)
+    assert sorted(map(str, stacked.collect())) == sorted(
+        f"Row(d={d}, category={c!r})"
+        for d, c in [*((0, k) for k in ("a", "b", None, "a", "a", "b")), *((1, x) for x in ("false", "true", "true", "true", None, "true"))]
+    )
