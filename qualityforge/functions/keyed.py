@@ -10,10 +10,14 @@ draw), ``xxhash64`` is the fast one for bulk generation (53 bits per draw).
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-
-from pyspark.sql import Column
+import os
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
+from functools import reduce
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualityforge.functions.scalars import let
@@ -26,6 +30,19 @@ _GAMMA_TRIES = 256
 _ORDER_STATISTICS = 64
 
 
+class Draws(NamedTuple):
+    """Uniforms of a stream for ``indices`` indices from ``first`` on, each with ``parts`` parts (0: draws without a part)."""
+
+    stream: str
+    first: int = 0
+    indices: int = 1
+    parts: int = 0
+
+    def places(self) -> list[tuple[int, ...]]:
+        every = range(self.first, self.first + self.indices)
+        return [(i, j) for i in every for j in range(self.parts)] if self.parts else [(i,) for i in every]
+
+
 @dataclass(frozen=True)
 class Keyed:
     """Draws for the row identified by ``keys`` (columns or names)."""
@@ -33,6 +50,8 @@ class Keyed:
     keys: tuple
     seed: int = 0
     source: str = "md5"
+    # Stream -> column of draws made ahead, their place in it, what they are.
+    _held: Mapping[str, tuple[str, int, Draws]] = field(default_factory=dict, compare=False, repr=False)
 
     def _cols(self) -> list[Column]:
         return [k if isinstance(k, Column) else F.col(k) for k in self.keys]
@@ -44,15 +63,50 @@ class Keyed:
         if self.source == "xxhash64":
             h = F.xxhash64(F.lit(self.seed), F.lit(stream), *self._cols(), *[p.cast("long") for p in places])
             return (F.shiftrightunsigned(h, 11) + 0.5) / _TWO53
-        return _from_md5(self._text(stream, *[x for x in (index, part) if x is not None]))
+        hashed = _from_md5(self._text(stream, *[x for x in (index, part) if x is not None]))
+        if stream not in self._held:
+            return hashed
+        column, at, held = self._held[stream]
+        if bool(held.parts) != (part is not None):
+            return hashed
+        inside, place = [], at
+        for x, low, n, step in ((index, held.first, held.indices, held.parts or 1), (part, 0, held.parts, 1)):
+            if x is None:
+                continue
+            if isinstance(x, Column):
+                inside.append(x.between(low, low + n - 1))
+                x = x.cast("int")
+            elif not low <= x < low + n:
+                return hashed
+            place = place + (x - low) * step
+        found = F.get(F.col(column), place if isinstance(place, Column) else F.lit(place))
+        return F.when(reduce(Column.__and__, inside), found).otherwise(hashed) if inside else found
+
+    def ahead(self, df: DataFrame, plan: Mapping[str, Sequence[Draws]]) -> tuple[DataFrame, Keyed]:
+        """``df`` with columns of uniforms, and these draws reading the planned ones from them.
+
+        A column is computed by the ``digests`` of whole batches, and only if something
+        that is kept reads it. Draws outside of the plan are hashed one at a time, with
+        the same values. ``xxhash64`` needs no draws ahead.
+        """
+        if self.source != "md5":
+            return df, self
+        key = F.concat(F.lit(""), *[_place(c) for c in self._cols()])
+        columns, held = {}, dict(self._held)
+        for name, draws in plan.items():
+            frames: list[tuple[str, str]] = []
+            for d in draws:
+                held[d.stream] = (name, len(frames), d)
+                frames += [(f"{self.seed}:{d.stream}", "".join(f":{x}" for x in p)) for p in d.places()]
+            columns[name] = F.arrow_udf(_uniforms(frames), "array<double>")(key)
+        return df.withColumns(columns), replace(self, _held=held)
 
     def _text(self, stream: str, *places: Column | int) -> Column:
         """Seed, stream, keys and places between colons, without those that are NULL.
 
         The same text as from ``concat_ws``, which costs twice as much inside a lambda.
         """
-        added = [F.lit(f":{x}") if type(x) is int else F.coalesce(F.concat(F.lit(":"), x.cast("string")), F.lit("")) for x in (*self._cols(), *places)]
-        return F.concat(F.lit(f"{self.seed}:{stream}"), *added)
+        return F.concat(F.lit(f"{self.seed}:{stream}"), *[_place(x) for x in (*self._cols(), *places)])
 
     def _parts(self, stream: str, index: Column | int, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
         """``body`` of a function that gives the uniform of a part, which is not NULL; what all
@@ -82,7 +136,13 @@ class Keyed:
 
     def _uniforms(self, stream: str, n: Column | int, index: Column | int) -> Column:
         n = n if isinstance(n, Column) else F.lit(n)
-        return self._parts(stream, index, lambda uniform: F.transform(F.sequence(F.lit(0), n - 1), uniform))
+        hashed = self._parts(stream, index, lambda uniform: F.transform(F.sequence(F.lit(0), n - 1), uniform))
+        if stream not in self._held:
+            return hashed
+        column, at, held = self._held[stream]
+        i = index if isinstance(index, Column) else F.lit(index)
+        inside = i.between(held.first, held.first + held.indices - 1) & n.between(1, held.parts)
+        return F.when(inside, F.slice(F.col(column), (i.cast("int") - held.first) * held.parts + (at + 1), n)).otherwise(hashed)
 
     def beta_int(self, stream: str, a: Column | int, b: Column | int, index: Column | int = 0) -> Column:
         """Beta(a, b) for integers: the a-th smallest of a + b - 1 uniforms."""
@@ -132,7 +192,18 @@ class Keyed:
         return let(F.struct(x.alias("x"), y.alias("y")), lambda t: t["x"] / (t["x"] + t["y"]))
 
     def choice(self, stream: str, items: Sequence[tuple[object, float]], index: Column | int = 0) -> Column:
-        return let(self.uniform(stream, index), lambda u: weighted_choice(u, items))
+        u = self.uniform(stream, index)
+        if type(index) is int and stream in self._held and (index,) in self._held[stream][2].places():
+            return weighted_choice(u, items)
+        return let(u, lambda u: weighted_choice(u, items))
+
+    def drawing_order(self, stream: str, items: Sequence[tuple[object, float]], index: int = 0) -> Column:
+        """Structs (k, v) of all ``items`` (value, weight) in the order of `sample_without_replacement`.
+
+        A column of its own is sorted in generated code, where a lambda would copy every struct.
+        """
+        keyed = [F.struct((-F.ln(self.uniform(stream, index, i)) / F.lit(w)).alias("k"), F.lit(v).alias("v")) for i, (v, w) in enumerate(items)]
+        return F.sort_array(F.array(*keyed))
 
     def sample_without_replacement(
         self, stream: str, items: Column, weight: str, n: Column | int, index: Column | int = 0
@@ -141,16 +212,38 @@ class Keyed:
         ``weight`` field: exponential keys -ln(u)/w in ascending order follow the
         same law as drawing one after the other."""
         n = n if isinstance(n, Column) else F.lit(n)
-        keyed = self._parts(
-            stream,
-            index,
-            lambda uniform: F.transform(
-                items, lambda x, i: F.struct((-F.ln(uniform(i)) / x[weight]).alias("k"), x.alias("v"))
-            ),
-        )
+
+        def keys(uniform: Callable[[Column], Column]) -> Column:
+            return F.transform(items, lambda x, i: F.struct((-F.ln(uniform(i)) / x[weight]).alias("k"), x.alias("v")))
+
+        if stream in self._held:
+            keyed = let(self._uniforms(stream, F.size(items), index), lambda us: keys(lambda i: F.get(us, i)))
+        else:
+            keyed = self._parts(stream, index, keys)
         return F.transform(F.slice(F.sort_array(keyed), F.lit(1), n), lambda t: t["v"])
 
 
+def _place(x: Column | int) -> Column:
+    """A key or place behind its colon; nothing for NULL."""
+    return F.lit(f":{x}") if type(x) is int else F.coalesce(F.concat(F.lit(":"), x.cast("string")), F.lit(""))
+
+
+def _uniforms(frames: list[tuple[str, str]]) -> Callable:
+    """``digests.uniforms`` of ``frames`` for workers, which look in this package's folder too."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+    def run(keys: pa.Array) -> pa.Array:
+        import sys as worker_sys
+
+        if root not in worker_sys.path:
+            worker_sys.path.append(root)
+        from qualityforge.functions import digests
+
+        return digests.uniforms(keys, frames)
+
+    return run
+
+
 def _from_md5(text: Column) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") + 0.5) / _TWO32
 

@@ -30,17 +30,23 @@ def spread(ids: DataFrame, key: str, partitions: int | None = None) -> DataFrame
     return ids.repartition(partitions or ids.sparkSession.sparkContext.defaultParallelism, key)
 
 
-def retry_until(attempt: Callable[[Column], Column], accept: Callable[[Column], Column], tries: int, fallback: Column, null_type: str) -> Column:
+def retry_until(
+    attempt: Callable[[Column], Column], accept: Callable[[Column], Column], tries: int, fallback: Column, null_type: str, first: Column | None = None
+) -> Column:
     """The first accepted ``attempt(i)`` for i in 0 .. tries-1, else ``fallback``.
 
-    Later attempts are not evaluated once one is accepted.
+    Later attempts are not evaluated once one is accepted. The first stands alone, as an
+    aggregate copies what it has found in every step; ``first`` may give it in a cheaper way.
     """
-    found = F.aggregate(
-        F.sequence(F.lit(0), F.lit(tries - 1)),
-        F.lit(None).cast(null_type),
-        lambda acc, i: F.coalesce(acc, let(attempt(i), lambda a: F.when(accept(a), a))),
-    )
-    return F.coalesce(found, fallback)
+
+    def accepted(made: Column) -> Column:
+        return let(made, lambda a: F.when(accept(a), a))
+
+    found = [accepted(attempt(F.lit(0)) if first is None else first)] if tries > 0 else []
+    if tries > 1:
+        start = F.lit(None).cast(null_type)
+        found.append(F.aggregate(F.sequence(F.lit(1), F.lit(tries - 1)), start, lambda acc, i: F.coalesce(acc, accepted(attempt(i)))))
+    return F.coalesce(*found, fallback)
 
 
 def running_budget(items: Column, amount: str, cap: str, low: float, budget: float, digits: int, item_type: str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualityforge import runtime
-from qualityforge.functions.keyed import Keyed, weighted_choice
+from qualityforge.functions.keyed import Draws, Keyed, weighted_choice
 from qualityforge.functions.scalars import clamp, let
 from qualityforge.operators import synth
 from qualityforge.presets import zirconia as Z
@@ -131,6 +131,29 @@ _FIELDS = (
     "element", "radius", "valence", "frequency", "optimum", "solubility", "a", "b", "scale",
     "high_min", "high_max", "low_min", "low_max", "base",
 )
+# Draws that most groups need, by the stages that read them; the others are hashed where they are wanted.
+_AHEAD = {
+    "_recipe_draws": [Draws("method"), Draws("route")],
+    "_dopant_draws": [
+        Draws("dopant/count"), Draws("dopant/element", parts=len(ELEMENTS)), Draws("dopant/lead", parts=6),
+        Draws("dopant/minor", first=1, parts=6),
+    ],
+    "_phase_draws": [Draws("phase/major"), Draws("phase/second"), Draws("phase/count")],
+    "_sintering_draws": [
+        Draws("sinter/steps"), *[Draws(f"sinter/{x}/{y}", first=1) for x in "td" for y in ("mode", "pick", "free")],
+    ],
+    "_temperature_draws": [
+        Draws("temp/center"), Draws("temp/points"), Draws("temp/gap"), *[Draws(f"temp/jitter/{x}", indices=5) for x in "ra"],
+    ],
+    "_conductivity_draws": [
+        Draws("cond/ea_high"), Draws("cond/ea_low"), *[Draws(f"cond/level/{x}") for x in "ra"],
+        *[Draws(f"cond/noise/{x}", indices=5) for x in "ra"],
+    ],
+    "_text_draws": [
+        Draws("text/template"), Draws("text/variant"), Draws("text/precursor"), Draws("text/zr"), Draws("text/zr_purity"),
+        Draws("text/dop", indices=2), Draws("text/dop_purity", indices=2),
+    ],
+}
 _DOPANT = "struct<element:string,radius:double,valence:int,fraction:double,cap:double>"
 
 
@@ -167,18 +190,26 @@ def _dopants(df: DataFrame, k: Keyed) -> DataFrame:
     def lead_fraction(x: Column, i: Column) -> Column:
         return k.beta_int("dopant/lead", x["a"], x["b"], i) * x["scale"]
 
-    def attempt(i: Column) -> Column:
-        chosen = k.sample_without_replacement(
-            "dopant/element", F.col("elements"), "frequency", k.choice("dopant/count", DOPANT_COUNTS, i), i
-        )
+    def clipped(ranks: Column, i: Column) -> Column:
         drawn = F.transform(
-            chosen,
+            F.transform(ranks, lambda x: F.get(named, x["v"])),
             lambda x, j: with_fraction(
                 x, F.when(j == 0, lead_fraction(x, i)).otherwise(k.beta_int("dopant/minor", 2, 5, i * 8 + j) * 0.08)
             ),
         )
         return synth.running_budget(drawn, "fraction", "cap", MIN_FRACTION, MAX_TOTAL_FRACTION, 4, _DOPANT)
 
+    def attempt(i: Column) -> Column:
+        count = k.choice("dopant/count", DOPANT_COUNTS, i)
+        return clipped(k.sample_without_replacement("dopant/element", ranked, "frequency", count, i), i)
+
+    # What is drawn and sorted is an element's rank by name: a lambda copies its whole result.
+    by_name = sorted(ELEMENTS)
+    named = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(_FIELDS, e) if n in ("element", "radius", "valence", "solubility", "a", "b", "scale")]) for e in by_name])
+    frequencies = [(by_name.index(e), e[_FIELDS.index("frequency")]) for e in ELEMENTS]
+    ranked = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(w).alias("frequency")) for v, w in frequencies])
+    # Two mentions keep the order a column of its own.
+    first = F.slice("order", 1, F.least(k.choice("dopant/count", DOPANT_COUNTS), F.size("order")))
     spare = _element_struct(next(e for e in ELEMENTS if e[0] == FALLBACK_ELEMENT))
     spare = let(spare, lambda x: F.array(with_fraction(x, lead_fraction(x, F.lit(MAX_TRIES)))))
     fallback = synth.running_budget(spare, "fraction", "cap", MIN_FRACTION, 1.0, 4, _DOPANT)
@@ -188,14 +219,16 @@ def _dopants(df: DataFrame, k: Keyed) -> DataFrame:
         MAX_TRIES,
         fallback,
         f"array<{_DOPANT}>",
+        clipped(first, F.lit(0)),
     )
     return (
         df.withColumn("elements", _properties())
+        .withColumn("order", k.drawing_order("dopant/element", frequencies))
         .withColumn("dopants", found)
         .withColumn("primary", synth.argmax_item(F.col("dopants"), "fraction"))
         .withColumn("total", synth.total_of(F.col("dopants"), "fraction"))
         .withColumn("prop", F.element_at(F.filter("elements", lambda e: e["element"] == F.col("primary.element")), 1))
-        .drop("elements")
+        .drop("elements", "order")
     )
 
 
@@ -407,8 +440,7 @@ def recipe_groups(ids: DataFrame, group_id: str = "recipe_group_id", seed: int =
     ``strict`` drops points that stay level at the upper conductivity bound
     instead of leaving them for the compliant filter.
     """
-    k = Keyed((group_id,), seed, source)
-    df = ids.select(group_id)
+    df, k = Keyed((group_id,), seed, source).ahead(ids.select(group_id), _AHEAD)
     for stage in (_recipe, _dopants, _phases, _sintering, _temperatures):
         df = stage(df, k)
     df = _source_text(_conductivities(df, k, strict), k)

@@ -6,7 +6,7 @@ import golden_values
 import pytest
 from pyspark.sql import functions as F
 
-from qualityforge.functions.keyed import Keyed
+from qualityforge.functions.keyed import Draws, Keyed
 from qualityforge.functions.scalars import round_half_up, round_to_step
 from qualityforge.operators import synth
 from qualityforge.presets import zirconia as Z
@@ -195,3 +195,43 @@ def test_children_of_a_recipe_need_no_conductivity(spark):
     tables = G.expand(G.recipe_groups(spark.range(3).withColumnRenamed("id", "recipe_group_id")))
     for name in ("sample_dopants", "sintering_steps", "sample_crystal_phases"):
         assert "cond/" not in tables[name]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_draws_ahead_equal_those_hashed_one_by_one(spark):
+    rows = [(5, "a"), (None, "b"), (-7, None), (10**17, "ä" * 3), (None, None), (3, "x" * 60), (5, "a")]
+    df = spark.createDataFrame(rows, "k long, s string").withColumn("i", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2), F.lit(None).cast("int"))))
+    k = Keyed(("k", "s"), 3)
+    plan = {"one": [Draws("u"), Draws("x", first=1, indices=2), Draws("p", parts=3)], "two": [Draws("n/r", indices=2), Draws("n/a")]}
+    held, ahead = k.ahead(df, plan)
+    items = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(w).alias("w")) for n, w in (("a", 5.0), ("b", 3.0), ("c", 2.0))])
+
+    def drawn(k):
+        i = F.col("i")
+        return {
+            "u": k.uniform("u"), "u1": k.uniform("u", 1), "ui": k.uniform("u", i), "x": k.uniform("x", 2), "xi": k.uniform("x", i),
+            "up": k.uniform("u", 0, 1), "p": k.uniform("p", 0, 2), "p3": k.uniform("p", 0, 3), "pi": k.uniform("p", i, i), "bare": k.uniform("p"),
+            "few": k._uniforms("p", 2, i), "many": k._uniforms("p", 4, 0), "n": k.normal("n", i), "c": k.choice("u", [("a", 1.0), ("b", 1.0)]),
+            "sample": k.sample_without_replacement("p", items, "w", 2, i), "none": k.sample_without_replacement("p", F.filter(items, lambda x: x["w"] > 9), "w", 2),
+            "o": k.drawing_order("p", [("a", 5.0), ("b", 3.0), ("c", 2.0)]),
+        }
+
+    one, all_ = (out.select("k", "s", "i", *[c.alias(n) for n, c in drawn(d).items()]) for out, d in ((df, k), (held, ahead)))
+    assert sorted(map(str, one.collect())) == sorted(map(str, all_.collect()))
+    assert one.filter(F.col("o")[0]["v"] != F.col("sample")[0]["n"]).filter("i = 0").count() == 0
+    assert spark.createDataFrame([], "k long, s string").transform(lambda e: k.ahead(e, plan)[0]).count() == 0
+
+
+def test_a_recipe_hashes_its_common_draws_in_batches(spark):
+    groups = G.recipe_groups(spark.range(3).withColumnRenamed("id", "recipe_group_id"), source="md5")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan(groups) and "md5(" not in plan(groups.select("recipe_group_id", "synthesis_method_id", "processing_route_id"))
+    dopants = plan(G.expand(groups)["sample_dopants"])
+    assert "_dopant_draws" in dopants and "_conductivity_draws" not in dopants
+
+
+def test_an_accepted_attempt_is_not_carried_through_the_others(spark):
+    found = synth.retry_until(lambda i: F.array(i), lambda a: a[0] >= F.col("id"), 3, F.array(F.lit(-1)), "array<int>")
+    assert [r[0] for r in spark.range(5).select(found).collect()] == [[0], [1], [2], [-1], [-1]]
+    text = spark.range(1).select(found)._jdf.queryExecution().analyzed().toString()
+    assert "sequence(1, 2" in text and "sequence(0" not in text
+    assert spark.range(1).select(synth.retry_until(lambda i: i, lambda a: a >= 0, 1, F.lit(-1), "int")).first()[0] == 0
